@@ -1,0 +1,105 @@
+from datetime import date
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from salesloom.functions.columns import parse_date
+from salesloom.operators import aggregates as agg
+from salesloom.operators.joins import enrich_sales
+from salesloom.plans import marts
+from salesloom.sources.files import from_records
+from salesloom.sources.schemas import MART_SCHEMAS
+
+
+def day(text):
+    return date.fromisoformat("2023-" + text)
+
+
+EXPECTED = {
+    "total_sales_per_customer": [("Ann", 65.5), ("Bob", 13.25), ("Eve", 6.0)],
+    "top_selling_customers": [("Ann", 65.5), ("Bob", 13.25), ("Eve", 6.0)],
+    "average_order_quantity_per_product": [
+        (10, 2.5), (11, 5.0), (12, 5.0), (13, 4.0), (14, 1.0), (15, 5.0), (16, 1.0), (17, 5.0),
+        (18, None),
+    ],
+    "top_selling_products": [(10, 5), (11, 5), (12, 5), (13, 8), (15, 5)],
+    "sales_trends_over_time": [
+        (day("01-31"), 10.0), (day("02-01"), 20.5), (day("03-31"), 5.25), (day("04-01"), 31.0),
+        (day("06-30"), 7.75), (day("07-01"), 5.0), (day("07-02"), 4.0), (day("12-31"), 8.0),
+    ],
+    "monthly_sales": [
+        (day("01-01"), 10.0), (day("02-01"), 20.5), (day("03-01"), 5.25), (day("04-01"), 31.0),
+        (day("06-01"), 7.75), (day("07-01"), 9.0), (day("12-01"), 8.0),
+    ],
+    "quarterly_sales": [
+        (day("01-01"), 35.75), (day("04-01"), 38.75), (day("07-01"), 9.0), (day("10-01"), 8.0),
+    ],
+    "average_sales_per_weather": [("Clear", 6.75), ("Rain", 6.625)],
+    "total_sales_per_address_city": [("Oslo", 44.25), ("Rome", 42.25)],
+}
+
+
+def marts_of(customers, products, dated):
+    daily = marts.sales_trends_over_time(dated)
+    totals = marts.total_sales_per_customer(customers)
+    return {
+        "total_sales_per_customer": totals,
+        "top_selling_customers": marts.top_selling_customers(totals),
+        "average_order_quantity_per_product": marts.average_order_quantity_per_product(products),
+        "top_selling_products": marts.top_selling_products(products),
+        "sales_trends_over_time": daily,
+        "monthly_sales": marts.monthly_sales(daily),
+        "quarterly_sales": marts.quarterly_sales(daily),
+        "average_sales_per_weather": marts.average_sales_per_weather(customers),
+        "total_sales_per_address_city": marts.total_sales_per_city(customers),
+    }
+
+
+@pytest.fixture(scope="module", params=["wide", "inputs"])
+def results(request, sales, users, weather):
+    dated = sales.withColumn("order_date", parse_date(F.col("order_date")))
+    if request.param == "wide":
+        wide = enrich_sales(dated, users, weather)
+        products = agg.partial_sums(wide, ["product_id"], "quantity")
+        return marts_of(marts.customer_parts_of_wide(wide), products, wide)
+    known = marts.sales_of_known(dated, users, ["product_id", "quantity", "order_date", "price"])
+    products = agg.partial_sums(known, ["product_id"], "quantity")
+    return marts_of(marts.customer_parts(dated, users, weather), products, known)
+
+
+@pytest.mark.parametrize("name", sorted(EXPECTED))
+def test_mart(results, name):
+    got = results[name]
+    assert [(f.name, f.dataType) for f in got.schema] == [
+        (f.name, f.dataType) for f in MART_SCHEMAS[name]
+    ]
+    assert rows_of(got) == EXPECTED[name]
+
+
+def test_top_products_are_in_rank_order(results):
+    assert [r[0] for r in results["top_selling_products"].collect()] == [13, 10, 11, 12, 15]
+
+
+@pytest.mark.parametrize("key", ["name", "address.city"])
+def test_user_parts_give_the_same_totals(sales, users, key):
+    got = agg.total_by(marts.user_parts(sales, users, key), key, "price_sum", "price")
+    table = "total_sales_per_customer" if key == "name" else "total_sales_per_address_city"
+    assert rows_of(got) == EXPECTED[table]
+
+
+def test_repeated_users_multiply_sales_on_both_ways(sales, users, weather):
+    twice = users.unionAll(users.where("id = 2"))
+    wide = enrich_sales(sales, twice, weather)
+    a = marts.total_sales_per_customer(marts.customer_parts_of_wide(wide))
+    b = marts.total_sales_per_customer(marts.customer_parts(sales, twice, weather))
+    assert rows_of(a) == rows_of(b) == [("Ann", 65.5), ("Bob", 26.5), ("Eve", 6.0)]
+
+
+def test_reaggregating_a_result_changes_nothing(results):
+    totals = results["total_sales_per_customer"]
+    means = results["average_sales_per_weather"]
+    top = results["top_selling_products"]
+    assert rows_of(agg.total_by(totals, "name", "price")) == rows_of(totals)
+    assert rows_of(agg.average_by(means, "weather_main", "price")) == rows_of(means)
+    assert rows_of(agg.top_k(top, "product_id", "quantity")) == rows_of(top)
