@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -15,6 +17,9 @@ from salesloom.functions.payload import extract_payload
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
+# Executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Fetch = Callable[..., "str | None"]
 
 
@@ -40,10 +45,13 @@ def lookup_payloads(
     if on_missing not in ("drop", "fail"):
         raise ValueError(f"on_missing must be 'drop' or 'fail', not {on_missing!r}")
     spark = df.sparkSession
-    keys = df.select(*[q(c) for c in key_cols]).dropna().distinct()
+    names = [f"key{i}" for i in range(len(key_cols))]  # Python tasks take no dotted names
+    keys = df.select(*[q(c).alias(n) for c, n in zip(key_cols, names)])
+    for name in names:
+        keys = keys.where(F.col(name).isNotNull())
     width = partitions or spark.sparkContext.defaultParallelism
     schema = StructType(
-        [df.schema[c] for c in key_cols] + [StructField("payload", StringType())]
+        [keys.schema[n] for n in names] + [StructField("payload", StringType())]
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,8 +71,9 @@ def lookup_payloads(
                 payloads = list(pool.map(call, batch.itertuples(index=False, name=None)))
                 yield batch.assign(payload=pd.Series(payloads, dtype=object, index=batch.index))
 
-    found = keys.repartition(width, *[q(c) for c in key_cols]).mapInPandas(run, schema)
-    return land(found.where(F.col("payload").isNotNull()), "lookup")
+    found = keys.distinct().repartition(width, *names).mapInPandas(run, schema)
+    answered = found.where(F.col("payload").isNotNull()).toDF(*key_cols, "payload")
+    return land(answered, "lookup")
 
 
 def lookup_weather(

@@ -1,0 +1,88 @@
+import json
+import sys
+
+import pytest
+from conftest import rows_of
+from pyspark import cloudpickle
+from pyspark.sql import functions as F
+
+from salesloom.operators.lookup import LookupFailed, lookup_payloads, lookup_weather
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+def document(temp):
+    return json.dumps(
+        {
+            "weather": [{"id": 1, "main": "Rain", "description": "d", "icon": "i"}],
+            "main": {"temp": temp, "feels_like": 1.0, "temp_min": 1.0, "temp_max": 1.0,
+                     "pressure": 1, "humidity": 1},
+            "visibility": 1, "wind": {"speed": 1.0, "deg": 1}, "clouds": {"all": 1},
+        }
+    )
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    """Half of the users share one place; one has none."""
+    return spark.range(1, 101, numPartitions=3).select(
+        "id",
+        F.when(F.col("id") % 2 == 0, "0").otherwise(F.col("id").cast("string")).alias("geo.lat"),
+        F.when(F.col("id") == 99, None).otherwise(F.lit("5")).alias("geo.lng"),
+    )
+
+
+KEYS = ["geo.lat", "geo.lng"]
+
+
+def test_one_call_per_place_and_failures_leave_no_row(spark, people, tmp_path):
+    log = str(tmp_path)
+
+    def factory():
+        def fetch(lat, lng):
+            with open(f"{log}/{lat}_{lng}", "a") as f:
+                f.write("x")
+            if lat == "3":
+                raise LookupFailed(lat)
+            if lat == "7":
+                return None
+            return '{"cod":401}' if lat == "9" else document(float(lat))
+
+        return fetch
+
+    found = lookup_payloads(people, KEYS, factory, partitions=3)
+    assert found.columns == [*KEYS, "payload"]
+    assert found.count() == 48  # 49 odd ids with a place, and "0", without 3 and 7
+    weather = lookup_weather(people, found, KEYS)
+    assert weather.columns[-1] == "user_info_table_id" and len(weather.columns) == 15
+    got = {r["user_info_table_id"]: r["temp"] for r in weather.collect()}
+    expected = {
+        i: 0.0 if i % 2 == 0 else float(i) for i in range(1, 101) if i not in (3, 7, 9, 99)
+    }
+    assert got == expected
+    calls = [p.read_text() for p in tmp_path.iterdir()]
+    assert len(calls) == 50 and set(calls) == {"x"}
+
+
+def test_failures_can_stop_the_job(people):
+    def none():
+        return lambda lat, lng: None
+
+    with pytest.raises(Exception, match="no answer"):
+        lookup_payloads(people, KEYS, none, on_missing="fail")
+
+
+def test_other_errors_are_not_swallowed(people):
+    def broken():
+        def fetch(lat, lng):
+            raise KeyError("visibility")
+
+        return fetch
+
+    with pytest.raises(Exception, match="visibility"):
+        lookup_payloads(people, KEYS, broken)
+
+
+def test_no_users(spark, people):
+    found = lookup_payloads(people.where("id < 0"), KEYS, lambda: None)
+    assert rows_of(found) == []
