@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY_SCALE = 4
-MONEY_TYPE = f"decimal(18,{MONEY_SCALE})"
-# Largest magnitude that MONEY_TYPE holds.
-MONEY_LIMIT = float(10 ** (18 - MONEY_SCALE))
+# Amounts are added as whole units of a ten-thousandth: a double converts to that by arithmetic,
+# where a cast to a decimal with digits goes through text and takes longer than the whole sum.
+UNITS = 10_000
+UNIT_TYPE = "decimal(18,0)"
+MONEY_LIMIT = 9e13
 
 PERIODS = ("month", "quarter")
 
@@ -18,7 +19,7 @@ def q(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def money(value: Column) -> Column:
+def money_units(value: Column) -> Column:
     """Exact addend for a floating amount, so that sums do not depend on row order.
 
     NULL and NaN are missing. An amount that does not fit raises in every ANSI mode: a cast
@@ -26,16 +27,21 @@ def money(value: Column) -> Column:
     """
     amount = value.cast("double")
     return (
-        F.when(amount.isNull() | F.isnan(amount), F.lit(None).cast(MONEY_TYPE))
-        .when(F.abs(amount) < MONEY_LIMIT, amount.cast(MONEY_TYPE))
+        F.when(amount.isNull() | F.isnan(amount), F.lit(None).cast(UNIT_TYPE))
+        .when(F.abs(amount) < MONEY_LIMIT, F.rint(amount * UNITS).cast("long").cast(UNIT_TYPE))
         .otherwise(
             F.raise_error(
-                F.concat(F.lit(f"amount does not fit {MONEY_TYPE}: "), amount.cast("string"))
-            ).cast(MONEY_TYPE)
+                F.concat(F.lit("amount too large for an exact sum: "), amount.cast("string"))
+            ).cast(UNIT_TYPE)
         )
     )
 
 
+def from_units(total: Column) -> Column:
+    """A sum of :func:`money_units` as a decimal with four digits."""
+    return total * F.lit("0.0001").cast("decimal(4,4)")
+
+
 def parse_date(value: Column, on_bad: str = "fail") -> Column:
     """``yyyy-MM-dd`` text (or a date or timestamp) to a date.
 

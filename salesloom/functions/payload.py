@@ -11,9 +11,9 @@ from salesloom.functions.columns import first_element, q
 from salesloom.sources.schemas import WEATHER_FIELDS, WEATHER_PAYLOAD
 
 
-def _weather_columns(doc: Column) -> dict[str, Column]:
-    station = first_element(doc["weather"])
-    reading, wind = doc["main"], doc["wind"]
+def _weather_columns() -> dict[str, Column]:
+    station = first_element(F.col("_weather"))
+    reading, wind = F.col("_main"), F.col("_wind")
     return {
         "weather_id": station["id"],
         "weather_main": station["main"],
@@ -25,10 +25,10 @@ def _weather_columns(doc: Column) -> dict[str, Column]:
         "temp_max": reading["temp_max"],
         "pressure": reading["pressure"],
         "humidity": reading["humidity"],
-        "visibility": doc["visibility"],
+        "visibility": F.col("_visibility"),
         "wind_speed": wind["speed"],
         "wind_deg": wind["deg"],
-        "cloudiness": doc["clouds"]["all"],
+        "cloudiness": F.col("_clouds")["all"],
     }
 
 
@@ -47,10 +47,14 @@ def extract_payload(
     if on_missing not in ("drop", "fail", "keep"):
         raise ValueError(f"on_missing must be 'drop', 'fail' or 'keep', not {on_missing!r}")
     carried = [c for c in df.columns if c != payload]
+    # A generator keeps the parsed text as columns. A plain projection would be merged into the
+    # next one, and every field and every test of a field would parse the text again.
+    parts = [f"_{name}" for name in WEATHER_PAYLOAD.fieldNames()]
     parsed = df.select(
-        F.from_json(q(payload), WEATHER_PAYLOAD).alias("_doc"), *[q(c) for c in carried]
+        *[q(c) for c in carried],
+        F.inline(F.array(F.from_json(q(payload), WEATHER_PAYLOAD))).alias(*parts),
     )
-    fields = _weather_columns(F.col("_doc"))
+    fields = _weather_columns()
     out = parsed.select(*[c.alias(n) for n, c in fields.items()], *[q(c) for c in carried])
     if on_missing == "keep" or not required:
         return out

@@ -2,7 +2,7 @@
 
 * rows with a NULL key are left out;
 * NULL and NaN values are missing: a total without values is 0, a mean without values NULL;
-* amounts are added as decimals, so a result does not depend on partitioning;
+* amounts are added as exact decimals, so a result does not depend on partitioning;
 * a top-k keeps the lower key on equal values.
 
 Every aggregate is a partial aggregate before its shuffle, so a key that holds a third of the
@@ -15,17 +15,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from salesloom.functions.columns import money, period_start, q
+from salesloom.functions.columns import from_units, money_units, period_start, q
 
 
-def addend(df: DataFrame, value: str) -> Column:
-    """The column to add for ``value``: decimal for amounts, long for whole numbers."""
+def _parts(df: DataFrame, value: str) -> tuple[Column, Column]:
+    """Sum and count of the values present: decimal sum for amounts, long for whole numbers."""
     kind = df.schema[value].dataType
     if isinstance(kind, (DoubleType, FloatType)):
-        return money(q(value))
+        units = money_units(q(value))
+        return from_units(F.sum(units)), F.count(units)
     if isinstance(kind, DecimalType):
-        return q(value)
-    return q(value).cast("long")
+        return F.sum(q(value)), F.count(q(value))
+    return F.sum(q(value).cast("long")), F.count(q(value))
 
 
 def _is_amount(df: DataFrame, value: str) -> bool:
@@ -37,25 +38,23 @@ def partial_sums(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     NULL keys are kept here; they are dropped by whoever finishes the aggregate.
     """
-    part = addend(df, value)
+    total, n = _parts(df, value)
     return df.groupBy(*[q(k) for k in keys]).agg(
-        F.sum(part).alias(f"{value}_sum"), F.count(part).alias(f"{value}_n")
+        total.alias(f"{value}_sum"), n.alias(f"{value}_n")
     )
 
 
 def total_by(df: DataFrame, key: str, value: str, alias: str | None = None) -> DataFrame:
     """``key, sum(value)``. Amounts (also partial decimal sums) come out as double."""
     kind = "double" if _is_amount(df, value) else "long"
-    total = F.coalesce(F.sum(addend(df, value)).cast(kind), F.lit(0).cast(kind))
-    return (
-        df.where(q(key).isNotNull()).groupBy(q(key)).agg(total.alias(alias or value))
-    )
+    total = F.coalesce(_parts(df, value)[0].cast(kind), F.lit(0).cast(kind))
+    return df.where(q(key).isNotNull()).groupBy(q(key)).agg(total.alias(alias or value))
 
 
 def average_by(df: DataFrame, key: str, value: str, alias: str | None = None) -> DataFrame:
     """``key, mean(value)`` over the rows that have a value."""
-    part = addend(df, value)
-    mean = F.try_divide(F.sum(part).cast("double"), F.count(part).cast("double"))
+    total, n = _parts(df, value)
+    mean = F.try_divide(total.cast("double"), n.cast("double"))
     return df.where(q(key).isNotNull()).groupBy(q(key)).agg(mean.alias(alias or value))
 
 

@@ -8,10 +8,12 @@ from __future__ import annotations
 
 import json
 import sys
+from functools import lru_cache
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from salesloom.functions.columns import parse_date, q
 from salesloom.functions.payload import extract_payload
@@ -26,7 +28,6 @@ from salesloom.scratch import scratch_path
 from salesloom.sinks.tables import ParquetSink, restore_snapshot, save_snapshot
 from salesloom.sources import files
 from salesloom.sources.schemas import LONG, SALES, STRING, USER
-from pyspark.sql.types import StructField, StructType
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -34,8 +35,15 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # --- inputs -------------------------------------------------------------------------------
 
 
+@lru_cache(maxsize=256)
+def _stored_schema(path: str) -> StructType:
+    """Reading a footer takes a job; once per table is enough."""
+    return SparkSession.active().read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_stored_schema(path)).parquet(path)
 
 
 def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
