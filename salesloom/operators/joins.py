@@ -21,9 +21,11 @@ MIB = 1024 * 1024
 BROADCAST_LIMIT = 64 * MIB
 # A key below this many rows is never worth splitting.
 HOT_ROWS = 1_000_000
-# The 257th largest key holds less than 1/256 of all rows; the shuffle takes it as it is.
-MAX_HOT_KEYS = 256
+# The 1001st largest key holds less than a thousandth of all rows; the shuffle takes it as it is.
+MAX_HOT_KEYS = 1000
 SKETCH_ITEMS = 10_000
+# Sketches are merged in this many groups before the groups are merged.
+SKETCH_GROUPS = 1024
 
 _UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50}
 
@@ -57,17 +59,24 @@ def hot_keys(
 ) -> tuple[list[int], int]:
     """Hashes of the keys that hold more than an even share of the rows, and the tasks to use.
 
-    One pass over the key columns with a mergeable frequent-items sketch: no shuffle by key, one
-    row back. The sketch only decides how work is split, never which rows are in the result.
+    One pass over the key columns with a frequent-items sketch per task, merged in two levels so
+    that no task merges all of them: no shuffle by key, one row back. The sketch only decides how
+    work is split, never which rows are in the result.
     """
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
     row = (
-        df.select(F.xxhash64(*[q(k) for k in keys]).alias("h"))
+        df.select(F.xxhash64(*[q(k) for k in keys]).alias("h"), group.alias("g"))
+        .groupBy("g")
         .agg(
-            F.expr(f"approx_top_k(h, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"),
             F.count(F.lit(1)).alias("n"),
         )
+        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"), F.sum("n").alias("n"))
+        .select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})").alias("top"), "n")
         .first()
     )
+    if not row["n"]:
+        return [], 1
     share = max(row["n"] / slices, hot_rows, 1)
     hot = [(item["item"], item["count"]) for item in row["top"] if item["count"] > share]
     if not hot:

@@ -30,11 +30,10 @@ def with_ordinal(
     """
     rest = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
     sort = [q(c) for c in order_by] + [F.col("_content"), F.col("_origin")]
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         df.withColumn("_content", F.xxhash64(*[q(c) for c in rest]))
         .withColumn("_origin", F.spark_partition_id())
-        .repartitionByRange(ranges, *sort)
+        .repartitionByRange(*sort)
         .sortWithinPartitions(*sort)
         .drop("_content", "_origin")
     )

@@ -13,7 +13,7 @@ from salesloom.operators.flatten import flatten
 from salesloom.operators.joins import enrich_sales
 from salesloom.operators.lookup import lookup_payloads, lookup_weather
 from salesloom.plans import marts
-from salesloom.scratch import land
+from salesloom.scratch import land, temporary
 from salesloom.sinks.tables import Sink
 from salesloom.sources.files import read_payloads, read_sales_csv, read_users_json
 
@@ -40,6 +40,19 @@ def refresh(
     """
     if (payloads is None) == (fetch_factory is None):
         raise ValueError("give either payloads or fetch_factory")
+    with temporary(spark):
+        stored = _store_inputs(
+            spark, sink, sales_csv, users_json, payloads, fetch_factory, users_layout,
+            payload_format, with_index, on_missing,
+        )
+        return {**stored, **store_marts(sink, stored["sales_enriched"])}
+
+
+def _store_inputs(
+    spark, sink, sales_csv, users_json, payloads, fetch_factory, users_layout, payload_format,
+    with_index, on_missing,
+) -> dict[str, DataFrame]:
+    """Replace users, sales, weather and the wide table."""
     users = sink.replace("users", flatten(read_users_json(spark, users_json, users_layout)))
     sales = sink.replace("sales", read_sales_csv(spark, sales_csv, with_index))
     if payloads is not None:
@@ -54,8 +67,7 @@ def refresh(
     dated = joined.withColumn("order_date", parse_date(q("order_date")))
     wide = sink.replace("sales_enriched", dated)
 
-    stored = {"users": users, "sales": sales, "user_weather": weather, "sales_enriched": wide}
-    return {**stored, **store_marts(sink, wide)}
+    return {"users": users, "sales": sales, "user_weather": weather, "sales_enriched": wide}
 
 
 def store_marts(sink: Sink, wide: DataFrame) -> dict[str, DataFrame]:

@@ -10,24 +10,54 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_root: str | None = None
+_open_scopes: list[list[str]] = []
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused folder name below the session's shared scratch folder."""
-    return f"{_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
+    """A new, unused folder name below the session's shared scratch folder.
 
+    Inside :func:`temporary` it is deleted when the block ends, unless ``keep`` is set.
+    """
+    path = f"{_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    if _open_scopes and not keep:
+        _open_scopes[-1].append(path)
+    return path
 
-def land(df: DataFrame, label: str) -> DataFrame:
+
+def land(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet and return a frame that reads it back."""
-    path = scratch_path(df.sparkSession, label)
+    path = scratch_path(df.sparkSession, label, keep)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Delete what was landed in the block when it ends, also after an error.
+
+    Frames that still read those files must not be used afterwards.
+    """
+    _open_scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _open_scopes.pop():
+            _delete(spark, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    # Spark has no call of its own to delete a folder on the cluster's file system.
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def _root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:

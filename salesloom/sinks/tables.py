@@ -54,7 +54,8 @@ class JdbcSink:
     """Database tables, inserted in batches over a bounded number of connections.
 
     ``replace`` lands the rows first and returns the landed frame, so that later steps neither
-    compute them again nor read them back through the database.
+    compute them again nor read them back through the database. The landed files stay in the
+    scratch folder until the caller deletes them.
     """
 
     spark: SparkSession
@@ -73,7 +74,7 @@ class JdbcSink:
         }
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
-        landed = land(df, name)
+        landed = land(df, name, keep=True)
         landed.write.format("jdbc").mode("overwrite").options(**self.write_options(name)).save()
         return landed
 

@@ -16,7 +16,14 @@ def test_ordinal_is_the_rank(spark):
     assert got.count() == 1000
 
 
-def test_hot_key_is_cut_into_several_ranges(spark):
+@pytest.fixture
+def no_coalescing(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_hot_key_is_cut_into_several_ranges(spark, no_coalescing):
     df = spark.range(4000, numPartitions=8).select(
         F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 1000).alias("k"),
         F.lit("copy").alias("v"),
