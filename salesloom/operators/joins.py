@@ -92,8 +92,11 @@ def lookup_join(
     broadcast_limit: int = BROADCAST_LIMIT,
     slices: int | None = None,
     hot_rows: int = HOT_ROWS,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join a long table with a reference table; ``how`` is ``"inner"`` or ``"left"``.
+    """Equi-join a long table with a reference table.
+
+    ``how`` is ``"inner"``, ``"left"`` or ``"left_semi"``.
 
     1. Catalyst estimates the reference below its own broadcast threshold: plain join, and
        Catalyst broadcasts it.
@@ -101,10 +104,12 @@ def lookup_join(
     3. Otherwise a shuffle join. Rows of ``facts`` with a hot key are spread over salts, and
        the reference rows of just those keys are repeated once per salt.
 
-    The result is the same in all three.
+    The result is the same in all three. The third reads the key columns of ``facts`` once more
+    to find the hot keys. Where ``facts`` is itself the result of a costly step, ``keys_from``
+    names a cheaper frame that holds the same keys in similar shares.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"how must be 'inner' or 'left', not {how!r}")
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(f"how must be 'inner', 'left' or 'left_semi', not {how!r}")
     shared = set(facts.columns) & set(reference.columns)
     if shared:
         raise ValueError(f"columns on both sides, rename one: {sorted(shared)}")
@@ -120,7 +125,8 @@ def lookup_join(
         if measured_bytes(reference) <= broadcast_limit:
             return facts.join(F.broadcast(reference), _equal(on), how)
     slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    hot, salts = hot_keys(facts, [left for left, _ in on], slices, hot_rows)
+    source = facts if keys_from is None else keys_from
+    hot, salts = hot_keys(source, [left for left, _ in on], slices, hot_rows)
     if salts == 1:
         return facts.join(reference, _equal(on), how)
     return _salted_join(facts, reference, on, how, hot, salts)

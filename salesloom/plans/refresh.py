@@ -45,7 +45,8 @@ def refresh(
             spark, sink, sales_csv, users_json, payloads, fetch_factory, users_layout,
             payload_format, with_index, on_missing,
         )
-        return {**stored, **store_marts(sink, stored["sales_enriched"])}
+        parts = marts.customer_parts(stored["sales"], stored["users"], stored["user_weather"])
+        return {**stored, **store_marts(sink, stored["sales_enriched"], parts)}
 
 
 def _store_inputs(
@@ -70,15 +71,23 @@ def _store_inputs(
     return {"users": users, "sales": sales, "user_weather": weather, "sales_enriched": wide}
 
 
-def store_marts(sink: Sink, wide: DataFrame) -> dict[str, DataFrame]:
-    """Compute and replace the nine result tables in three scans of the wide table."""
+def store_marts(
+    sink: Sink, wide: DataFrame, customers: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Compute and replace the nine result tables.
+
+    Reads the wide table twice, two columns each time, and once more for the customer parts
+    unless they are given.
+    """
     stored = {}
 
     def put(name: str, df: DataFrame) -> DataFrame:
         stored[RESULT_PREFIX + name] = sink.replace(RESULT_PREFIX + name, df)
         return stored[RESULT_PREFIX + name]
 
-    customers = land(marts.customer_parts_of_wide(wide), "customer-parts")
+    if customers is None:
+        customers = marts.customer_parts_of_wide(wide)
+    customers = land(customers, "customer-parts")
     totals = put("total_sales_per_customer", marts.total_sales_per_customer(customers))
     put("top_selling_customers", marts.top_selling_customers(totals))
     put("total_sales_per_address_city", marts.total_sales_per_city(customers))

@@ -46,19 +46,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_stored_schema(path)).parquet(path)
 
 
-def sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").cast("date").alias("order_date"),
+    )
+
+
+def sales(spark: SparkSession, sf_dir: str, known_only: bool = False) -> DataFrame:
+    """All sales, or those of existing customers.
+
+    The customer is tested on the orders, before the much longer lines are joined to them.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("long").alias("quantity"),
         F.col("l_extendedprice").alias("price"),
     )
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey",
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-    )
-    joined = joins.lookup_join(lines, orders, [("order_id", "o_orderkey")])
+    headers = orders(spark, sf_dir)
+    if known_only:
+        ids = known_ids(spark, sf_dir)
+        headers = joins.lookup_join(headers, ids, [("customer_id", "id")], "left_semi")
+    joined = joins.lookup_join(lines, headers, [("order_id", "o_orderkey")])
     return joined.select(*SALES.fieldNames())
 
 
@@ -85,19 +96,18 @@ def known_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def last_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last event of each user; one row per user by construction."""
-    event = F.struct("event_id", "event_type", "value", "props")
+def last_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """``columns`` of the last event of each user; one row per user by construction."""
     return (
         table(spark, sf_dir, "events")
         .groupBy("user_id")
-        .agg(F.max_by(event, "event_id").alias("e"))
+        .agg(F.max_by(F.struct(*columns), "event_id").alias("e"))
         .select("user_id", "e.*")
     )
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return last_events(spark, sf_dir).select(
+    return last_events(spark, sf_dir, "event_type", "value").select(
         F.col("user_id").alias("user_info_table_id"),
         F.col("event_type").alias("weather_main"),
         F.col("value").alias("temp"),
@@ -168,7 +178,8 @@ def event_payload(visibility: Column) -> Column:
 
 
 def user_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return last_events(spark, sf_dir).select(
+    events = last_events(spark, sf_dir, "event_id", "event_type", "value", "props")
+    return events.select(
         F.col("user_id").alias("user_info_table_id"),
         event_payload(F.col("event_id")).alias("payload"),
     )
@@ -180,7 +191,11 @@ def user_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sales_enriched(spark, sf_dir):
     # Weather has one row per user by construction, so its keys need no check.
     return joins.enrich_sales(
-        sales(spark, sf_dir), users(spark, sf_dir), weather(spark, sf_dir), check_unique=False
+        sales(spark, sf_dir),
+        users(spark, sf_dir),
+        weather(spark, sf_dir),
+        check_unique=False,
+        keys_from=orders(spark, sf_dir),
     )
 
 
@@ -202,7 +217,9 @@ def users_with_weather(spark, sf_dir):
 
 
 def sales_with_users(spark, sf_dir):
-    return joins.sales_with_users(sales(spark, sf_dir), users(spark, sf_dir))
+    return joins.sales_with_users(
+        sales(spark, sf_dir), users(spark, sf_dir), keys_from=orders(spark, sf_dir)
+    )
 
 
 def preview(spark, sf_dir):
@@ -235,34 +252,24 @@ def average_sales_per_weather(spark, sf_dir):
     return marts.average_sales_per_weather(parts)
 
 
-def _product_parts(spark, sf_dir):
-    known = marts.sales_of_known(
-        sales(spark, sf_dir), known_ids(spark, sf_dir), ["product_id", "quantity"]
-    )
-    return agg.partial_sums(known, ["product_id"], "quantity")
-
-
 def average_order_quantity_per_product(spark, sf_dir):
-    return marts.average_order_quantity_per_product(_product_parts(spark, sf_dir))
+    return agg.average_by(sales(spark, sf_dir, known_only=True), "product_id", "quantity")
 
 
 def top_selling_products(spark, sf_dir):
-    return marts.top_selling_products(_product_parts(spark, sf_dir))
+    return agg.top_k(sales(spark, sf_dir, known_only=True), "product_id", "quantity")
 
 
 def sales_trends_daily(spark, sf_dir):
-    known = marts.sales_of_known(
-        sales(spark, sf_dir), known_ids(spark, sf_dir), ["order_date", "price"]
-    )
-    return marts.sales_trends_over_time(known)
+    return marts.sales_trends_over_time(sales(spark, sf_dir, known_only=True))
 
 
 def sales_trends_monthly(spark, sf_dir):
-    return marts.monthly_sales(sales_trends_daily(spark, sf_dir))
+    return marts.monthly_sales(sales(spark, sf_dir, known_only=True))
 
 
 def sales_trends_quarterly(spark, sf_dir):
-    return marts.quarterly_sales(sales_trends_daily(spark, sf_dir))
+    return marts.quarterly_sales(sales(spark, sf_dir, known_only=True))
 
 
 def reaggregated_customer_totals(spark, sf_dir):

@@ -52,7 +52,7 @@ def hot(spark):
     )
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
 def test_all_three_ways_give_the_same_rows(spark, hot, how):
     reference = spark.range(40).select(
         F.col("id").alias("rk"), F.concat(F.lit("n"), F.col("id")).alias("label")
@@ -97,6 +97,16 @@ def test_hot_key_is_found_and_spread(spark, hot):
     assert spread.distinct().count() > 1
 
 
+def test_hot_keys_of_another_frame(spark, hot):
+    reference = spark.range(40).select(F.col("id").alias("rk"))
+    got = joins.lookup_join(
+        hot, reference, [("k", "rk")], broadcast_limit=0, slices=8, hot_rows=10,
+        keys_from=hot.select("k").where("k = 7 or k = 8"),
+    )
+    assert "_fact_salt" in plan_of(got)
+    assert rows_of(got) == rows_of(hot.join(reference, F.col("k") == F.col("rk")))
+
+
 def test_small_tables_have_no_hot_keys(hot):
     assert joins.hot_keys(hot, ["k"], slices=8) == ([], 1)
 
