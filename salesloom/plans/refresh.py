@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -10,7 +12,7 @@ from salesloom.functions.columns import parse_date, q
 from salesloom.functions.payload import extract_payload
 from salesloom.operators.aggregates import partial_sums
 from salesloom.operators.flatten import flatten
-from salesloom.operators.joins import enrich_sales
+from salesloom.operators.joins import enrich_sales, require_unique
 from salesloom.operators.lookup import lookup_payloads, lookup_weather
 from salesloom.plans import marts
 from salesloom.scratch import land, temporary
@@ -21,86 +23,117 @@ LOCATION = ["address.geo.lat", "address.geo.lng"]
 RESULT_PREFIX = "results_"
 
 
-def refresh(
-    spark: SparkSession,
-    sink: Sink,
-    sales_csv: str,
-    users_json: str,
-    payloads: str | None = None,
-    fetch_factory: Callable | None = None,
-    users_layout: str = "array",
-    payload_format: str = "json",
-    with_index: bool = True,
-    on_missing: str = "drop",
-) -> dict[str, DataFrame]:
+@dataclass(frozen=True)
+class Inputs:
+    """What a refresh reads. Weather is either landed ``payloads`` or looked up by location."""
+
+    sales_csv: str
+    users_json: str
+    payloads: str | None = None
+    fetch_factory: Callable | None = None
+    users_layout: str = "array"
+    payload_format: str = "json"
+    with_index: bool = True
+    on_missing: str = "drop"
+
+    def __post_init__(self):
+        if (self.payloads is None) == (self.fetch_factory is None):
+            raise ValueError("give either payloads or fetch_factory")
+
+
+def refresh(spark: SparkSession, sink: Sink, inputs: Inputs) -> dict[str, DataFrame]:
     """Replace all tables of ``sink`` and return them, as stored, by name.
 
-    Weather comes from landed ``payloads`` or from a lookup by location (``fetch_factory``).
-    Every stage is stored before the next one reads it. Any error ends the run.
+    Every stage is stored before the next one reads it, and stages that do not need each other
+    are submitted side by side. Any error ends the run.
     """
-    if (payloads is None) == (fetch_factory is None):
-        raise ValueError("give either payloads or fetch_factory")
+    tables: dict[str, DataFrame] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = sink.replace(name, df)
+        return tables[name]
+
+    def users_and_weather():
+        nested = read_users_json(spark, inputs.users_json, inputs.users_layout)
+        users = store("users", flatten(nested))
+        store("user_weather", _weather(spark, users, inputs))
+
+    def sales():
+        store("sales", read_sales_csv(spark, inputs.sales_csv, inputs.with_index))
+
+    def marts_of_customers():
+        # Summed per customer before the join, so not from the wide table; the same rows.
+        parts = marts.customer_parts(tables["sales"], tables["users"], tables["user_weather"])
+        _store_customer_marts(store, parts)
+
+    def wide_and_its_marts():
+        joined = enrich_sales(
+            tables["sales"], tables["users"], tables["user_weather"], check_unique=False
+        )
+        dated = joined.withColumn("order_date", parse_date(q("order_date")))
+        wide = store("sales_enriched", dated)
+        _together(
+            lambda: _store_product_marts(store, wide), lambda: _store_period_marts(store, wide)
+        )
+
     with temporary(spark):
-        stored = _store_inputs(
-            spark, sink, sales_csv, users_json, payloads, fetch_factory, users_layout,
-            payload_format, with_index, on_missing,
+        _together(users_and_weather, sales)
+        require_unique(tables["user_weather"], "user_info_table_id")
+        _together(wide_and_its_marts, marts_of_customers)
+    return tables
+
+
+def store_marts(sink: Sink, wide: DataFrame) -> dict[str, DataFrame]:
+    """Replace the nine result tables from a stored wide table, in three scans of it."""
+    tables: dict[str, DataFrame] = {}
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        tables[name] = sink.replace(name, df)
+        return tables[name]
+
+    with temporary(wide.sparkSession):
+        _together(
+            lambda: _store_customer_marts(store, marts.customer_parts_of_wide(wide)),
+            lambda: _store_product_marts(store, wide),
+            lambda: _store_period_marts(store, wide),
         )
-        parts = marts.customer_parts(stored["sales"], stored["users"], stored["user_weather"])
-        return {**stored, **store_marts(sink, stored["sales_enriched"], parts)}
-
-
-def _store_inputs(
-    spark, sink, sales_csv, users_json, payloads, fetch_factory, users_layout, payload_format,
-    with_index, on_missing,
-) -> dict[str, DataFrame]:
-    """Replace users, sales, weather and the wide table."""
-    users = sink.replace("users", flatten(read_users_json(spark, users_json, users_layout)))
-    sales = sink.replace("sales", read_sales_csv(spark, sales_csv, with_index))
-    if payloads is not None:
-        rows = read_payloads(spark, payloads, payload_format)
-        found = extract_payload(rows, on_missing=on_missing)
-    else:
-        rows = lookup_payloads(users, LOCATION, fetch_factory, on_missing=on_missing)
-        found = lookup_weather(users, rows, LOCATION, on_missing=on_missing)
-    weather = sink.replace("user_weather", found)
-
-    joined = enrich_sales(sales, users, weather)
-    dated = joined.withColumn("order_date", parse_date(q("order_date")))
-    wide = sink.replace("sales_enriched", dated)
-
-    return {"users": users, "sales": sales, "user_weather": weather, "sales_enriched": wide}
-
-
-def store_marts(
-    sink: Sink, wide: DataFrame, customers: DataFrame | None = None
-) -> dict[str, DataFrame]:
-    """Compute and replace the nine result tables.
-
-    Reads the wide table twice, two columns each time, and once more for the customer parts
-    unless they are given.
-    """
-    stored = {}
-
-    def put(name: str, df: DataFrame) -> DataFrame:
-        stored[RESULT_PREFIX + name] = sink.replace(RESULT_PREFIX + name, df)
-        return stored[RESULT_PREFIX + name]
-
-    if customers is None:
-        customers = marts.customer_parts_of_wide(wide)
-    customers = land(customers, "customer-parts")
-    totals = put("total_sales_per_customer", marts.total_sales_per_customer(customers))
-    put("top_selling_customers", marts.top_selling_customers(totals))
-    put("total_sales_per_address_city", marts.total_sales_per_city(customers))
-    put("average_sales_per_weather", marts.average_sales_per_weather(customers))
-
-    products = land(partial_sums(wide, ["product_id"], "quantity"), "product-parts")
-    put(
-        "average_order_quantity_per_product",
-        marts.average_order_quantity_per_product(products),
+    return tables
+
+
+def _weather(spark: SparkSession, users: DataFrame, inputs: Inputs) -> DataFrame:
+    if inputs.payloads is not None:
+        rows = read_payloads(spark, inputs.payloads, inputs.payload_format)
+        return extract_payload(rows, on_missing=inputs.on_missing)
+    rows = lookup_payloads(users, LOCATION, inputs.fetch_factory, on_missing=inputs.on_missing)
+    return lookup_weather(users, rows, LOCATION, on_missing=inputs.on_missing)
+
+
+def _store_customer_marts(store, parts: DataFrame) -> None:
+    parts = land(parts, "customer-parts")
+    totals = store(RESULT_PREFIX + "total_sales_per_customer", marts.total_sales_per_customer(parts))
+    store(RESULT_PREFIX + "top_selling_customers", marts.top_selling_customers(totals))
+    store(RESULT_PREFIX + "total_sales_per_address_city", marts.total_sales_per_city(parts))
+    store(RESULT_PREFIX + "average_sales_per_weather", marts.average_sales_per_weather(parts))
+
+
+def _store_product_marts(store, wide: DataFrame) -> None:
+    parts = land(partial_sums(wide, ["product_id"], "quantity"), "product-parts")
+    store(
+        RESULT_PREFIX + "average_order_quantity_per_product",
+        marts.average_order_quantity_per_product(parts),
     )
-    put("top_selling_products", marts.top_selling_products(products))
+    store(RESULT_PREFIX + "top_selling_products", marts.top_selling_products(parts))
+
+
+def _store_period_marts(store, wide: DataFrame) -> None:
+    daily = store(RESULT_PREFIX + "sales_trends_over_time", marts.sales_trends_over_time(wide))
+    store(RESULT_PREFIX + "monthly_sales", marts.monthly_sales(daily))
+    store(RESULT_PREFIX + "quarterly_sales", marts.quarterly_sales(daily))
+
 
-    daily = put("sales_trends_over_time", marts.sales_trends_over_time(wide))
-    put("monthly_sales", marts.monthly_sales(daily))
-    put("quarterly_sales", marts.quarterly_sales(daily))
-    return stored
+def _together(*steps: Callable[[], None]) -> None:
+    """Run steps from threads of their own; raise the first error once all have ended."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        running = [pool.submit(step) for step in steps]
+    for step in running:
+        step.result()

@@ -23,7 +23,7 @@ from salesloom.operators.flatten import flatten
 from salesloom.operators.lookup import LookupFailed, lookup_payloads, lookup_weather
 from salesloom.operators.ordinal import with_ordinal
 from salesloom.plans import marts
-from salesloom.plans.refresh import refresh
+from salesloom.plans.refresh import Inputs, refresh
 from salesloom.scratch import scratch_path
 from salesloom.sinks.tables import ParquetSink, restore_snapshot, save_snapshot
 from salesloom.sources import files
@@ -394,10 +394,12 @@ def full_refresh_results(spark, sf_dir):
     stored = refresh(
         spark,
         ParquetSink(spark, f"{root}/tables"),
-        f"{root}/sales",
-        f"{root}/users",
-        payloads=f"{root}/payloads",
-        users_layout="lines",
+        Inputs(
+            f"{root}/sales",
+            f"{root}/users",
+            payloads=f"{root}/payloads",
+            users_layout="lines",
+        ),
     )
     results = None
     for name, df in stored.items():

@@ -7,7 +7,7 @@ from pyspark import cloudpickle
 from test_lookup import document
 from test_marts import EXPECTED
 
-from salesloom.plans.refresh import refresh
+from salesloom.plans.refresh import Inputs, refresh, store_marts
 from salesloom.sinks import CatalogSink, JdbcSink, ParquetSink, restore_snapshot, save_snapshot
 from salesloom.sources.files import read_table
 
@@ -74,28 +74,46 @@ def test_refresh_to_parquet_twice(spark, inputs, tmp_path, weather):
         del options["payloads"]
         options["fetch_factory"] = offline
     sink = ParquetSink(spark, str(tmp_path))
-    check(refresh(spark, sink, **options))
-    check(refresh(spark, sink, **options))
+    check(refresh(spark, sink, Inputs(**options)))
+    check(refresh(spark, sink, Inputs(**options)))
     stored = read_table(spark, sink.path("results_total_sales_per_customer"))
     assert rows_of(stored) == EXPECTED["total_sales_per_customer"]
 
 
 def test_refresh_to_catalog(spark, inputs, tmp_path):
     sink = CatalogSink(spark, root=str(tmp_path / "tables"))
-    check(refresh(spark, sink, **inputs))
+    check(refresh(spark, sink, Inputs(**inputs)))
     assert rows_of(read_table(spark, "default.results_monthly_sales")) == EXPECTED["monthly_sales"]
 
 
 def test_errors_end_the_run(spark, inputs, tmp_path):
     with pytest.raises(ValueError):
-        refresh(spark, ParquetSink(spark, str(tmp_path)), inputs["sales_csv"], inputs["users_json"])
+        Inputs(inputs["sales_csv"], inputs["users_json"])
     bad = tmp_path / "bad.csv"
     bad.write_text(
         "order_id,customer_id,product_id,quantity,price,order_date\n1,1,1,1,1.0,2023-13-45\n"
     )
     with pytest.raises(Exception, match="unreadable date"):
-        refresh(spark, ParquetSink(spark, str(tmp_path / "t")), str(bad), inputs["users_json"],
-                inputs["payloads"])
+        refresh(
+            spark, ParquetSink(spark, str(tmp_path / "t")), Inputs(**{**inputs, "sales_csv": str(bad)})
+        )
+
+
+def test_repeated_weather_ends_the_run(spark, inputs, tmp_path):
+    twice = tmp_path / "payloads.json"
+    line = json.dumps({"user_info_table_id": 1, "payload": document(1.0)})
+    twice.write_text(line + "\n" + line)
+    sink = ParquetSink(spark, str(tmp_path / "t"))
+    with pytest.raises(ValueError, match="repeated key"):
+        refresh(spark, sink, Inputs(**{**inputs, "payloads": str(twice)}))
+
+
+def test_marts_of_a_stored_wide_table(spark, inputs, tmp_path):
+    sink = ParquetSink(spark, str(tmp_path))
+    wide = refresh(spark, sink, Inputs(**inputs))["sales_enriched"]
+    again = store_marts(ParquetSink(spark, str(tmp_path / "again")), wide)
+    for name, rows in EXPECTED.items():
+        assert rows_of(again["results_" + name]) == rows, name
 
 
 def test_snapshot_restores_equal_rows(spark, users, sales, tmp_path):

@@ -13,7 +13,7 @@ from pathlib import Path
 import pytest
 
 from salesloom.operators.flatten import flatten
-from salesloom.plans.refresh import refresh
+from salesloom.plans.refresh import Inputs, refresh
 from salesloom.sinks import ParquetSink
 from salesloom.sources.files import from_records, read_users_json
 from salesloom.sources.schemas import USER, USER_WEATHER
@@ -90,8 +90,9 @@ def tables(spark, tmp_path_factory):
         payloads.append({"user_info_table_id": w[-1], "payload": json.dumps(answer)})
     (root / "payloads.json").write_text("\n".join(json.dumps(p) for p in payloads))
     stored = refresh(
-        spark, ParquetSink(spark, str(root / "out")), str(csv), str(root / "users.json"),
-        payloads=str(root / "payloads.json"),
+        spark,
+        ParquetSink(spark, str(root / "out")),
+        Inputs(str(csv), str(root / "users.json"), payloads=str(root / "payloads.json")),
     )
     expected = from_records(spark, weather, USER_WEATHER)
     assert stored["user_weather"].exceptAll(expected).count() == 0
