@@ -49,7 +49,7 @@ def lookup_payloads(
     keys = df.select(*[q(c).alias(n) for c, n in zip(key_cols, names)])
     for name in names:
         keys = keys.where(F.col(name).isNotNull())
-    width = partitions or spark.sparkContext.defaultParallelism
+    width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = StructType(
         [keys.schema[n] for n in names] + [StructField("payload", StringType())]
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from salesloom.functions.columns import q
 from salesloom.operators.ordinal import with_file_position
@@ -57,6 +57,10 @@ def _cell(field: StructField):
     if isinstance(field.dataType, StringType):
         return present.alias(field.name)
     typed = present.try_cast(field.dataType)
+    if isinstance(field.dataType, LongType):
+        # A whole number column that once had gaps is written as 3.0.
+        number = present.try_cast("double")
+        typed = F.coalesce(typed, F.when(number == F.rint(number), number.try_cast("long")))
     return (
         F.when(
             present.isNotNull() & typed.isNull(),
