@@ -1,4 +1,4 @@
-"""Single-key aggregates with the reference's missing-value and tie rules.
+"""Single-key aggregates with the missing-value and tie rules of an in-memory data frame.
 
 * rows with a NULL key are left out;
 * NULL and NaN values are missing: a total without values is 0, a mean without values NULL;
