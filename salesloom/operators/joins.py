@@ -10,7 +10,7 @@ import math
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
 
@@ -134,8 +134,8 @@ def lookup_join(
 
 def _auto_broadcast_bytes(spark) -> float:
     text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    found = re.fullmatch(r"(-?\d+)([kmg]?)b?", text.strip().lower())
-    return int(found.group(1)) * {"": 1, "k": 2**10, "m": 2**20, "g": 2**30}[found.group(2)]
+    found = re.fullmatch(r"(-?\d+)([kmgtp]?)b?", text.strip().lower())
+    return int(found.group(1)) * 1024 ** " kmgtp".index(found.group(2) or " ")
 
 
 def _equal(on: Sequence[tuple[str, str]]):
@@ -145,15 +145,20 @@ def _equal(on: Sequence[tuple[str, str]]):
     return condition
 
 
+def salt(salts: int) -> Column:
+    """A number below ``salts`` for each row, by the partition the row lies in.
+
+    A key's rows, exact copies too, come from all partitions of a long table and so reach all
+    salts. A task that is run again gives the same numbers, in whatever order it reads its rows.
+    """
+    return F.pmod(F.spark_partition_id(), F.lit(salts))
+
+
 def _salted_join(facts, reference, on, how, hot, salts):
-    # The salt must come out the same when a lost task is run again, so it is made of the row's
-    # content (spreads distinct rows) and its partition number (spreads exact copies).
-    content = [q(f.name) for f in facts.schema.fields if isinstance(f.dataType, AtomicType)]
-    spread = F.pmod(F.xxhash64(*content) + F.spark_partition_id() * F.lit(7919), F.lit(salts))
     fact_key = F.xxhash64(*[q(left) for left, _ in on])
     ref_key = F.xxhash64(*[q(right) for _, right in on])
     salted_facts = facts.withColumn(
-        "_fact_salt", F.when(fact_key.isin(hot), spread.cast("int")).otherwise(F.lit(0))
+        "_fact_salt", F.when(fact_key.isin(hot), salt(salts)).otherwise(F.lit(0))
     )
     repeats = F.when(
         ref_key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))

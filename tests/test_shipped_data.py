@@ -21,6 +21,7 @@ from salesloom.sources.schemas import USER, USER_WEATHER
 FOLDER = os.environ.get("SALES_DATA_DIR", "")
 pytestmark = pytest.mark.skipif(not FOLDER, reason="SALES_DATA_DIR is not set")
 
+# Results that must come out.
 CUSTOMERS = {
     "Chelsey Dietrich": 5801.88,
     "Clementina DuBuque": 6067.06,
