@@ -15,15 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from salesloom.functions.columns import from_units, money_units, period_start, q
+from salesloom.functions.columns import money_count, money_sum, period_start, q
 
 
 def _parts(df: DataFrame, value: str) -> tuple[Column, Column]:
     """Sum and count of the values present: decimal sum for amounts, long for whole numbers."""
     kind = df.schema[value].dataType
     if isinstance(kind, (DoubleType, FloatType)):
-        units = money_units(q(value))
-        return from_units(F.sum(units)), F.count(units)
+        return money_sum(q(value)), money_count(q(value))
     if isinstance(kind, DecimalType):
         return F.sum(q(value)), F.count(q(value))
     return F.sum(q(value).cast("long")), F.count(q(value))

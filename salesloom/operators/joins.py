@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType
+from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from salesloom.functions.columns import q
 
@@ -41,17 +41,17 @@ def estimated_bytes(df: DataFrame) -> float:
 
 def measured_bytes(df: DataFrame) -> int:
     """Uncompressed size of ``df`` by one aggregate: 16 bytes a row, 8 a column, and all text."""
-    text = [
-        F.octet_length(q(f.name).cast("string"))
-        for f in df.schema.fields
-        if f.dataType.simpleString() == "string" or not isinstance(f.dataType, AtomicType)
-    ]
-    fixed = 16 + 8 * len(df.columns)
+    lengths = []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            lengths.append(F.octet_length(q(field.name)))
+        elif not isinstance(field.dataType, AtomicType):
+            lengths.append(F.octet_length(q(field.name).cast("string")))
     row = df.agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.coalesce(F.sum(t), F.lit(0)).alias(f"t{i}") for i, t in enumerate(text)],
+        *[F.coalesce(F.sum(t), F.lit(0)).alias(f"t{i}") for i, t in enumerate(lengths)],
     ).first()
-    return row[0] * fixed + sum(row[1:])
+    return row[0] * (16 + 8 * len(df.columns)) + sum(row[1:])
 
 
 def hot_keys(

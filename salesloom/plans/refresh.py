@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -134,6 +135,6 @@ def _store_period_marts(store, wide: DataFrame) -> None:
 def _together(*steps: Callable[[], None]) -> None:
     """Run steps from threads of their own; raise the first error once all have ended."""
     with ThreadPoolExecutor(len(steps)) as pool:
-        running = [pool.submit(step) for step in steps]
+        running = [pool.submit(copy_context().run, step) for step in steps]
     for step in running:
         step.result()

@@ -12,11 +12,13 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own_root: str | None = None
-_open_scopes: list[list[str]] = []
+# Per context: two refreshes in one process must not delete each other's files.
+_landed: ContextVar[list[str] | None] = ContextVar("landed", default=None)
 
 
 def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
@@ -25,8 +27,9 @@ def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
     Inside :func:`temporary` it is deleted when the block ends, unless ``keep`` is set.
     """
     path = f"{_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    if _open_scopes and not keep:
-        _open_scopes[-1].append(path)
+    landed = _landed.get()
+    if landed is not None and not keep:
+        landed.append(path)
     return path
 
 
@@ -41,13 +44,16 @@ def land(df: DataFrame, label: str, keep: bool = False) -> DataFrame:
 def temporary(spark: SparkSession) -> Iterator[None]:
     """Delete what was landed in the block when it ends, also after an error.
 
-    Frames that still read those files must not be used afterwards.
+    Frames that still read those files must not be used afterwards. Threads started in the block
+    belong to it if they run in a copy of its context.
     """
-    _open_scopes.append([])
+    paths: list[str] = []
+    outer = _landed.set(paths)
     try:
         yield
     finally:
-        for path in _open_scopes.pop():
+        _landed.reset(outer)
+        for path in paths:
             _delete(spark, path)
 
 

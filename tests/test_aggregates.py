@@ -1,4 +1,5 @@
 import math
+from decimal import Decimal
 
 import pytest
 from conftest import rows_of
@@ -38,6 +39,32 @@ def test_amount_that_does_not_fit_raises(spark, bad):
         agg.total_by(df, "k", "v").collect()
 
 
+def test_signs_limits_and_types(spark):
+    rows = [("a", -0.01), ("a", -1234567.89), ("a", 1e13), ("b", 8.9e13), ("b", 8.9e13), ("c", -0.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    parts = agg.partial_sums(df, ["k"], "v")
+    assert parts.schema["v_sum"].dataType.simpleString() == "decimal(33,4)"
+    got = {r["k"]: r["v_sum"] for r in parts.collect()}
+    assert got == {
+        "a": Decimal("9999998765432.1000"), "b": Decimal("178000000000000"), "c": Decimal(0),
+    }
+    floats = df.withColumn("v", F.col("v").cast("float"))
+    assert {r["k"] for r in agg.total_by(floats, "k", "v").collect()} == {"a", "b", "c"}
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_total_that_does_not_fit_raises(spark, ansi):
+    # 2**23 amounts near the limit exceed the high part's long.
+    df = spark.range(2**24, numPartitions=4).select(F.lit("k").alias("k"), F.lit(8.9e13).alias("v"))
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        with pytest.raises(Exception, match="total too large"):
+            agg.total_by(df, "k", "v").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
 def test_whole_numbers_stay_whole(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", None)], "k string, v int")
     got = agg.total_by(df, "k", "v")

@@ -123,6 +123,7 @@ def test_measured_size_counts_all_text(spark):
     df = spark.range(10).select("id", F.repeat(F.lit("x"), 100).alias("t"))
     assert joins.measured_bytes(df) == 10 * (16 + 2 * 8) + 1000
     assert joins.measured_bytes(df.limit(0)) == 0
+    assert joins.measured_bytes(df.select(F.col("t").cast("binary"))) == 10 * 24 + 1000
     nested = df.select(F.array("t", "t").alias("a"))
     assert joins.measured_bytes(nested) > 2000
 

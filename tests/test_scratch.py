@@ -1,4 +1,6 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 import pytest
 
@@ -30,6 +32,18 @@ def test_temporary_deletes_at_the_end_and_after_errors(spark):
     assert len(set(os.listdir(root)) - before) == 1
 
 
+def test_scopes_of_other_threads_are_left_alone(spark):
+    with scratch.temporary(spark):
+        with ThreadPoolExecutor(1) as pool:
+            own = pool.submit(copy_context().run, scratch.land, spark.range(1), "own").result()
+            other = pool.submit(scratch.land, spark.range(2), "other").result()
+        assert (own.count(), other.count()) == (1, 2)
+        gone = own.inputFiles()[0].removeprefix("file:").lstrip("/")
+        assert os.path.exists("/" + gone)
+    assert not os.path.exists("/" + gone)
+    assert other.count() == 2
+
+
 class Conf(dict):
     def get(self, key, default=None):
         return dict.get(self, key, default)
