@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Amounts are added as whole units of a ten-thousandth, in two parts that fit a long each: the units
-# above and below 2**20. A decimal sum is as exact but takes several times as long per row.
+# Amounts are added as whole units of a ten-thousandth, in two longs: the units above and below
+# 2**20. A decimal sum is as exact but takes several times as long per row.
 UNITS = 10_000
 LOW_BITS = 20
 # The high part of one amount stays below 2**40.
@@ -45,9 +45,8 @@ def money_sum(value: Column) -> Column:
     step = F.lit(1 << LOW_BITS).cast("decimal(7,0)")
     total = high.cast("decimal(19,0)") * step + low.cast("decimal(19,0)")
     exact = total * F.lit("0.0001").cast("decimal(4,4)")
-    return F.when(
-        high.isNull() & low.isNotNull(), F.raise_error(F.lit("total too large")).cast("decimal(33,4)")
-    ).otherwise(exact)
+    overflow = F.raise_error(F.lit("total too large")).cast("decimal(33,4)")
+    return F.when(high.isNull() & low.isNotNull(), overflow).otherwise(exact)
 
 
 def money_count(value: Column) -> Column:

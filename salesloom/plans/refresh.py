@@ -111,7 +111,8 @@ def _weather(spark: SparkSession, users: DataFrame, inputs: Inputs) -> DataFrame
 
 def _store_customer_marts(store, parts: DataFrame) -> None:
     parts = land(parts, "customer-parts")
-    totals = store(RESULT_PREFIX + "total_sales_per_customer", marts.total_sales_per_customer(parts))
+    totals = marts.total_sales_per_customer(parts)
+    totals = store(RESULT_PREFIX + "total_sales_per_customer", totals)
     store(RESULT_PREFIX + "top_selling_customers", marts.top_selling_customers(totals))
     store(RESULT_PREFIX + "total_sales_per_address_city", marts.total_sales_per_city(parts))
     store(RESULT_PREFIX + "average_sales_per_weather", marts.average_sales_per_weather(parts))

@@ -1,3 +1,9 @@
-from salesloom.sinks.tables import CatalogSink, JdbcSink, ParquetSink, restore_snapshot, save_snapshot
+from salesloom.sinks.tables import (
+    CatalogSink,
+    JdbcSink,
+    ParquetSink,
+    restore_snapshot,
+    save_snapshot,
+)
 
 __all__ = ["CatalogSink", "JdbcSink", "ParquetSink", "restore_snapshot", "save_snapshot"]

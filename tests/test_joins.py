@@ -109,7 +109,8 @@ def test_small_tables_have_no_hot_keys(hot):
 
 
 @pytest.mark.parametrize(
-    "text, size", [("-1", -1), ("10485760b", 10 * joins.MIB), ("10MB", 10 * joins.MIB), ("2g", 2**31)]
+    "text, size",
+    [("-1", -1), ("10485760b", 10 * joins.MIB), ("10MB", 10 * joins.MIB), ("2g", 2**31)],
 )
 def test_broadcast_threshold(spark, text, size):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", text)

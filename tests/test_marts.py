@@ -8,7 +8,6 @@ from salesloom.functions.columns import parse_date
 from salesloom.operators import aggregates as agg
 from salesloom.operators.joins import enrich_sales
 from salesloom.plans import marts
-from salesloom.sources.files import from_records
 from salesloom.sources.schemas import MART_SCHEMAS
 
 

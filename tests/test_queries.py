@@ -1,11 +1,14 @@
 """Every registered query against its SQL, on the driver's tables when they are there."""
 
+import functools
 import os
 
 import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from salesloom.operators import joins, lookup
+from salesloom.plans import marts
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = ["region", "nation", "customer", "orders", "lineitem", "events"]
@@ -48,6 +51,31 @@ def test_query_agrees_with_sql(spark, db, name):
         assert a == b
 
 
+SPLIT = [
+    "sales_enriched",
+    "sales_with_users",
+    "total_sales_per_customer",
+    "average_sales_per_weather",
+    "top_selling_products",
+    "sales_trends_daily",
+    "lookup_enrich",
+]
+
+
+@pytest.mark.parametrize("name", SPLIT)
+def test_query_agrees_when_every_join_is_split(spark, db, monkeypatch, name):
+    """No broadcast at all, and keys of a few rows already count as hot."""
+    split = functools.partial(joins.lookup_join, broadcast_limit=0, slices=500, hot_rows=3)
+    for module in (joins, lookup, marts):
+        monkeypatch.setattr(module, "lookup_join", split)
+    monkeypatch.setattr(joins, "SKETCH_GROUPS", 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_query_agrees_with_sql(spark, db, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_totals_agree_with_each_other(spark):
     run = contract.queries()
     names = ["total_sales_per_customer", "total_sales_per_city", "sales_trends_daily",

@@ -1,4 +1,5 @@
 import json
+import os
 import sys
 
 import pytest
@@ -7,6 +8,7 @@ from pyspark import cloudpickle
 from test_lookup import document
 from test_marts import EXPECTED
 
+from salesloom.__main__ import main
 from salesloom.plans.refresh import Inputs, refresh, store_marts
 from salesloom.sinks import CatalogSink, JdbcSink, ParquetSink, restore_snapshot, save_snapshot
 from salesloom.sources.files import read_table
@@ -94,9 +96,8 @@ def test_errors_end_the_run(spark, inputs, tmp_path):
         "order_id,customer_id,product_id,quantity,price,order_date\n1,1,1,1,1.0,2023-13-45\n"
     )
     with pytest.raises(Exception, match="unreadable date"):
-        refresh(
-            spark, ParquetSink(spark, str(tmp_path / "t")), Inputs(**{**inputs, "sales_csv": str(bad)})
-        )
+        sink = ParquetSink(spark, str(tmp_path / "t"))
+        refresh(spark, sink, Inputs(**{**inputs, "sales_csv": str(bad)}))
 
 
 def test_repeated_weather_ends_the_run(spark, inputs, tmp_path):
@@ -108,6 +109,23 @@ def test_repeated_weather_ends_the_run(spark, inputs, tmp_path):
         refresh(spark, sink, Inputs(**{**inputs, "payloads": str(twice)}))
 
 
+def test_command_line(spark, inputs, tmp_path):
+    out, kept = str(tmp_path / "out"), str(tmp_path / "kept")
+    scratch = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(scratch))
+    main(["refresh", "--sales", inputs["sales_csv"], "--users", inputs["users_json"],
+          "--payloads", inputs["payloads"], "--no-index", "--out", out])
+    assert set(os.listdir(scratch)) == before
+    sink = ParquetSink(spark, out)
+    assert len(sink.read("sales_enriched").columns) == 36
+    main(["marts", "--out", out])
+    for name, rows in EXPECTED.items():
+        assert rows_of(sink.read("results_" + name)) == rows, name
+    save_snapshot(spark, {"users": sink.read("users").where("id = 1")}, kept)
+    main(["restore", "--snapshot", kept, "--tables", "users", "--out", out])
+    assert sink.read("users").count() == 1
+
+
 def test_marts_of_a_stored_wide_table(spark, inputs, tmp_path):
     sink = ParquetSink(spark, str(tmp_path))
     wide = refresh(spark, sink, Inputs(**inputs))["sales_enriched"]

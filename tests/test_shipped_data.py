@@ -16,7 +16,7 @@ from salesloom.operators.flatten import flatten
 from salesloom.plans.refresh import Inputs, refresh
 from salesloom.sinks import ParquetSink
 from salesloom.sources.files import from_records, read_users_json
-from salesloom.sources.schemas import USER, USER_WEATHER
+from salesloom.sources.schemas import USER_WEATHER
 
 FOLDER = os.environ.get("SALES_DATA_DIR", "")
 pytestmark = pytest.mark.skipif(not FOLDER, reason="SALES_DATA_DIR is not set")
