@@ -11,6 +11,10 @@ from salesloom.functions.columns import first_element, q
 from salesloom.sources.schemas import WEATHER_FIELDS, WEATHER_PAYLOAD
 
 
+def _whole(reading: Column) -> Column:
+    return F.rint(reading).try_cast("long")
+
+
 def _weather_columns() -> dict[str, Column]:
     station = first_element(F.col("_weather"))
     reading, wind = F.col("_main"), F.col("_wind")
@@ -23,12 +27,12 @@ def _weather_columns() -> dict[str, Column]:
         "feels_like": reading["feels_like"],
         "temp_min": reading["temp_min"],
         "temp_max": reading["temp_max"],
-        "pressure": reading["pressure"],
-        "humidity": reading["humidity"],
-        "visibility": F.col("_visibility"),
+        "pressure": _whole(reading["pressure"]),
+        "humidity": _whole(reading["humidity"]),
+        "visibility": _whole(F.col("_visibility")),
         "wind_speed": wind["speed"],
-        "wind_deg": wind["deg"],
-        "cloudiness": F.col("_clouds")["all"],
+        "wind_deg": _whole(wind["deg"]),
+        "cloudiness": _whole(F.col("_clouds")["all"]),
     }
 
 

@@ -45,6 +45,7 @@ USER = _struct(
     company=_struct(name=STRING, catchPhrase=STRING, bs=STRING),
 )
 
+# Readings are parsed as doubles, as services send 1014.32 where a whole number is stored.
 WEATHER_PAYLOAD = _struct(
     weather=ArrayType(_struct(id=LONG, main=STRING, description=STRING, icon=STRING)),
     main=_struct(
@@ -52,12 +53,12 @@ WEATHER_PAYLOAD = _struct(
         feels_like=DOUBLE,
         temp_min=DOUBLE,
         temp_max=DOUBLE,
-        pressure=LONG,
-        humidity=LONG,
+        pressure=DOUBLE,
+        humidity=DOUBLE,
     ),
-    visibility=LONG,
-    wind=_struct(speed=DOUBLE, deg=LONG),
-    clouds=_struct(all=LONG),
+    visibility=DOUBLE,
+    wind=_struct(speed=DOUBLE, deg=DOUBLE),
+    clouds=_struct(all=DOUBLE),
 )
 
 USER_WEATHER = _struct(

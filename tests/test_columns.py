@@ -37,6 +37,12 @@ def test_payload_fields_and_dropped_failures(payloads):
     ]
 
 
+def test_readings_with_digits_are_kept_as_whole_numbers(spark):
+    text = GOOD.replace("1026", "1014.32").replace('"deg":172', '"deg":171.6')
+    row = extract_payload(spark.createDataFrame([(text,)], "payload string")).first()
+    assert (row["pressure"], row["wind_deg"], row["humidity"]) == (1014, 172, 77)
+
+
 def test_payload_other_modes(payloads):
     kept = extract_payload(payloads, on_missing="keep")
     assert kept.count() == 6
