@@ -371,6 +371,13 @@ def json_roundtrip(spark, sf_dir):
     return flatten(files.read_users_json(spark, path, layout="lines"))
 
 
+def landed_payloads(spark, sf_dir):
+    """Users' weather from payloads stored as JSON lines."""
+    path = scratch_path(spark, "payloads")
+    user_payloads(spark, sf_dir).write.json(path)
+    return extract_payload(files.read_payloads(spark, path))
+
+
 def table_replace(spark, sf_dir):
     sink = ParquetSink(spark, scratch_path(spark, "tables"))
     sink.replace("users", table(spark, sf_dir, "customer"))
@@ -441,6 +448,7 @@ QUERIES = {
         csv_roundtrip,
         csv_row_index,
         json_roundtrip,
+        landed_payloads,
         table_replace,
         snapshot_restore,
         full_refresh_results,

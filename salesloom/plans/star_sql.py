@@ -75,6 +75,14 @@ _RESULTS = {
     "quarterly_sales": (_periods("quarter"), "order_date", "price"),
 }
 
+_PAYLOAD = """
+event_id as weather_id, event_type as weather_main, props as weather_description,
+'e' as weather_icon, value as temp, value + 1 as feels_like, value - 1 as temp_min,
+value * 2 as temp_max, user_id as pressure,
+cast(json_extract_string(props, '$.k') as bigint) as humidity, value / 2 as wind_speed,
+cast(json_extract_string(props, '$.k') as bigint) as wind_deg, event_id % 101 as cloudiness
+"""
+
 SQL = {
     "sales_enriched": f"{_INPUTS} select * from wide",
     "sales_enriched_sql": f"{_INPUTS} select * from wide",
@@ -96,15 +104,14 @@ order by order_id, product_id, quantity, price limit 5""",
     "reaggregated_customer_totals": f"""{_INPUTS}
 select name, {_TOTAL} as price from ({_CUSTOMERS}) totals group by name""",
     "flatten_customer": _FLAT_USERS,
-    "extract_payload": """
-select event_id as weather_id, event_type as weather_main, props as weather_description,
-       'e' as weather_icon, value as temp, value + 1 as feels_like, value - 1 as temp_min,
-       value * 2 as temp_max, user_id as pressure,
-       cast(json_extract_string(props, '$.k') as bigint) as humidity,
-       event_id * 10 as visibility, value / 2 as wind_speed,
-       cast(json_extract_string(props, '$.k') as bigint) as wind_deg,
-       event_id % 101 as cloudiness, event_id
+    "extract_payload": f"""
+select {_PAYLOAD}, event_id * 10 as visibility, event_id
 from events where event_type not in ('error', 'click', 'signup')""",
+    "landed_payloads": f"""
+select {_PAYLOAD}, event_id as visibility, user_id as user_info_table_id
+from (select *, row_number() over (partition by user_id order by event_id desc) as place
+      from events) ranked
+where place = 1""",
     "lookup_enrich": """
 select cast(800 + c_nationkey as bigint) as weather_id,
        case when c_nationkey % 2 = 1 then 'Clear' else 'Clouds' end as weather_main,
