@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from salesloom.functions.columns import q
 from salesloom.operators.ordinal import with_file_position
@@ -52,25 +52,20 @@ def read_csv(
 
 
 def _cell(field: StructField):
+    """A text cell as its declared type. A readable cell is cast once and not looked up."""
     cell = q(field.name)
-    present = F.when(~cell.isin(MISSING_CELLS), cell)
     if isinstance(field.dataType, StringType):
-        return present.alias(field.name)
-    typed = present.try_cast(field.dataType)
+        return F.when(~cell.isin(MISSING_CELLS), cell).alias(field.name)
+    typed = cell.try_cast(field.dataType)
+    if isinstance(field.dataType, DoubleType):
+        typed = F.nanvl(typed, F.lit(None).cast("double"))
     if isinstance(field.dataType, LongType):
         # A whole number column that once had gaps is written as 3.0.
-        number = present.try_cast("double")
+        number = cell.try_cast("double")
         typed = F.coalesce(typed, F.when(number == F.rint(number), number.try_cast("long")))
-    return (
-        F.when(
-            present.isNotNull() & typed.isNull(),
-            F.raise_error(
-                F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), cell)
-            ).cast(field.dataType),
-        )
-        .otherwise(typed)
-        .alias(field.name)
-    )
+    message = F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), cell)
+    unreadable = F.raise_error(message).cast(field.dataType)
+    return F.coalesce(typed, F.when(~cell.isin(MISSING_CELLS), unreadable)).alias(field.name)
 
 
 def read_sales_csv(
