@@ -6,6 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as contract
+from salesloom.plans import star_schema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -56,7 +57,7 @@ def test_payload_text_is_parsed_once(spark):
     assert "from_json" not in extraction
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(star_schema.QUERIES))
 def test_no_window_and_no_cross_product(spark, name):
     text = plan(spark, name)
     assert "Window" not in text
