@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import url_filter
+from salesloom.llm import quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_url_filter": url_filter.op9_url_filter}
+    return {
+        "op9_url_filter": url_filter.op9_url_filter,
+        "op10_quality_rules": quality_rules.op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
