@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import quality_rules, url_filter
+from salesloom.llm import html_extract, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op9_url_filter": url_filter.op9_url_filter,
+        "op6_html_extract": html_extract.op6_html_extract,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 

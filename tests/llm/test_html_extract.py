@@ -1,0 +1,53 @@
+import pytest
+
+from salesloom.llm.html_extract import extract_text, main_text
+
+CASES = [
+    ("", ""),
+    ("plain  text", "plain text"),
+    ("<p>a<b>b</b> c<br>d</p><p>e", "ab c d e"),
+    ("<p>1 < 2 &amp;&lt;b&gt; &#233;&#x41;&copy</p>", "1 < 2 &<b> éA©"),
+    ("<nav>x</nav><article><h1>T</h1><p>a</article><footer>f</footer>", "T a"),
+    ("<body><header>Site</header><p>a<script>var t='<p>x</p>'</script></body>", "a"),
+    ("<article><header><h1>T</h1></header><p>a</p></article>", "T a"),
+    ("<div class='page with-sidebar'><article>a</article><div id=sidebar>s</div></div>", "a"),
+    ("<article>a<section class='comments'><article class=comment>c</article></section></article>", "a"),
+    ("<article><p>a<!-- <p>x</p> --><div class=\"ad\">buy</div><form><input>f</form>z</article>", "a z"),
+    ("<main><ul><li>a<li>b</ul></main>x", "a b"),
+    ("<p title='a>b'>x</p><p data-x=\"it's\">y", "x y"),
+    ("<p>x</p><a hre", "x"),
+    ("<article><table><tr><td>1<td>2<tr><td>3</table></article>", "1 2 3"),
+    ("<title>t</title><p>x<style>p{}</style>y&nbsp;z", "xy z"),
+]
+
+
+@pytest.mark.parametrize("html, text", CASES)
+def test_main_text(html, text):
+    assert main_text(html) == text
+
+
+def test_deep_nesting_and_long_pages():
+    assert main_text("<div>" * 50_000 + "x" * 500_000) == "x" * 500_000
+
+
+def test_recurring_subtrees_of_a_host_go(spark):
+    def page(i, extra=""):
+        return f"<div><div>Call us today</div><p>story {i} with its own long text</p>{extra}</div>"
+
+    rows = [(i, "http://a.com/x", page(i), "t") for i in range(8)]
+    rows += [(i, "http://b.com/x", page(i), "t") for i in range(20, 23)]  # too few pages
+    rows += [(50, None, None, None), (50, None, None, None), (None, "x", "", "t")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, Text string")
+    got = {(r.page_id, r.text) for r in extract_text(pages).collect()}
+    assert (3, "story 3 with its own long text") in got
+    assert (21, "Call us today story 21 with its own long text") in got
+    assert (50, "") in got and (None, "") in got
+    out = extract_text(pages)
+    assert out.columns == ["page_id", "url", "html", "text", "n_chars"] and out.count() == 14
+    assert extract_text(pages.limit(0)).count() == 0
+
+
+def test_recurring_paragraphs_stay(spark):
+    rows = [(i, "http://a.com/", f"<article><p>Same line.</p><p>own {i}</p></article>") for i in range(9)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert {r.text for r in extract_text(pages).collect()} == {f"Same line. own {i}" for i in range(9)}
