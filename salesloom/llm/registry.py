@@ -6,16 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import html_extract, quality_rules, url_filter
+from salesloom.llm import html_extract, line_dedup, mixing, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op9_url_filter": url_filter.op9_url_filter,
+        "op2_line_dedup": line_dedup.op2_line_dedup,
+        "op3_mixing": mixing.op3_mixing,
         "op6_html_extract": html_extract.op6_html_extract,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_url_filter": url_filter.OP9_SQL}
+    return {"op2_line_dedup": line_dedup.OP2_SQL, "op9_url_filter": url_filter.OP9_SQL}
