@@ -1,0 +1,102 @@
+import random
+
+import numpy as np
+
+from salesloom.llm.lang_id import Labeller, Network, fit, gradients, held_out, identify, train
+from pyspark.sql import functions as F
+
+WORDS = {"xx": "kal mor tin gar".split(), "yy": "oui eau èle aux".split()}
+
+
+def texts(n, seed):
+    rng = random.Random(seed)
+    rows = []
+    for i in range(n):
+        lang = rng.choice(sorted(WORDS))
+        rows.append((i, " ".join(rng.choices(WORDS[lang], k=rng.randint(3, 80))), lang))
+    return rows
+
+
+def small_net(dtype):
+    rng = np.random.default_rng(3)
+    return Network(
+        ["a", "b", "c"], rng.normal(size=(2, 256, 12)).astype(dtype),
+        rng.normal(size=(2, 4, 12)).astype(dtype), rng.normal(size=(2, 4, 3)).astype(dtype),
+        rng.normal(size=3).astype(dtype),
+    )
+
+
+def test_gradients_agree_with_differences():
+    net, rng = small_net(np.float64), np.random.default_rng(4)
+    windows, labels = rng.integers(0, 5, (6, 9)), rng.integers(0, 3, 6)
+    _, slopes = gradients(net, windows, labels)
+    for weights, slope in zip([net.inputs, net.state, net.output, net.bias], slopes):
+        for _ in range(12):
+            at = tuple(rng.integers(0, n) if i != 1 or n != 256 else rng.integers(0, 5)
+                       for i, n in enumerate(weights.shape))
+            old, losses = weights[at], []
+            for step in (1e-5, -1e-5):
+                weights[at] = old + step
+                losses.append(gradients(net, windows, labels)[0])
+            weights[at] = old
+            assert abs((losses[0] - losses[1]) / 2e-5 - slope[at]) < 1e-7
+
+
+def reference(net, data):
+    """One byte, one direction at a time."""
+    h_size, k = net.hidden, len(net.languages)
+    total = np.zeros(k)
+    for start in range(0, len(data), 128):
+        piece = data[start : start + 128]
+        logits = np.zeros((len(piece), k)) + net.bias
+        for d, places in ((0, range(len(piece))), (1, range(len(piece) - 1, -1, -1))):
+            h = np.zeros(h_size)
+            for t in places:
+                a, g = net.inputs[d][piece[t]], h @ net.state[d]
+                r, z, n = (slice(i * h_size, (i + 1) * h_size) for i in range(3))
+                gate = [0.5 + 0.5 * x / (1 + abs(x)) for x in (a[r] + g[r], a[z] + g[z])]
+                x = a[n] + gate[0] * g[n]
+                h = gate[1] * h + (1 - gate[1]) * x / (1 + abs(x))
+                logits[t] += h @ net.output[d]
+        p = np.exp(logits)
+        total += (p / p.sum(axis=1, keepdims=True)).sum(axis=0)
+    return total / len(data)
+
+
+def test_batched_labels_agree_with_a_plain_loop():
+    net, rng = small_net(np.float32), np.random.default_rng(5)
+    data = [rng.integers(0, 256, n).astype(np.uint8).tobytes() for n in (1, 2, 127, 128, 129, 700, 5)]
+    got = Labeller(net).probabilities(data)
+    np.testing.assert_allclose(got, [reference(net, d) for d in data], atol=1e-5)
+
+
+def test_held_out_accuracy_and_whole_texts():
+    rows = texts(300, 1)
+    net = fit([t.encode() for _, t, _ in rows[:150]], [x for _, _, x in rows[:150]], steps=60)
+    p = Labeller(net).probabilities([t.encode() for _, t, _ in rows[150:]])
+    right = [net.languages[i] == x for i, (_, _, x) in zip(p.argmax(axis=1), rows[150:])]
+    assert np.mean(right) > 0.97
+    late = ("kal " * 100 + "oui " * 3000).encode()  # what counts is all of the text
+    assert net.languages[Labeller(net).probabilities([late])[0].argmax()] == "yy"
+
+
+def test_operator(spark):
+    rows = [(i, t, x, "s") for i, t, x in texts(120, 2)]
+    rows += [(500, None, "xx", None), (501, "", None, "s"), (502, "12 34 !", "yy", "s"),
+             (None, "kal mor kal tin", None, "s"), (503, "oui eau " * 20_000, None, "s"),
+             (503, "oui eau " * 20_000, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, Score string")
+    net = train(docs.where(~held_out(F.col("doc_id"))), docs_per_language=40, steps=60)
+    assert net.languages == ["xx", "yy"]
+    out = identify(docs, net)
+    assert out.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    got = out.collect()
+    assert len(got) == len(rows)
+    assert {(r.lang_pred, r.score) for r in got if r.doc_id in (500, 501, 502)} == {("und", 0.0)}
+    assert [r.lang_pred for r in got if r.doc_id == 503] == ["yy", "yy"]
+    assert all(0 <= r.score <= 1 for r in got)
+    assert identify(docs.limit(0), net).count() == 0
+    assert train(docs.limit(0)) is None
+    assert {r.lang_pred for r in identify(docs, None).collect()} == {"und"}
+    again = train(docs.where(~held_out(F.col("doc_id"))).repartition(5), docs_per_language=40, steps=60)
+    np.testing.assert_array_equal(net.inputs, again.inputs)
