@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.functions.columns import q
 
@@ -41,3 +42,16 @@ def spread(df: DataFrame, column: str) -> DataFrame:
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return df.repartition(n, q(column), F.spark_partition_id())
+
+
+def map_arrow(
+    df: DataFrame, keep: Sequence[Column], inputs: Sequence[Column], run: Callable, made: StructType
+) -> DataFrame:
+    """``keep`` and the ``made`` columns that ``run`` computes from ``inputs`` in Arrow batches.
+
+    ``run`` gets batches of ``_row`` and the inputs and gives batches of ``_row`` and ``made``. What is
+    kept travels in one struct, so that its names can be anything.
+    """
+    packed = df.select(F.struct(*keep, F.lit(0).alias("_pad")).alias("_row"), *inputs)
+    schema = StructType([packed.schema["_row"], *made.fields])
+    return packed.mapInArrow(run, schema).select("_row.*", *made.names).drop("_pad")

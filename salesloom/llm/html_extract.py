@@ -15,9 +15,10 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table
+from salesloom.llm.common import map_arrow, others, table
 from salesloom.llm.url_filter import host_and_path
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -327,10 +328,10 @@ def extract_text(
     host, _ = host_and_path(q(url))
     rows = pages.select(*others(pages, made), host.alias("_host"), q(html).alias("_html"))
     templates = host_templates(rows, min_pages, min_share)
-    joined = lookup_join(rows, templates, [("_host", "_of_host")], "left").drop("_host", "_of_host")
-    kept = [f for f in joined.schema.fields if f.name not in ("_html", "_templates")]
-    schema = joined.select(*[q(f.name) for f in kept]).schema.add("text", "string").add("n_chars", "long")
-    return joined.mapInArrow(_text_rows, schema)
+    joined = lookup_join(rows, templates, [("_host", "_of_host")], "left")
+    schema = StructType().add("text", "string").add("n_chars", "long")
+    inputs = [F.col("_html"), F.col("_templates")]
+    return map_arrow(joined, others(pages, made), inputs, _text_rows, schema)
 
 
 def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -339,10 +340,9 @@ def _text_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             main_text(h.as_py() or "", set(t.as_py() or ()))
             for h, t in zip(batch["_html"], batch["_templates"])
         ]
-        rest = batch.drop_columns(["_html", "_templates"])
         yield pa.record_batch(
-            [*rest.columns, pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
-            names=[*rest.schema.names, "text", "n_chars"],
+            [batch["_row"], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
+            names=["_row", "text", "n_chars"],
         )
 
 

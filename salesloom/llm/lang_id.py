@@ -14,9 +14,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table
+from salesloom.llm.common import map_arrow, others, table
 
 UNKNOWN = "und"
 #: Bound of the training sample: documents per language, each with one passage of characters.
@@ -256,14 +257,12 @@ def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFr
     """All rows of ``docs`` with ``lang_pred`` and ``score``, the probability of that language.
 
     Whole texts are read. ``und`` and 0 for NULL, empty and letterless texts, and for all if
-    there is no network. Equal texts get equal results; an empty table gives an empty one.
+    there is no network. Equal texts get equal results, up to rounding; an empty table gives an empty one.
     Columns named like the new ones are replaced. Only the text is an input.
     """
     made = ["lang_pred", "score"]
-    rows = docs.select(*others(docs, made), q(text).alias("_text"))
-    kept = rows.drop("_text").schema
-    schema = kept.add("lang_pred", "string").add("score", "double")
-    return rows.mapInArrow(_identifier(net), schema)
+    schema = StructType().add("lang_pred", "string").add("score", "double")
+    return map_arrow(docs, others(docs, made), [q(text).alias("_text")], _identifier(net), schema)
 
 
 def _identifier(net: Network | None) -> Callable:
@@ -277,10 +276,9 @@ def _identifier(net: Network | None) -> Callable:
                 p = labeller.probabilities([texts[i].encode("utf-8", "replace") for i in named])
                 for i, best, score in zip(named, p.argmax(axis=1), p.max(axis=1)):
                     names[i], scores[i] = net.languages[best], min(1.0, float(score))
-            rest = batch.drop_columns(["_text"])
             yield pa.record_batch(
-                [*rest.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*rest.schema.names, "lang_pred", "score"],
+                [batch["_row"], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=["_row", "lang_pred", "score"],
             )
 
     return run
