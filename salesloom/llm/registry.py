@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import embed_dedup, html_extract, lang_id, line_dedup, mixing, quality_rules, url_filter
+from salesloom.llm import embed_dedup, html_extract, lang_id, line_dedup, mixing, ngram_join, quality_rules, url_filter
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_language_id": lang_id.op7_language_id,
         "op8_embedding_dedup": embed_dedup.op8_embedding_dedup,
         "op9_url_filter": url_filter.op9_url_filter,
+        "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_mixing": mixing.op3_mixing,
         "op6_html_extract": html_extract.op6_html_extract,
