@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import ascii_lower, others, table, words
+from salesloom.llm.common import ascii_lower, table, words
 from salesloom.llm.components import components
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -144,7 +144,8 @@ def _sketch(percent: int) -> Callable:
             mixed = _mix(flat.view(np.uint64))
             keys = []
             for salt in (0, 0x5851F42D4C957F2D):
-                sums = np.concatenate([[0], np.cumsum(_mix(mixed + np.uint64(salt)), dtype=np.uint64)])
+                sums = np.zeros(len(mixed) + 1, np.uint64)
+                np.cumsum(_mix(mixed + np.uint64(salt)), out=sums[1:])
                 keys.append((sums[begins[1:]] - sums[begins[:-1]]).astype(np.uint64).view(np.int64))
             own = np.searchsorted(lows, sizes, side="right") - 1
             arrays = [batch["doc_id"], pa.array(sizes), pa.array(keys[0]), pa.array(keys[1])]
@@ -324,7 +325,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         .groupBy("a", "b", "k")
         .agg(F.count(F.lit(1)).alias("agree"), F.max("total").alias("total"))
     )
-    # Blocks that are empty in both agree, too, but are not joined; few are, and SLACK covers them.
+    # Blocks that are empty in both agree, too, but are not joined.
     pairs = counted.where(F.col("agree") >= F.col("k") - allowed - F.col("k") * _empty_share("total", "k"))
     crowd = shared.where(f"c > {SMALL_GROUP}").select(
         F.col("row").alias("_row"), F.ceil(F.col("c") / BLOCK).cast("int").alias("_blocks")
@@ -360,20 +361,18 @@ def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
     percent: int = PERCENT,
 ) -> DataFrame:
-    """All rows of ``docs`` with ``n_shingles`` and ``component_id``.
+    """``doc_id``, ``n_shingles`` and ``component_id`` for every row of ``docs``.
 
     Two documents link when 100 times the overlap of their n-gram sets is at least ``percent`` times
     the union. ``component_id`` is the least id reachable by links. Words are what is between white
     space, A-Z lower-cased; a text with fewer words than ``size`` is one n-gram; without
     words or with a NULL text the set is empty and links with nothing. Rows with the same id count as
-    one document; a NULL id links with nothing and has no component. An empty table gives an empty one.
-    Columns named like the two new ones are replaced.
+    one document; a NULL id links with nothing and has no component. An empty table gives an empty
+    one; other columns are not read.
 
     Pairs are compared only inside groups that share a block row or a cluster, in units of at most
     ``BLOCK`` documents a side; no task holds a larger group, and units send on one edge per document.
     """
-    made = ["n_shingles", "component_id"]
-    keep = others(docs, made)
     identified = docs.select(q(doc_id).cast("long").alias("doc_id"), shingles(q(text), size).alias("grams"))
     fields = [StructField(c, LongType()) for c in ("doc_id", "n", "key1", "key2")]
     rows = [StructField(c, ArrayType(LongType())) for c in ("rows1", "rows2")]
@@ -426,18 +425,29 @@ def jaccard_components(
         "doc_id", "n",
         F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.concat_ws(" ", "key1", "key2", "n")).alias("_key"),
     )
-    labelled = lookup_join(own, land(roots, "roots"), [("_key", "_class")], "left").select(
+    return lookup_join(own, land(roots, "roots"), [("_key", "_class")], "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("_root", "doc_id").alias("component_id")
     )
-    if [c.lower() for c in docs.columns if c.lower() not in (doc_id.lower(), text.lower(), *made)]:
-        labels = labelled.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_label_id")).agg(
-            F.max("n_shingles").alias("n_shingles"), F.min("component_id").alias("component_id")
-        )
-        joined = lookup_join(
-            docs.select(*keep, q(doc_id).cast("long").alias("_join_id")), labels, [("_join_id", "_label_id")], "left"
-        )
-        return joined.drop("_join_id", "_label_id")
-    return labelled
+
+
+def drop_near_copies(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
+    percent: int = PERCENT,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component does: the least id.
+
+    Documents without n-grams stay, and so do rows with a NULL id. Of repeated rows with one id one
+    stays. Columns stay as they are.
+    """
+    found = land(jaccard_components(docs, doc_id, text, size, percent), "components")
+    first = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_first")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    first = land(first, "first")
+    kept = lookup_join(docs.withColumn("_id", q(doc_id).cast("long")), first.drop("_rows"), [("_id", "_first")])
+    if first.where("_rows > 1").limit(1).count():
+        kept = kept.dropDuplicates(["_id"])
+    return kept.drop("_id", "_first").union(docs.where(q(doc_id).isNull()))
 
 
 def _stragglers(members: DataFrame, found: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
