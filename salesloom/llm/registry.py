@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import embed_dedup, html_extract, lang_id, line_dedup, mixing, ngram_join, quality_rules, sp_codec, url_filter
+from salesloom.llm import embed_dedup, html_extract, lang_id, line_dedup, mixing, ngram_join, quality_rules, sp_codec, url_filter, weak_quality
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_mixing": mixing.op3_mixing,
+        "op4_weak_quality": weak_quality.op4_weak_quality,
         "op5_sentencepiece": sp_codec.op5_sentencepiece,
         "op6_html_extract": html_extract.op6_html_extract,
         "op10_quality_rules": quality_rules.op10_quality_rules,
