@@ -31,9 +31,9 @@ def corpus(n, seed=1):
 def test_measures_by_hand():
     m = measure("Ab cd!\nAb cd!\n### 12 é.")
     assert m.words == 7
-    assert abs(m.word_length - 16 / 7) < 1e-12  # code points
+    assert abs(m.word_length - 17 / 7) < 1e-12  # code points
     assert (m.symbols, m.shouts, m.digits, m.bare) == (3 / 7, 2 / 7, 2 / 7, 1 / 7)
-    assert (m.upper, m.letters) == (2 / 9, 9 / 16)
+    assert (m.upper, m.letters) == (2 / 9, 9 / 17)
     assert abs(m.repeated - 1 / 3) < 1e-12 and m.distinct == 5 / 7 and m.twice == 0
 
 
