@@ -144,13 +144,14 @@ def expectation_maximisation(
     seen = np.stack([cast == vote for vote in (ABSTAIN, BAD, GOOD)], axis=2).astype(float)
     chances = np.repeat(BELIEVED[:, None, :], cast.shape[1], axis=1)
     share, believed = GOOD_SHARE, BELIEF * counts.sum() + 1
+    by_class = believed * np.array([1 - GOOD_SHARE, GOOD_SHARE])[:, None, None]
     chance = np.full(len(cast), share)
     for _ in range(rounds):
         log = np.einsum("pjv,cjv->cp", seen, np.log(chances))
         odds = log[0] + math.log(1 - share) - log[1] - math.log(share)
         before, chance = chance, 1 / (1 + np.exp(np.clip(odds, -50, 50)))
         weight = np.stack([counts * (1 - chance), counts * chance])
-        summed = np.einsum("cp,pjv->cjv", weight, seen) + believed * BELIEVED[:, None, :]
+        summed = np.einsum("cp,pjv->cjv", weight, seen) + by_class * BELIEVED[:, None, :]
         chances = summed / summed.sum(axis=2, keepdims=True)
         share = float((weight[1].sum() + believed * GOOD_SHARE) / (counts.sum() + believed))
         if np.abs(chance - before).max() < 1e-9:
