@@ -6,23 +6,39 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from salesloom.llm import embed_dedup, html_extract, lang_id, line_dedup, mixing, ngram_join, quality_rules, sp_codec, url_filter, weak_quality
+import corpus_pipeline
+from salesloom.llm import (
+    embed_dedup,
+    html_extract,
+    lang_id,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sp_codec,
+    url_filter,
+    weak_quality,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "op7_language_id": lang_id.op7_language_id,
-        "op8_embedding_dedup": embed_dedup.op8_embedding_dedup,
-        "op9_url_filter": url_filter.op9_url_filter,
         "op1_ngram_join": ngram_join.op1_ngram_join,
         "op2_line_dedup": line_dedup.op2_line_dedup,
         "op3_mixing": mixing.op3_mixing,
         "op4_weak_quality": weak_quality.op4_weak_quality,
         "op5_sentencepiece": sp_codec.op5_sentencepiece,
         "op6_html_extract": html_extract.op6_html_extract,
+        "op7_language_id": lang_id.op7_language_id,
+        "op8_embedding_dedup": embed_dedup.op8_embedding_dedup,
+        "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": line_dedup.OP2_SQL, "op9_url_filter": url_filter.OP9_SQL}
+    found = {"op2_line_dedup": line_dedup.OP2_SQL, "op9_url_filter": url_filter.OP9_SQL}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
