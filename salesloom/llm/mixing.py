@@ -244,6 +244,7 @@ def mix_sources(
         (_slot_group() == F.col("_cut")) & F.array_contains("_chosen", F.col("_key"))
     )
     taken = F.coalesce(F.col("_base") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(0))
+    taken = F.least(taken, F.lit(copies))  # a document without words fits anywhere
     return joined.select(*others(docs, made), taken.alias("copies"), "source_size", "target")
 
 
