@@ -206,7 +206,8 @@ def _fill(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _pattern(sources: str):
-    return F.to_json(F.array_sort(F.array_distinct(q(sources))), {"ignoreNullFields": "false"})
+    members = F.coalesce(q(sources), F.array().cast("array<string>"))
+    return F.to_json(F.array_sort(F.array_distinct(members)), {"ignoreNullFields": "false"})
 
 
 def _key(doc_id: str, seed: int):

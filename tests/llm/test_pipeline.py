@@ -1,0 +1,87 @@
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from salesloom.llm import sp_codec
+from salesloom.llm.mixing import target_words
+from tests.llm.brute import jaccard_components, without_boilerplate, words
+
+pytestmark = pytest.mark.skipif(not os.path.exists(sp_codec.MODEL), reason="no vocabulary")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+SYLLABLES = {"xx": "ka mo ti ga ru".split(), "yy": "oui eau èle aux ène".split()}
+
+
+def documents(n, seed=1):
+    rng = random.Random(seed)
+
+    def word(lang):
+        return "".join(rng.choices(SYLLABLES[lang], k=rng.randint(1, 3)))
+
+    rows = []
+    for i in range(n):
+        lang = rng.choice(["xx", "yy"])
+        if rows and rng.random() < 0.25:
+            text = rng.choice(rows)[1] or ""
+            if rng.random() < 0.5:
+                text = text + " " + word(lang)
+        else:
+            lines = [" ".join(word(lang) for _ in range(rng.randint(5, 30))) for _ in range(rng.randint(1, 5))]
+            if rng.random() < 0.3:
+                lines.insert(rng.randint(0, len(lines)), f"Boiler {lang} plate")
+            text = "\n".join(lines)
+        rows.append((i, text, lang if rng.random() < 0.9 else None, rng.choice(["s1", "s2", None]), len(text)))
+    return rows + [(n, None, "xx", "s1", 0), (n + 1, "", None, "s2", 0), (n + 2, "12 #", "yy", None, 4)]
+
+
+def test_stages_against_brute_force(spark, tmp_path):
+    rows = documents(220)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    stages = corpus_pipeline.STAGES
+    assert [name for name, _ in stages] == ["language_id", "line_dedup", "ngram_join", "mixing", "sentencepiece"]
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    frames = [spark.read.parquet(f"{tmp_path}/documents.parquet")]
+    for name, stage in stages:
+        out = stage(spark, frames[-1], str(tmp_path))
+        if name != "sentencepiece":
+            assert out.columns == docs.columns
+            assert [f.dataType for f in out.schema.fields] == [f.dataType for f in docs.schema.fields]
+        out.write.parquet(f"{tmp_path}/{name}")
+        frames.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    told, cleaned, single, mixed, encoded = ([tuple(r) for r in f.collect()] for f in frames[1:])
+
+    assert {r[0] for r in told} == set(range(220))  # only those without letters go
+    want = without_boilerplate([(r[1], r[3]) for r in told])
+    assert _same(cleaned, told, want)
+    components = jaccard_components([(r[0], r[1]) for r in cleaned])
+    assert sorted(r[0] for r in single) == sorted(i for i, (_, c) in components.items() if c == i)
+    sizes = {}
+    for r in single:
+        sizes[r[3]] = sizes.get(r[3], 0) + len(words(r[1]))
+    taken = {s: sum(len(words(r[1])) for r in mixed if r[3] == s) for s in sizes}
+    for s, target in target_words(sizes).items():
+        assert abs(taken[s] - target) <= max(10, 0.05 * target)
+    assert max(sum(r[0] == i for r in mixed) for i in {r[0] for r in mixed}) <= 2
+    codec = sp_codec.Codec(sp_codec.Vocabulary.load())
+    texts = {r[0]: r[1] for r in single}
+    assert len(encoded) == len(mixed) and all(r[5] for r in encoded)
+    assert all(codec.decode(r[3]) == texts[r[0]] for r in encoded)
+
+
+def _same(cleaned, told, want):
+    key = lambda r: r[0]
+    return sorted(cleaned, key=key) == sorted(((r[0], t, r[2], r[3], len(t)) for r, t in zip(told, want)), key=key)
+
+
+def test_run(spark, tmp_path):
+    spark.createDataFrame(documents(60, 2), SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    got = corpus_pipeline.run(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "lossless"]
+    assert got.where(F.col("lossless")).count() == got.count() > 0
+
+
+def test_empty_table(spark, tmp_path):
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
