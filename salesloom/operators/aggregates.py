@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
-from salesloom.functions.columns import money_count, money_sum, period_start, q
+from salesloom.functions.columns import exact_sum, money_count, money_sum, period_start, q
 
 
 def _parts(df: DataFrame, value: str) -> tuple[Column, Column]:
@@ -24,8 +24,9 @@ def _parts(df: DataFrame, value: str) -> tuple[Column, Column]:
     if isinstance(kind, (DoubleType, FloatType)):
         return money_sum(q(value)), money_count(q(value))
     if isinstance(kind, DecimalType):
-        return F.sum(q(value)), F.count(q(value))
-    return F.sum(q(value).cast("long")), F.count(q(value))
+        wide = f"decimal(38,{kind.scale})"
+        return exact_sum(q(value), wide), F.count(q(value))
+    return exact_sum(q(value).cast("long"), "long"), F.count(q(value))
 
 
 def _is_amount(df: DataFrame, value: str) -> bool:
@@ -59,9 +60,8 @@ def average_by(df: DataFrame, key: str, value: str, alias: str | None = None) ->
 
 def average_of_parts(parts: DataFrame, key: str, value: str) -> DataFrame:
     """``key, mean`` from the output of :func:`partial_sums` over finer keys."""
-    mean = F.try_divide(
-        F.sum(q(f"{value}_sum")).cast("double"), F.sum(q(f"{value}_n")).cast("double")
-    )
+    total, _ = _parts(parts, f"{value}_sum")
+    mean = F.try_divide(total.cast("double"), F.sum(q(f"{value}_n")).cast("double"))
     return parts.where(q(key).isNotNull()).groupBy(q(key)).agg(mean.alias(value))
 
 

@@ -8,16 +8,14 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import AtomicType, LongType, StructField, StructType
+from pyspark.sql.types import AtomicType
 
 from salesloom.functions.columns import q
+from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
-# File blocks whose base numbers are broadcast: at most some 100 MB.
-BROADCAST_BLOCKS = 500_000
-
 
 def with_ordinal(
     df: DataFrame, order_by: list[str], start: int = 0, name: str = "ordinal"
@@ -38,8 +36,7 @@ def with_ordinal(
         .drop("_content", "_origin")
     )
     landed = land(ordered, "ordinal")
-    part = F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
-    return _number(landed, {"_block": part}, start, name)
+    return _number(landed, {"_block": _part()}, start, name)
 
 
 def with_file_position(scan: DataFrame, start: int = 0, name: str = "index") -> DataFrame:
@@ -62,31 +59,49 @@ def with_file_position(scan: DataFrame, start: int = 0, name: str = "index") ->
     return numbered.select(q(name), *[q(c) for c in scan.columns])
 
 
-def _number(landed: DataFrame, blocks: dict, start: int, name: str) -> DataFrame:
-    """Number landed rows by block, then file, then index in the file."""
-    spark = landed.sparkSession
+def _part() -> Column:
+    """Number of the partition that wrote a landed row."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")
+
+
+def _number(landed: DataFrame, blocks: dict[str, Column], start: int, name: str) -> DataFrame:
+    """Number landed rows by block, then piece, then index in the piece's file.
+
+    A task that writes several files numbers them; that number, not its text, is the piece.
+    """
     columns = landed.columns
+    piece = F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)", 1).cast("long")
     located = landed.select(
         *[q(c) for c in columns if c not in blocks],
         *[c.alias(k) for k, c in blocks.items()],
-        F.col("_metadata.file_name").alias("_file"),
+        piece.alias("_piece"),
         F.col("_metadata.row_index").alias("_row"),
     )
-    keys = [*blocks, "_file"]
-    # One row per file block: what the driver already holds to plan the scan.
-    lengths = (
-        located.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.min("_row").alias("first"))
-        .orderBy(*keys)
-        .collect()
+    keys = [*blocks, "_piece"]
+    bases = _bases(located, keys, start)
+    joined = lookup_join(located, bases, [(k, f"{k}_of") for k in keys])
+    out = [q(c) for c in columns if c not in blocks]
+    return joined.select(*out, (F.col("_base") + F.col("_row")).alias(name))
+
+
+def _bases(located: DataFrame, keys: list[str], start: int) -> DataFrame:
+    """What to add to a row's index in its file, for each piece of a block.
+
+    Pieces are range-partitioned and added up range by range; the driver gets one row per range.
+    """
+    spark = located.sparkSession
+    lengths = located.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_row").alias("_first"))
+    ranged = land(lengths.repartitionByRange(*keys).sortWithinPartitions(*keys), "lengths")
+    ranged = ranged.select("*", _part().alias("_range"))
+    sums = sorted(tuple(r) for r in ranged.groupBy("_range").agg(F.sum("_n")).collect())
+    before = accumulate([n for _, n in sums], initial=start)
+    first = spark.createDataFrame(
+        [(r, b) for (r, _), b in zip(sums, before)], "_first_range long, _before long"
     )
-    before = accumulate([r["n"] for r in lengths], initial=start)
-    key_fields = [located.schema[k] for k in keys]
-    bases = spark.createDataFrame(
-        [(*[r[k] for k in keys], b - r["first"]) for r, b in zip(lengths, before)],
-        StructType([*key_fields, StructField("_base", LongType())]),
+    order = ", ".join(f"`{k}`" for k in keys)
+    within = F.expr(f"sum(_n) OVER (PARTITION BY _range ORDER BY {order}) - _n")
+    numbered = ranged.withColumn("_within", within).join(
+        F.broadcast(first), F.col("_range") == F.col("_first_range")
     )
-    if len(lengths) <= BROADCAST_BLOCKS:
-        bases = F.broadcast(bases)
-    out = [q(c) for c in columns if c not in blocks]
-    return located.join(bases, keys).select(*out, (F.col("_base") + F.col("_row")).alias(name))
+    base = F.col("_before") + F.col("_within") - F.col("_first")
+    return land(numbered.select(*[q(k).alias(f"{k}_of") for k in keys], base.alias("_base")), "bases")

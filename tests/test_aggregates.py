@@ -43,7 +43,7 @@ def test_signs_limits_and_types(spark):
     rows = [("a", -0.01), ("a", -1234567.89), ("a", 1e13), ("b", 8.9e13), ("b", 8.9e13), ("c", -0.0)]
     df = spark.createDataFrame(rows, "k string, v double")
     parts = agg.partial_sums(df, ["k"], "v")
-    assert parts.schema["v_sum"].dataType.simpleString() == "decimal(33,4)"
+    assert parts.schema["v_sum"].dataType.simpleString() == "decimal(38,20)"
     got = {r["k"]: r["v_sum"] for r in parts.collect()}
     assert got == {
         "a": Decimal("9999998765432.1000"), "b": Decimal("178000000000000"), "c": Decimal(0),
@@ -97,3 +97,30 @@ def test_sums_are_partial_before_the_shuffle(micro):
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_digit_of_an_amount_is_dropped(spark):
+    def total(rows):
+        return agg.total_by(spark.createDataFrame(rows, "k string, v double"), "k", "v").collect()[0].v
+
+    assert total([("a", 0.00004)] * 100_000) == 4.0
+    assert total([("a", 0.00012345), ("a", -0.00002345)]) == 0.0001
+    assert total([("a", 0.1), ("a", 1e-7), ("a", -0.1)]) == 1e-7
+    assert total([("a", 12.34), ("a", None), ("a", float("nan"))]) == 12.34
+    frame = spark.createDataFrame([("a", 0.00004), ("a", 0.00002)], "k string, v double")
+    assert agg.average_by(frame, "k", "v").collect()[0].v == 0.00003
+    with pytest.raises(Exception, match="too many digits"):
+        total([("a", 1.234567e-19)])
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_totals_that_do_not_fit_stop_the_job(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        whole = spark.createDataFrame([("a", 2**62), ("a", 2**62)], "k string, v long")
+        with pytest.raises(Exception, match="total too large"):
+            agg.total_by(whole, "k", "v").collect()
+        assert agg.total_by(whole.limit(1), "k", "v").collect()[0].v == 2**62
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

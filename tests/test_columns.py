@@ -109,3 +109,26 @@ def test_flatten_keeps_arrays_and_null_structs(spark):
     got = flatten(df)
     assert got.columns == ["id", "xs", "s.b.c", "s.d"]
     assert rows_of(got.drop("xs")) == [(1, 5, 6), (2, None, None)]
+
+
+JUNK = ["2023-01-31 junk", "2023-01-31Tjunk", "2023", "2023-01", "2023-02-01T23:59", "2023-1-5", "20230131", "", "2023-02-30"]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_only_whole_dates_are_dates(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for text in JUNK:
+            bad = spark.createDataFrame([(text,)], "d string")
+            assert bad.select(parse_date(F.col("d"), "null")).collect()[0][0] is None
+            with pytest.raises(Exception, match="unreadable date"):
+                bad.select(parse_date(F.col("d"))).collect()
+        good = spark.createDataFrame([(" 2023-01-31 ",), (None,)], "d string")
+        assert [r[0] for r in good.select(parse_date(F.col("d")).cast("string")).collect()] == ["2023-01-31", None]
+        stamps = spark.sql("select timestamp'2023-02-01 23:59:00' t, date'2023-02-01' d")
+        assert stamps.select(parse_date(F.col("t")) == parse_date(F.col("d"))).collect()[0][0]
+        other = spark.createDataFrame([("31.01.2023",)], "d string")
+        assert str(other.select(parse_date(F.col("d"), format="dd.MM.yyyy")).collect()[0][0]) == "2023-01-31"
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)

@@ -2,7 +2,9 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from salesloom.operators import ordinal
 from salesloom.operators.ordinal import with_ordinal
+from salesloom.scratch import land
 from salesloom.sources.files import read_sales_csv
 
 HEADER = "order_id,customer_id,product_id,quantity,price,order_date"
@@ -23,7 +25,9 @@ def no_coalescing(spark):
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
-def test_hot_key_is_cut_into_several_ranges(spark, no_coalescing):
+def test_hot_key_is_cut_into_several_ranges(spark, no_coalescing, monkeypatch):
+    landed = []
+    monkeypatch.setattr(ordinal, "land", lambda *a: landed.append(land(*a)) or landed[-1])
     df = spark.range(4000, numPartitions=8).select(
         F.when(F.col("id") % 2 == 0, 500).otherwise(F.col("id") % 1000).alias("k"),
         F.lit("copy").alias("v"),
@@ -35,7 +39,7 @@ def test_hot_key_is_cut_into_several_ranges(spark, no_coalescing):
     assert wrong.where("a.k > b.k").count() == 0
     rows_per_file = [
         r["count"]
-        for r in got.where("k = 500").groupBy(F.input_file_name()).count().collect()
+        for r in landed[0].where("k = 500").groupBy(F.input_file_name()).count().collect()
     ]
     assert len(rows_per_file) > 1
 
@@ -77,3 +81,20 @@ def test_csv_position_over_files_and_blocks(spark, tmp_path, split_files):
         assert got.count() == expected
     finally:
         spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+@pytest.fixture
+def one_row_per_file(spark):
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", "1")
+    yield
+    spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+
+
+def test_many_files_of_a_task_keep_their_order(spark, tmp_path, one_row_per_file):
+    """More than a thousand files: their numbers have three and four digits."""
+    text = "\n".join([HEADER, *[f"{i},1,1,1,1.0,2023-01-01" for i in range(1200)]])
+    (tmp_path / "sales.csv").write_text(text + "\n")
+    got = read_sales_csv(spark, str(tmp_path / "sales.csv"), with_index=True)
+    assert got.where("index != order_id").count() == 0 and got.count() == 1200
+    ranked = with_ordinal(spark.range(1200, numPartitions=1).coalesce(1), ["id"])
+    assert ranked.where("ordinal != id").count() == 0 and ranked.count() == 1200
