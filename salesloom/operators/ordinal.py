@@ -70,7 +70,7 @@ def _number(landed: DataFrame, blocks: dict[str, Column], start: int, name: str)
     A task that writes several files numbers them; that number, not its text, is the piece.
     """
     columns = landed.columns
-    piece = F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)", 1).cast("long")
+    piece = F.regexp_extract(F.col("_metadata.file_name"), r"-c(\d+)\.", 1).cast("long")
     located = landed.select(
         *[q(c) for c in columns if c not in blocks],
         *[c.alias(k) for k, c in blocks.items()],
