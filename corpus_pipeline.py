@@ -47,7 +47,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids in place of texts."""
-    return sp_codec.encode(docs, sp_codec.Vocabulary.load()).select(
+    return sp_codec.encode(docs, sp_codec.Vocabulary.load(), keep_text=False).select(
         "doc_id", "lang", "source", "ids", "n_tokens", "lossless"
     )
 

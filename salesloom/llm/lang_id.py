@@ -232,22 +232,18 @@ def train(
     many slots by a hash of the text, and each slot gives the one with the least hash. Only those
     come to the driver, a passage of ``PASSAGE`` characters each.
     """
-    slot = F.xxhash64(q(text))
+    start = F.pmod(F.shiftrightunsigned(F.xxhash64(q(text)), 20), F.greatest(F.length(q(text)) - PASSAGE, F.lit(1)))
     rows = docs.where(q(text).rlike(r"\p{L}") & q(lang).isNotNull() & (q(lang) != UNKNOWN)).select(
-        q(lang).alias("_lang"), slot.alias("_hash"), q(text).alias("_text")
+        q(lang).alias("_lang"), F.xxhash64(q(text)).alias("_hash"),
+        F.substring(q(text), (start + 1).cast("int"), F.lit(PASSAGE)).alias("_passage"),
     )
-    least = rows.groupBy("_lang", F.pmod("_hash", F.lit(docs_per_language)).alias("_slot")).agg(
-        F.min("_hash").alias("_least")
-    )
-    start = F.pmod(F.shiftrightunsigned("_hash", 20), F.greatest(F.length("_text") - PASSAGE, F.lit(1)))
+    slots = rows.groupBy("_lang", F.pmod("_hash", F.lit(docs_per_language)).alias("_slot"))
+    least = slots.agg(F.min("_hash").alias("_least")).select(F.col("_lang").alias("_l"), "_least")
+    # As many rows as the sample: the broadcast has the sample's bound.
     picked = rows.join(
-        least.select(F.col("_lang").alias("_l"), "_least"),
-        (F.col("_lang") == F.col("_l")) & (F.col("_hash") == F.col("_least")),
-        "left_semi",
-    ).select(
-        "_lang", "_hash", F.substring("_text", (start + 1).cast("int"), F.lit(PASSAGE)).alias("_passage")
+        F.broadcast(least), (F.col("_lang") == F.col("_l")) & (F.col("_hash") == F.col("_least")), "left_semi"
     )
-    sample = sorted(set(map(tuple, picked.groupBy("_lang", "_hash").agg(F.min("_passage")).collect())))
+    sample = sorted(map(tuple, picked.distinct().collect()))
     if not sample:
         return None
     return fit([p.encode("utf-8", "ignore") for _, _, p in sample], [x for x, _, _ in sample], **options)

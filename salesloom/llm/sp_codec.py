@@ -29,9 +29,10 @@ SEED = 17
 #: The same word is cut in up to this many ways in a corpus; which one depends on the text it is in.
 VARIANTS = 4
 SPACE = "▁"
-# Cut words that a Python worker remembers, and characters of text that go into one batch.
-REMEMBERED = 400_000
+# Cut words that a Python worker remembers of each variant, twice; characters of text in one batch.
+REMEMBERED = 50_000
 SLICE = 4_000_000
+_MASK = (1 << 64) - 1
 
 
 @dataclass(frozen=True)
@@ -64,6 +65,24 @@ class Vocabulary:
         return cls(scores, ids, byte_ids, pieces)
 
 
+def _chunk_pattern(vocabulary: Vocabulary) -> str:
+    """Cuts a text only where no piece runs over the cut, so that chunks can be merged by themselves.
+
+    Pieces do not run over a word's end. White space that is in no piece stands alone, and a text is
+    cut after a letter that another sign follows, but for letters that some piece has before a sign.
+    """
+    letter = re.compile(r"[^\W\d_]")
+    pairs = {pair for p in vocabulary.scores for pair in zip(p, p[1:])}
+    signs: set[str] = set()
+    while more := {a for a, b in pairs if letter.match(a) and a not in signs and (not letter.match(b) or b in signs)}:
+        signs |= more
+    used = set().union(*vocabulary.scores)
+    gaps = re.escape("".join(c for c in "\n\t\r\v\f" if c not in used))
+    odd = re.escape("".join(sorted(signs)))
+    sign = f"(?:(?![{SPACE}{gaps}])[\\W\\d_{odd}])"
+    return f"{SPACE}*{sign}*[^\\W\\d_{odd}]+|{SPACE}*{sign}+|{SPACE}+" + (f"|[{gaps}]" if gaps else "")
+
+
 class Codec:
     """Encodes and decodes texts; remembers how words were cut."""
 
@@ -71,20 +90,23 @@ class Codec:
         self.vocabulary, self.seed = vocabulary, seed
         self.limit = int(dropout * 2**64)
         self.byte_of = {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
-        self.known: dict[tuple[int, str], list[int]] = {}
-        # Pieces end with a word, and no piece has these: what is between them is cut by itself.
-        used = set().union(*vocabulary.scores) if vocabulary.scores else set()
-        gaps = "".join(re.escape(c) for c in "\n\t\r\v\f" if c not in used)
-        self.chunks = re.compile(
-            f"{SPACE}*[^{SPACE}{gaps}]+|{SPACE}+" + (f"|[{gaps}]" if gaps else "")
-        )
+        best_first = sorted(set(vocabulary.scores.values()), reverse=True)
+        rank = {score: r for r, score in enumerate(best_first)}
+        self.ranks = {piece: rank[score] for piece, score in vocabulary.scores.items()}
+        # Per variant, the words met lately and those met before them. Rare words fall out.
+        self.known: dict[int, tuple[dict, dict]] = {}
+        self.chunks = re.compile(_chunk_pattern(vocabulary))
 
     def encode(self, text: str, variant: int = 0) -> list[int]:
         """Ids of a text. An empty text has none."""
         if not text:
             return []
         out: list[int] = []
-        known, cut = self.known, self._cut
+        known, older = self.known.get(variant) or ({}, {})
+        if len(known) >= REMEMBERED:
+            known, older = {}, known
+        self.known[variant] = known, older
+        cut = self._cut
         # A text that has the space sign itself: between the parts it goes in as bytes.
         parts = text.split(SPACE) if SPACE in text else (text,)
         for i, part in enumerate(parts):
@@ -92,13 +114,13 @@ class Codec:
                 out += self._bytes(SPACE)
             part = part.replace(" ", SPACE)
             for chunk in self.chunks.findall(part if i else SPACE + part):
-                found = known.get((variant, chunk))
+                found = known.get(chunk)
                 if found is None:
-                    found = cut(chunk, variant)
-                    if len(chunk) <= 64:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[variant, chunk] = found
+                    found = older.get(chunk)
+                    if found is None:
+                        found = cut(chunk, variant)
+                    if len(chunk) <= 64 and len(known) < 2 * REMEMBERED:
+                        known[chunk] = found
                 out += found
         return out
 
@@ -116,54 +138,55 @@ class Codec:
     def _bytes(self, text: str) -> list[int]:
         return [self.vocabulary.byte_ids[b] for b in text.encode("utf-8")]
 
-    def _cut(self, chunk: str, variant: int) -> list[int]:
+    def _cut(self, chunk: str, variant: int) -> tuple[int, ...]:
         """Merges adjacent symbols, best score first and then from the left, and skips some."""
-        scores, n = self.vocabulary.scores, len(chunk)
+        get, n, limit = self.ranks.get, len(chunk), self.limit
         end = list(range(1, n + 1))  # of the symbol that begins here
         before = list(range(-1, n - 1))  # where the symbol before begins
-        agenda: list[tuple[float, int, int, int]] = []
-
-        def propose(left: int) -> None:
-            middle = end[left]
-            if middle < n:
-                score = scores.get(chunk[left : end[middle]])
-                if score is not None:
-                    heapq.heappush(agenda, (-score, left, middle, end[middle]))
-
-        for i in range(n - 1):
-            propose(i)
-        limit = self.limit
-        hasher = xxhash.xxh3_64(f"{self.seed} {variant} {chunk} ") if limit else None
+        agenda = [
+            (rank, i, i + 1, i + 2)
+            for i in range(n - 1)
+            if (rank := get(chunk[i : i + 2])) is not None
+        ]
+        heapq.heapify(agenda)
+        # Whether a candidate is skipped: a hash of the chunk, keyed by seed, variant and its places.
+        data, digest = chunk.encode("utf-8", "surrogatepass"), xxhash.xxh3_64_intdigest
+        base = ((self.seed << 8 | variant) << 40) & _MASK
         while agenda:
             _, left, middle, stop = heapq.heappop(agenda)
             if end[left] != middle or before[middle] != left or end[middle] != stop:
                 continue  # one of the two has been merged otherwise
-            if hasher is not None:
-                key = hasher.copy()
-                key.update(f"{left} {middle} {stop}")
-                if key.intdigest() < limit:
-                    continue
+            if limit and digest(data, base + (left * n + middle) * n + stop) < limit:
+                continue
             end[left] = stop
             before[middle] = -2
             if stop < n:
                 before[stop] = left
-                propose(left)
-            if before[left] >= 0:
-                propose(before[left])
+                rank = get(chunk[left : end[stop]])
+                if rank is not None:
+                    heapq.heappush(agenda, (rank, left, stop, end[stop]))
+            first = before[left]
+            if first >= 0:
+                rank = get(chunk[first:stop])
+                if rank is not None:
+                    heapq.heappush(agenda, (rank, first, left, stop))
         ids, out, at = self.vocabulary.ids, [], 0
         while at < n:
             piece = chunk[at : end[at]]
             found = ids.get(piece)
-            out += [found] if found is not None else self._bytes(piece)
+            if found is None:
+                out += self._bytes(piece)
+            else:
+                out.append(found)
             at = end[at]
-        return out
+        return tuple(out)
 
 
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, text: str = "text", dropout: float = DROPOUT,
-    seed: int = SEED, variants: int = VARIANTS,
+    seed: int = SEED, variants: int = VARIANTS, keep_text: bool = True,
 ) -> DataFrame:
-    """All rows of ``docs`` with ``ids``, ``n_tokens`` and ``lossless``.
+    """All rows of ``docs`` with ``ids``, ``n_tokens`` and ``lossless``; ``text`` if it is kept.
 
     ``lossless``: the ids were decoded again and gave the text. The variant of a text follows from a
     hash of it, so equal texts get equal ids, in every run and however rows are partitioned. NULL gives
@@ -176,7 +199,8 @@ def encode(
     )
     inputs = [q(text).alias("_text"), F.pmod(F.xxhash64(q(text)), F.lit(variants)).alias("_variant")]
     run = _encoder(vocabulary, dropout, seed)
-    return map_arrow(docs, others(docs, made.names), inputs, run, made)
+    dropped = made.names if keep_text else [*made.names, text]
+    return map_arrow(docs, others(docs, dropped), inputs, run, made)
 
 
 def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
@@ -226,4 +250,4 @@ def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids", text: str
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encode(docs, Vocabulary.load()).drop("text")
+    return encode(docs, Vocabulary.load(), keep_text=False)
