@@ -11,26 +11,36 @@ from salesloom.functions.columns import first_element, q
 from salesloom.sources.schemas import WEATHER_FIELDS, WEATHER_PAYLOAD
 
 
+def _number(reading: Column) -> Column:
+    return reading.try_cast("double")
+
+
 def _whole(reading: Column) -> Column:
-    return F.rint(reading).try_cast("long")
+    return F.coalesce(reading.try_cast("long"), F.rint(_number(reading)).try_cast("long"))
+
+
+def _identifier(reading: Column) -> Column:
+    """A whole number, also written as 803.0; nothing else is an id."""
+    number = _number(reading)
+    return F.when(number == F.rint(number), _whole(reading))
 
 
 def _weather_columns() -> dict[str, Column]:
     station = first_element(F.col("_weather"))
     reading, wind = F.col("_main"), F.col("_wind")
     return {
-        "weather_id": station["id"],
+        "weather_id": _identifier(station["id"]),
         "weather_main": station["main"],
         "weather_description": station["description"],
         "weather_icon": station["icon"],
-        "temp": reading["temp"],
-        "feels_like": reading["feels_like"],
-        "temp_min": reading["temp_min"],
-        "temp_max": reading["temp_max"],
+        "temp": _number(reading["temp"]),
+        "feels_like": _number(reading["feels_like"]),
+        "temp_min": _number(reading["temp_min"]),
+        "temp_max": _number(reading["temp_max"]),
         "pressure": _whole(reading["pressure"]),
         "humidity": _whole(reading["humidity"]),
         "visibility": _whole(F.col("_visibility")),
-        "wind_speed": wind["speed"],
+        "wind_speed": _number(wind["speed"]),
         "wind_deg": _whole(wind["deg"]),
         "cloudiness": _whole(F.col("_clouds")["all"]),
     }

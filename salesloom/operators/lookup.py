@@ -37,6 +37,8 @@ def lookup_payloads(
 ) -> DataFrame:
     """``key_cols, payload``: one call of the lookup per distinct key without NULLs.
 
+    A key with a NULL is a failed lookup.
+
     ``fetch_factory`` runs once per partition and returns a function of the key values that
     gives the payload text, or None. ``partitions`` times ``threads`` calls run at once at most.
     A failed lookup (None or :class:`LookupFailed`) gives no row, or with ``on_missing="fail"``
@@ -47,8 +49,7 @@ def lookup_payloads(
     spark = df.sparkSession
     names = [f"key{i}" for i in range(len(key_cols))]  # Python tasks take no dotted names
     keys = df.select(*[q(c).alias(n) for c, n in zip(key_cols, names)])
-    for name in names:
-        keys = keys.where(F.col(name).isNotNull())
+    keys = keys.where(_has_key(names, on_missing))
     width = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     schema = StructType(
         [keys.schema[n] for n in names] + [StructField("payload", StringType())]
@@ -76,6 +77,17 @@ def lookup_payloads(
     return land(answered, "lookup")
 
 
+def _has_key(names: list[str], on_missing: str):
+    """Whether no part of the key is missing; raises if a failed lookup is to stop the job."""
+    complete = F.lit(True)
+    for name in names:
+        complete = complete & q(name).isNotNull()
+    if on_missing == "fail":
+        stop = F.raise_error(F.lit("lookup key with a NULL")).cast("boolean")
+        return F.when(complete, F.lit(True)).otherwise(stop)
+    return complete
+
+
 def lookup_weather(
     users: DataFrame,
     payloads: DataFrame,
@@ -92,7 +104,7 @@ def lookup_weather(
     people = users.select(
         q(id_col).alias("user_info_table_id"),
         *[q(c).alias(f"_key{i}") for i, c in enumerate(key_cols)],
-    )
+    ).where(_has_key([f"_key{i}" for i in range(len(key_cols))], on_missing))
     keyed = payloads.select(
         *[q(c).alias(f"_found{i}") for i, c in enumerate(key_cols)], F.col("payload")
     )

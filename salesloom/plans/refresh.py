@@ -17,7 +17,7 @@ from salesloom.operators.joins import enrich_sales, require_unique
 from salesloom.operators.lookup import lookup_payloads, lookup_weather
 from salesloom.plans import marts
 from salesloom.scratch import land, temporary
-from salesloom.sinks.tables import Sink
+from salesloom.sinks.tables import Run, Sink
 from salesloom.sources.files import read_payloads, read_sales_csv, read_users_json
 
 LOCATION = ["address.geo.lat", "address.geo.lng"]
@@ -32,10 +32,13 @@ class Inputs:
     users_json: str
     payloads: str | None = None
     fetch_factory: Callable | None = None
-    users_layout: str = "array"
+    users_layout: str = "lines"
     payload_format: str = "json"
     with_index: bool = True
     on_missing: str = "drop"
+    # Calls of the lookup that run at once: tasks times threads of a task.
+    lookup_tasks: int | None = None
+    lookup_threads: int = 5
 
     def __post_init__(self):
         if (self.payloads is None) == (self.fetch_factory is None):
@@ -45,14 +48,16 @@ class Inputs:
 def refresh(spark: SparkSession, sink: Sink, inputs: Inputs) -> dict[str, DataFrame]:
     """Replace all tables of ``sink`` and return them, as stored, by name.
 
-    Every stage is stored before the next one reads it, and stages that do not need each other
-    are submitted side by side. Any error ends the run.
+    Every stage is written before the next one reads it, and stages that do not need each other
+    are submitted side by side. Any error ends the run and leaves all stored tables as they were.
     """
-    tables: dict[str, DataFrame] = {}
+    with Run(sink) as run:
+        _refresh(spark, run, inputs)
+    return run.stored()
 
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = sink.replace(name, df)
-        return tables[name]
+
+def _refresh(spark: SparkSession, run: Run, inputs: Inputs) -> None:
+    tables, store = run.frames, run.replace
 
     def users_and_weather():
         nested = read_users_json(spark, inputs.users_json, inputs.users_layout)
@@ -81,31 +86,27 @@ def refresh(spark: SparkSession, sink: Sink, inputs: Inputs) -> dict[str, DataFr
         _together(users_and_weather, sales)
         require_unique(tables["user_weather"], "user_info_table_id")
         _together(wide_and_its_marts, marts_of_customers)
-    return tables
 
 
 def store_marts(sink: Sink, wide: DataFrame) -> dict[str, DataFrame]:
     """Replace the nine result tables from a stored wide table, in three scans of it."""
-    tables: dict[str, DataFrame] = {}
-
-    def store(name: str, df: DataFrame) -> DataFrame:
-        tables[name] = sink.replace(name, df)
-        return tables[name]
-
-    with temporary(wide.sparkSession):
+    with Run(sink) as run, temporary(wide.sparkSession):
         _together(
-            lambda: _store_customer_marts(store, marts.customer_parts_of_wide(wide)),
-            lambda: _store_product_marts(store, wide),
-            lambda: _store_period_marts(store, wide),
+            lambda: _store_customer_marts(run.replace, marts.customer_parts_of_wide(wide)),
+            lambda: _store_product_marts(run.replace, wide),
+            lambda: _store_period_marts(run.replace, wide),
         )
-    return tables
+    return run.stored()
 
 
 def _weather(spark: SparkSession, users: DataFrame, inputs: Inputs) -> DataFrame:
     if inputs.payloads is not None:
         rows = read_payloads(spark, inputs.payloads, inputs.payload_format)
         return extract_payload(rows, on_missing=inputs.on_missing)
-    rows = lookup_payloads(users, LOCATION, inputs.fetch_factory, on_missing=inputs.on_missing)
+    rows = lookup_payloads(
+        users, LOCATION, inputs.fetch_factory, inputs.lookup_tasks, inputs.lookup_threads,
+        inputs.on_missing,
+    )
     return lookup_weather(users, rows, LOCATION, on_missing=inputs.on_missing)
 
 

@@ -54,14 +54,33 @@ def temporary(spark: SparkSession) -> Iterator[None]:
     finally:
         _landed.reset(outer)
         for path in paths:
-            _delete(spark, path)
+            delete(spark, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    # Spark has no call of its own to delete a folder on the cluster's file system.
+def _file(spark: SparkSession, path: str):
+    # Spark has no calls of its own to delete or rename a folder on the cluster's file system.
     context = spark.sparkContext
     target = context._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all that is in it."""
+    files, target = _file(spark, path)
+    files.delete(target, True)
+
+
+def rename(spark: SparkSession, path: str, to: str, missing_ok: bool = False) -> None:
+    """Give a folder another name that is not yet used."""
+    files, source = _file(spark, path)
+    if missing_ok and not files.exists(source):
+        return
+    _, target = _file(spark, to)
+    if files.exists(target):
+        raise FileExistsError(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(source, target):
+        raise OSError(f"{path} could not be renamed to {to}")
 
 
 def _root(spark: SparkSession) -> str:

@@ -1,14 +1,19 @@
-"""Full-refresh tables. ``replace`` drops what was there and returns the stored table."""
+"""Full-refresh tables. ``replace`` drops what was there and returns the stored table.
+
+:class:`Run` replaces several tables together: they are written beside the stored ones, and only
+when all of them are there do they take their place.
+"""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from salesloom.functions.columns import q
-from salesloom.scratch import land
+from salesloom.scratch import delete, land, rename, scratch_path
 
 
 @dataclass(frozen=True)
@@ -29,6 +34,23 @@ class ParquetSink:
         reader = self.spark.read if like is None else self.spark.read.schema(like.schema)
         return reader.parquet(self.path(name))
 
+    def staging(self) -> ParquetSink:
+        return ParquetSink(self.spark, self.path(f"_run-{uuid.uuid4().hex}"))
+
+    def publish(self, staged: ParquetSink, names: list[str]) -> None:
+        """Swap in staged tables by renaming folders; old ones are put back if that fails."""
+        moved: list[str] = []
+        try:
+            for name in names:
+                rename(self.spark, self.path(name), staged.path(f"_old-{name}"), missing_ok=True)
+                moved.append(name)
+                rename(self.spark, staged.path(name), self.path(name))
+        except Exception:
+            for name in moved:
+                rename(self.spark, self.path(name), staged.path(name), missing_ok=True)
+                rename(self.spark, staged.path(f"_old-{name}"), self.path(name), missing_ok=True)
+            raise
+
 
 @dataclass(frozen=True)
 class CatalogSink:
@@ -55,7 +77,7 @@ class JdbcSink:
 
     ``replace`` lands the rows first and returns the landed frame, so that later steps neither
     compute them again nor read them back through the database. The landed files stay in the
-    scratch folder until the caller deletes them.
+    scratch folder until the caller deletes them; a :class:`Run` has a folder of its own instead.
     """
 
     spark: SparkSession
@@ -75,13 +97,67 @@ class JdbcSink:
 
     def replace(self, name: str, df: DataFrame) -> DataFrame:
         landed = land(df, name, keep=True)
-        landed.write.format("jdbc").mode("overwrite").options(**self.write_options(name)).save()
+        self.write(name, landed)
         return landed
 
+    def write(self, name: str, df: DataFrame) -> None:
+        df.write.format("jdbc").mode("overwrite").options(**self.write_options(name)).save()
+
+    def read_options(self, name: str) -> dict[str, str]:
+        return {**self.properties, "url": self.url, "dbtable": name}
+
+    def read(self, name: str, like: DataFrame | None = None) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**self.read_options(name)).load()
+
 
 Sink = ParquetSink | CatalogSink | JdbcSink
 
 
+class Run:
+    """Tables that replace those of ``sink`` together, once all are written.
+
+    Until ``publish`` the stored tables stay as they are, so an error leaves them readable and
+    unchanged. Folders are renamed; tables of a catalog or a database are then written from the
+    staged files, one after the other.
+    """
+
+    def __init__(self, sink: Sink):
+        self.sink = sink
+        if isinstance(sink, ParquetSink):
+            self.staged = sink.staging()
+        else:
+            self.staged = ParquetSink(sink.spark, scratch_path(sink.spark, "run", keep=True))
+        self.frames: dict[str, DataFrame] = {}
+
+    def replace(self, name: str, df: DataFrame) -> DataFrame:
+        self.frames[name] = self.staged.replace(name, df)
+        return self.frames[name]
+
+    def __enter__(self) -> Run:
+        return self
+
+    def __exit__(self, error, *_) -> None:
+        try:
+            if error is None:
+                self.publish()
+        finally:
+            delete(self.sink.spark, self.staged.root)
+
+    def publish(self) -> None:
+        if isinstance(self.sink, ParquetSink):
+            self.sink.publish(self.staged, list(self.frames))
+            return
+        for name, df in self.frames.items():
+            if isinstance(self.sink, JdbcSink):
+                self.sink.write(name, df)
+            else:
+                self.sink.replace(name, df)
+
+    def stored(self) -> dict[str, DataFrame]:
+        """The tables as they are stored after the run."""
+        return {name: self.sink.read(name, df) for name, df in self.frames.items()}
+
+
 def save_snapshot(spark: SparkSession, tables: dict[str, DataFrame], folder: str) -> None:
     """Store tables for a later :func:`restore_snapshot`."""
     store = ParquetSink(spark, folder)

@@ -78,13 +78,13 @@ def read_sales_csv(
 def read_users_json(
     spark: SparkSession,
     path: str | list[str],
-    layout: str = "array",
+    layout: str = "lines",
     schema: StructType = USER,
 ) -> DataFrame:
     """Nested customer records.
 
-    ``layout="array"`` reads files that each hold one JSON array; one task reads one file.
-    ``layout="lines"`` reads one object per line and splits large files.
+    ``layout="lines"`` reads one object per line and splits large files. ``layout="array"`` is for
+    small files that each hold one JSON array: one task reads a whole file.
     """
     if layout not in ("array", "lines"):
         raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
@@ -96,8 +96,15 @@ def read_users_json(
 def read_payloads(
     spark: SparkSession, path: str | list[str], format: str = "json"
 ) -> DataFrame:
-    """Landed lookups: ``user_info_table_id`` and the payload text, as JSON lines or Parquet."""
-    return spark.read.schema(USER_PAYLOAD).format(format).load(path)
+    """Landed lookups: ``user_info_table_id`` and the payload text, as JSON lines or Parquet.
+
+    A line that is not such an object, or has no id, stops the job; only the payload may be bad.
+    """
+    reader = spark.read.schema(USER_PAYLOAD).format(format)
+    rows = (reader.option("mode", "FAILFAST") if format == "json" else reader).load(path)
+    key = q("user_info_table_id")
+    missing = F.raise_error(F.lit("landed payload without user_info_table_id")).cast("long")
+    return rows.withColumn("user_info_table_id", F.coalesce(key, missing))
 
 
 def read_table(spark: SparkSession, name_or_path: str) -> DataFrame:

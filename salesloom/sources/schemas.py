@@ -45,20 +45,21 @@ USER = _struct(
     company=_struct(name=STRING, catchPhrase=STRING, bs=STRING),
 )
 
-# Readings are parsed as doubles, as services send 1014.32 where a whole number is stored.
+# Numbers are read as text and cast: services send 1014.32 where a whole number is stored, 803.0 as an
+# id, or "10" in quotes.
 WEATHER_PAYLOAD = _struct(
-    weather=ArrayType(_struct(id=LONG, main=STRING, description=STRING, icon=STRING)),
+    weather=ArrayType(_struct(id=STRING, main=STRING, description=STRING, icon=STRING)),
     main=_struct(
-        temp=DOUBLE,
-        feels_like=DOUBLE,
-        temp_min=DOUBLE,
-        temp_max=DOUBLE,
-        pressure=DOUBLE,
-        humidity=DOUBLE,
+        temp=STRING,
+        feels_like=STRING,
+        temp_min=STRING,
+        temp_max=STRING,
+        pressure=STRING,
+        humidity=STRING,
     ),
-    visibility=DOUBLE,
-    wind=_struct(speed=DOUBLE, deg=DOUBLE),
-    clouds=_struct(all=DOUBLE),
+    visibility=STRING,
+    wind=_struct(speed=STRING, deg=STRING),
+    clouds=_struct(all=STRING),
 )
 
 USER_WEATHER = _struct(

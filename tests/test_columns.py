@@ -132,3 +132,11 @@ def test_only_whole_dates_are_dates(spark, ansi):
         assert str(other.select(parse_date(F.col("d"), format="dd.MM.yyyy")).collect()[0][0]) == "2023-01-31"
     finally:
         spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_readings_in_other_spellings_are_read(spark):
+    text = GOOD.replace('"id":803', '"id":803.0').replace('"visibility":10000', '"visibility":"10"')
+    row = extract_payload(spark.createDataFrame([(text,)], "payload string")).collect()[0]
+    assert (row.weather_id, row.visibility) == (803, 10)
+    for bad in (GOOD.replace('"id":803', '"id":803.5'), GOOD.replace('"visibility":10000', '"visibility":"far"')):
+        assert extract_payload(spark.createDataFrame([(bad,)], "payload string")).count() == 0

@@ -69,7 +69,21 @@ def test_failures_can_stop_the_job(people):
         return lambda lat, lng: None
 
     with pytest.raises(Exception, match="no answer"):
-        lookup_payloads(people, KEYS, none, on_missing="fail")
+        lookup_payloads(people.where("id <> 99"), KEYS, none, on_missing="fail")
+
+
+def test_a_missing_key_is_a_failed_lookup(people):
+    def factory():
+        return lambda lat, lng: document(1.0)
+
+    with pytest.raises(Exception, match="key with a NULL"):
+        lookup_payloads(people, KEYS, factory, on_missing="fail")
+    known = people.where("id <> 99")
+    payloads = lookup_payloads(known, KEYS, factory, on_missing="fail")
+    assert lookup_weather(known, payloads, KEYS, on_missing="fail").count() == 99
+    assert lookup_weather(people, payloads, KEYS).count() == 99
+    with pytest.raises(Exception, match="key with a NULL"):
+        lookup_weather(people, payloads, KEYS, on_missing="fail").collect()
 
 
 def test_other_errors_are_not_swallowed(people):

@@ -8,7 +8,7 @@ from pyspark import cloudpickle
 from test_lookup import document
 from test_marts import EXPECTED
 
-from salesloom.__main__ import main
+from salesloom.__main__ import _fetch_factory, _sink, main, parser, settings
 from salesloom.plans.refresh import Inputs, refresh, store_marts
 from salesloom.sinks import CatalogSink, JdbcSink, ParquetSink, restore_snapshot, save_snapshot
 from salesloom.sources.files import read_table
@@ -100,6 +100,25 @@ def test_errors_end_the_run(spark, inputs, tmp_path):
         refresh(spark, sink, Inputs(**{**inputs, "sales_csv": str(bad)}))
 
 
+@pytest.mark.parametrize("kind", ["parquet", "catalog"])
+def test_a_failed_run_leaves_all_tables_as_they_were(spark, inputs, tmp_path, kind):
+    if kind == "parquet":
+        sink = ParquetSink(spark, str(tmp_path / "t"))
+    else:
+        spark.sql("CREATE DATABASE IF NOT EXISTS runs")
+        sink = CatalogSink(spark, "runs", root=str(tmp_path / "t"))
+    check(refresh(spark, sink, Inputs(**inputs)))
+    before = sorted(os.listdir(tmp_path / "t"))
+    bad = tmp_path / "bad.csv"
+    text = open(inputs["sales_csv"]).read()
+    bad.write_text(text.replace("2023-07-01", "2023-07-01 junk"))
+    with pytest.raises(Exception, match="unreadable date"):
+        refresh(spark, sink, Inputs(**{**inputs, "sales_csv": str(bad)}))
+    names = [f"results_{n}" for n in EXPECTED] + ["users", "sales", "user_weather", "sales_enriched"]
+    check({n: sink.read(n) for n in names})
+    assert sorted(os.listdir(tmp_path / "t")) == before
+
+
 def test_repeated_weather_ends_the_run(spark, inputs, tmp_path):
     twice = tmp_path / "payloads.json"
     line = json.dumps({"user_info_table_id": 1, "payload": document(1.0)})
@@ -157,3 +176,19 @@ def test_jdbc_write_options(spark):
         "user": "me", "url": "jdbc:x", "dbtable": "sales", "batchsize": "1000",
         "numPartitions": "8",
     }
+
+
+def test_command_line_options(tmp_path):
+    login = tmp_path / "login.json"
+    login.write_text('{"user": "me", "driver": "d"}')
+    options = parser().parse_args(
+        ["refresh", "--sales", "s", "--users", "u", "--fetch", "json:loads", "--lookup-tasks", "1",
+         "--jdbc-url", "jdbc:x", "--jdbc-properties", str(login), "--shuffle-gb", "400", "--cores", "100"]
+    )
+    assert settings(options)["spark.sql.shuffle.partitions"] == "2048"
+    assert _fetch_factory(options.fetch) is json.loads
+    assert (options.lookup_tasks, options.lookup_threads) == (1, 5)
+    sink = _sink(None, options)
+    assert sink.read_options("t") == {"user": "me", "driver": "d", "url": "jdbc:x", "dbtable": "t"}
+    with pytest.raises(SystemExit):
+        parser().parse_args(["refresh", "--sales", "s", "--users", "u", "--out", "o"])
