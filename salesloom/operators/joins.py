@@ -15,17 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType, BinaryType, StringType
 
 from salesloom.functions.columns import q
+from salesloom.scratch import land
 
 MIB = 1024 * 1024
 # Uncompressed bytes of a reference table that may be broadcast.
 BROADCAST_LIMIT = 64 * MIB
-# A key below this many rows is never worth splitting.
-HOT_ROWS = 1_000_000
-# The 1001st largest key holds less than a thousandth of all rows; the shuffle takes it as it is.
-MAX_HOT_KEYS = 1000
-SKETCH_ITEMS = 10_000
-# Sketches are merged in this many groups before the groups are merged.
-SKETCH_GROUPS = 1024
+# Uncompressed bytes of a key's rows that one task takes. A key with more is split.
+HOT_BYTES = 256 * MIB
 
 _UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50}
 
@@ -39,49 +35,39 @@ def estimated_bytes(df: DataFrame) -> float:
     return float(found.group(1)) * _UNITS[found.group(2)]
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Uncompressed size of ``df`` by one aggregate: 16 bytes a row, 8 a column, and all text."""
-    lengths = []
+def _row_bytes(df: DataFrame) -> Column:
+    """Uncompressed size of a row: 16 bytes, 8 a column, and all text."""
+    size = F.lit(16 + 8 * len(df.columns)).cast("long")
     for field in df.schema.fields:
         if isinstance(field.dataType, (StringType, BinaryType)):
-            lengths.append(F.octet_length(q(field.name)))
+            size = size + F.coalesce(F.octet_length(q(field.name)), F.lit(0))
         elif not isinstance(field.dataType, AtomicType):
-            lengths.append(F.octet_length(q(field.name).cast("string")))
-    row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.coalesce(F.sum(t), F.lit(0)).alias(f"t{i}") for i, t in enumerate(lengths)],
-    ).first()
-    return row[0] * (16 + 8 * len(df.columns)) + sum(row[1:])
+            text = q(field.name).cast("string")
+            size = size + F.coalesce(F.octet_length(text), F.lit(0))
+    return size
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Uncompressed size of ``df`` by one aggregate."""
+    return df.agg(F.sum(_row_bytes(df))).first()[0] or 0
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], slices: int, hot_rows: int = HOT_ROWS
-) -> tuple[list[int], int]:
-    """Hashes of the keys that hold more than an even share of the rows, and the tasks to use.
+    df: DataFrame, keys: Sequence[str], hot_bytes: int = HOT_BYTES, row_bytes: Column | None = None
+) -> DataFrame:
+    """``_hot``, ``_salts``: hashes of keys with more than ``hot_bytes``, and the tasks each needs.
 
-    One pass over the key columns with a frequent-items sketch per task, merged in two levels so
-    that no task merges all of them: no shuffle by key, one row back. The sketch only decides how
-    work is split, never which rows are in the result.
+    All keys are added up, in each task first. There are at most size / ``hot_bytes`` hot ones, none
+    is left out, and each gets as many salts as it has shares of ``hot_bytes``. The result is landed.
     """
-    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS))
-    row = (
-        df.select(F.xxhash64(*[q(k) for k in keys]).alias("h"), group.alias("g"))
-        .groupBy("g")
-        .agg(
-            F.expr(f"approx_top_k_accumulate(h, {SKETCH_ITEMS})").alias("s"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        .agg(F.expr(f"approx_top_k_combine(s, {SKETCH_ITEMS})").alias("s"), F.sum("n").alias("n"))
-        .select(F.expr(f"approx_top_k_estimate(s, {MAX_HOT_KEYS})").alias("top"), "n")
-        .first()
+    size = _row_bytes(df) if row_bytes is None else row_bytes
+    per_key = (
+        df.select(F.xxhash64(*[q(k) for k in keys]).alias("_hot"), size.alias("_bytes"))
+        .groupBy("_hot")
+        .agg(F.sum("_bytes").alias("_bytes"))
     )
-    if not row["n"]:
-        return [], 1
-    share = max(row["n"] / slices, hot_rows, 1)
-    hot = [(item["item"], item["count"]) for item in row["top"] if item["count"] > share]
-    if not hot:
-        return [], 1
-    return [h for h, _ in hot], min(slices, math.ceil(max(n for _, n in hot) / share))
+    salts = F.ceil(F.col("_bytes") / hot_bytes).cast("int")
+    return land(per_key.where(F.col("_bytes") > hot_bytes).select("_hot", salts.alias("_salts")), "hot")
 
 
 def lookup_join(
@@ -90,8 +76,7 @@ def lookup_join(
     on: Sequence[tuple[str, str]],
     how: str = "inner",
     broadcast_limit: int = BROADCAST_LIMIT,
-    slices: int | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_bytes: int = HOT_BYTES,
     keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join a long table with a reference table.
@@ -101,12 +86,12 @@ def lookup_join(
     1. Catalyst estimates the reference below its own broadcast threshold: plain join, and
        Catalyst broadcasts it.
     2. Its measured size is at most ``broadcast_limit`` (0 turns this off): broadcast hint.
-    3. Otherwise a shuffle join. Rows of ``facts`` with a hot key are spread over salts, and
-       the reference rows of just those keys are repeated once per salt.
+    3. Otherwise a shuffle join. Rows of ``facts`` with a hot key are spread over as many salts as
+       the key needs, and the reference rows of just those keys are repeated once per salt.
 
-    The result is the same in all three. The third reads the key columns of ``facts`` once more
-    to find the hot keys. Where ``facts`` is itself the result of a costly step, ``keys_from``
-    names a cheaper frame that holds the same keys in similar shares.
+    The result is the same in all three. The third reads ``facts`` once more to find the hot keys.
+    Where ``facts`` is itself the result of a costly step, ``keys_from`` names a cheaper frame that holds
+    the same keys as often.
     """
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"how must be 'inner', 'left' or 'left_semi', not {how!r}")
@@ -124,12 +109,14 @@ def lookup_join(
             return facts.join(reference, _equal(on), how)
         if measured_bytes(reference) <= broadcast_limit:
             return facts.join(F.broadcast(reference), _equal(on), how)
-    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = facts if keys_from is None else keys_from
-    hot, salts = hot_keys(source, [left for left, _ in on], slices, hot_rows)
-    if salts == 1:
+    names = [left for left, _ in on]
+    if keys_from is None:
+        hot = hot_keys(facts, names, hot_bytes)
+    else:
+        hot = hot_keys(keys_from, names, hot_bytes, F.lit(16 + 8 * len(facts.columns)))
+    if not hot.limit(1).count():
         return facts.join(reference, _equal(on), how)
-    return _salted_join(facts, reference, on, how, hot, salts)
+    return _salted_join(facts, reference, on, how, hot)
 
 
 def _auto_broadcast_bytes(spark) -> float:
@@ -145,25 +132,33 @@ def _equal(on: Sequence[tuple[str, str]]):
     return condition
 
 
-def salt(salts: int) -> Column:
-    """A number below ``salts`` for each row, by the partition the row lies in.
+def salt(df: DataFrame, salts: Column) -> Column:
+    """A number below ``salts`` for each row, by its content and the partition it lies in.
 
-    A key's rows, exact copies too, come from all partitions of a long table and so reach all
-    salts. A task that is run again gives the same numbers, in whatever order it reads its rows.
+    Rows of one key spread though they all lie in one partition, and so do exact copies that come
+    from several. A task that is run again gives the same numbers, in whatever order it reads its rows.
     """
-    return F.pmod(F.spark_partition_id(), F.lit(salts))
+    content = [q(f.name) for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    return F.pmod(F.xxhash64(*content, F.spark_partition_id()), salts).cast("int")
 
 
-def _salted_join(facts, reference, on, how, hot, salts):
+def _salted_join(facts, reference, on, how, hot):
     fact_key = F.xxhash64(*[q(left) for left, _ in on])
     ref_key = F.xxhash64(*[q(right) for _, right in on])
-    salted_facts = facts.withColumn(
-        "_fact_salt", F.when(fact_key.isin(hot), salt(salts)).otherwise(F.lit(0))
+    # At most size / hot_bytes rows of 12 bytes.
+    hot = F.broadcast(hot)
+    salted_facts = (
+        facts.withColumn("_fact_salt", salt(facts, F.lit(1 << 30)))
+        .join(hot, fact_key == F.col("_hot"), "left")
+        .withColumn("_fact_salt", F.coalesce(F.col("_fact_salt") % F.col("_salts"), F.lit(0)))
+        .drop("_hot", "_salts")
+    )
+    repeats = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_reference = (
+        reference.join(hot, ref_key == F.col("_hot"), "left")
+        .withColumn("_ref_salt", F.explode(repeats))
+        .drop("_hot", "_salts")
     )
-    repeats = F.when(
-        ref_key.isin(hot), F.sequence(F.lit(0), F.lit(salts - 1))
-    ).otherwise(F.array(F.lit(0)))
-    salted_reference = reference.withColumn("_ref_salt", F.explode(repeats))
     condition = _equal(on) & (F.col("_fact_salt") == F.col("_ref_salt"))
     return salted_facts.join(salted_reference, condition, how).drop("_fact_salt", "_ref_salt")
 

@@ -60,7 +60,7 @@ def test_all_three_ways_give_the_same_rows(spark, hot, how):
     expected = rows_of(hot.join(reference, F.col("k") == F.col("rk"), how))
     on = [("k", "rk")]
     auto = joins.lookup_join(hot, reference, on, how)
-    split = joins.lookup_join(hot, reference, on, how, broadcast_limit=0, slices=8, hot_rows=10)
+    split = joins.lookup_join(hot, reference, on, how, broadcast_limit=0, hot_bytes=10_000)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         hinted = joins.lookup_join(hot, reference, on, how)
@@ -81,23 +81,41 @@ def plan_of(df):
 
 
 def test_hot_key_is_found_and_spread(spark, hot):
-    found, salts = joins.hot_keys(hot, ["k"], slices=8, hot_rows=10)
+    found = joins.hot_keys(hot, ["k"], hot_bytes=10_000)
     seven = spark.sql("select xxhash64(7L)").first()[0]
     null = spark.sql("select xxhash64(cast(null as bigint))").first()[0]
-    assert set(found) == {seven, null}
-    assert salts >= 2
+    assert {r["_hot"] for r in found.collect()} == {seven, null}
     reference = spark.range(40).select(F.col("id").alias("rk"))
-    salted = joins._salted_join(hot, reference, [("k", "rk")], "inner", found, 4)
-    # Exact copies reach all salts as well.
-    spread = hot.where("k = 7 and v = 0").select(joins.salt(4))
+    salted = joins._salted_join(hot, reference, [("k", "rk")], "inner", found)
     assert salted.where("k = 7").count() == hot.where("k = 7").count()
-    assert spread.distinct().count() == 4
+
+
+def test_all_hot_keys_are_split_by_their_own_size(spark):
+    """Two thousand hot keys and one that is much hotter; barely hot ones get two copies."""
+    facts = spark.range(2000 * 12, numPartitions=6).select((F.col("id") % 2000).alias("k"), F.col("id").alias("v"))
+    facts = facts.union(spark.range(3000).select(F.lit(5).cast("long").alias("k"), F.col("id").alias("v")))
+    hot = joins.hot_keys(facts, ["k"], hot_bytes=10 * 32).collect()
+    assert len(hot) == 2000
+    salts = sorted(r["_salts"] for r in hot)
+    assert salts[:-1] == [2] * 1999 and salts[-1] == 302
+    reference = spark.range(2500).select(F.col("id").alias("rk"))
+    got = joins.lookup_join(facts, reference, [("k", "rk")], broadcast_limit=0, hot_bytes=320)
+    assert got.count() == facts.count()
+
+
+def test_rows_of_one_partition_and_copies_spread(spark):
+    one = spark.range(1000, numPartitions=1).select(F.lit(7).alias("k"), F.col("id").alias("v"))
+    assert one.select(joins.salt(one, F.lit(16))).distinct().count() == 16
+    copies = spark.range(400, numPartitions=40).select(F.lit(7).alias("k"))
+    assert copies.select(joins.salt(copies, F.lit(4))).distinct().count() == 4
+    again = [r[0] for r in one.select(joins.salt(one, F.lit(16))).collect()]
+    assert again == [r[0] for r in one.select(joins.salt(one, F.lit(16))).collect()]
 
 
 def test_hot_keys_of_another_frame(spark, hot):
     reference = spark.range(40).select(F.col("id").alias("rk"))
     got = joins.lookup_join(
-        hot, reference, [("k", "rk")], broadcast_limit=0, slices=8, hot_rows=10,
+        hot, reference, [("k", "rk")], broadcast_limit=0, hot_bytes=10_000,
         keys_from=hot.select("k").where("k = 7 or k = 8"),
     )
     assert "_fact_salt" in plan_of(got)
@@ -105,7 +123,7 @@ def test_hot_keys_of_another_frame(spark, hot):
 
 
 def test_small_tables_have_no_hot_keys(hot):
-    assert joins.hot_keys(hot, ["k"], slices=8) == ([], 1)
+    assert joins.hot_keys(hot, ["k"]).count() == 0
 
 
 @pytest.mark.parametrize(

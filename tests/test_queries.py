@@ -67,10 +67,9 @@ SPLIT = [
 @pytest.mark.parametrize("name", SPLIT)
 def test_query_agrees_when_every_join_is_split(spark, db, monkeypatch, name):
     """No broadcast at all, and keys of a few rows already count as hot."""
-    split = functools.partial(joins.lookup_join, broadcast_limit=0, slices=500, hot_rows=3)
+    split = functools.partial(joins.lookup_join, broadcast_limit=0, hot_bytes=100)
     for module in (joins, lookup, marts):
         monkeypatch.setattr(module, "lookup_join", split)
-    monkeypatch.setattr(joins, "SKETCH_GROUPS", 2)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         test_query_agrees_with_sql(spark, db, name)
