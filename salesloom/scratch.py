@@ -19,17 +19,20 @@ from pyspark.sql import DataFrame, SparkSession
 _own_root: str | None = None
 # Per context: two refreshes in one process must not delete each other's files.
 _landed: ContextVar[list[str] | None] = ContextVar("landed", default=None)
+# Folders landed outside of such a block; a list only grows at its end, also from several threads.
+_loose: list[str] = []
 
 
 def scratch_path(spark: SparkSession, label: str, keep: bool = False) -> str:
     """A new, unused folder name below the session's shared scratch folder.
 
-    Inside :func:`temporary` it is deleted when the block ends, unless ``keep`` is set.
+    Inside :func:`temporary` it is deleted when the block ends, and else by :func:`release`, unless
+    ``keep`` is set.
     """
     path = f"{_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
     landed = _landed.get()
-    if landed is not None and not keep:
-        landed.append(path)
+    if not keep:
+        (_loose if landed is None else landed).append(path)
     return path
 
 
@@ -57,6 +60,15 @@ def temporary(spark: SparkSession) -> Iterator[None]:
             delete(spark, path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete all that was landed outside of :func:`temporary`; frames that read it end here.
+
+    Operators give lazy frames that read landed files, so only the caller knows when that is.
+    """
+    while _loose:
+        delete(spark, _loose.pop())
+
+
 def _file(spark: SparkSession, path: str):
     # Spark has no calls of its own to delete or rename a folder on the cluster's file system.
     context = spark.sparkContext

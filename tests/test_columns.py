@@ -1,3 +1,4 @@
+import json
 from datetime import date
 
 import pytest
@@ -9,14 +10,19 @@ from salesloom.functions.payload import extract_payload
 from salesloom.operators.flatten import flatten
 from salesloom.sources.schemas import USER, WEATHER_FIELDS
 
-GOOD = """{"weather":[{"id":803,"main":"Clouds","description":"broken clouds","icon":"04n"}],
-"main":{"temp":289.74,"feels_like":289.47,"temp_min":289.0,"temp_max":290,"pressure":1026,
-"humidity":77},"visibility":10000,"wind":{"speed":2.76,"deg":172},"clouds":{"all":82}}"""
+READINGS = {
+    "weather": [{"id": 12, "main": "Hail", "description": "small hail", "icon": "h1"}],
+    "main": {"temp": 1.5, "feels_like": -0.25, "temp_min": 0.5, "temp_max": 3, "pressure": 900, "humidity": 55},
+    "visibility": 4000,
+    "wind": {"speed": 9.75, "deg": 45},
+    "clouds": {"all": 100},
+}
+GOOD = json.dumps(READINGS, separators=(",", ":"))
 BAD = [
     '{"cod":401}',
     "not json",
     '{"weather":[]}',
-    GOOD.replace('"visibility":10000,', ""),
+    json.dumps({k: v for k, v in READINGS.items() if k != "visibility"}),
     None,
 ]
 
@@ -32,15 +38,14 @@ def test_payload_fields_and_dropped_failures(payloads):
     got = extract_payload(payloads)
     assert got.columns == [*WEATHER_FIELDS, "user_info_table_id"]
     assert [tuple(r) for r in got.collect()] == [
-        (803, "Clouds", "broken clouds", "04n", 289.74, 289.47, 289.0, 290.0, 1026, 77, 10000,
-         2.76, 172, 82, 1)
+        (12, "Hail", "small hail", "h1", 1.5, -0.25, 0.5, 3.0, 900, 55, 4000, 9.75, 45, 100, 1)
     ]
 
 
 def test_readings_with_digits_are_kept_as_whole_numbers(spark):
-    text = GOOD.replace("1026", "1014.32").replace('"deg":172', '"deg":171.6')
+    text = GOOD.replace('"pressure":900', '"pressure":899.7').replace('"deg":45', '"deg":44.6')
     row = extract_payload(spark.createDataFrame([(text,)], "payload string")).first()
-    assert (row["pressure"], row["wind_deg"], row["humidity"]) == (1014, 172, 77)
+    assert (row["pressure"], row["wind_deg"], row["humidity"]) == (900, 45, 55)
 
 
 def test_payload_other_modes(payloads):
@@ -135,8 +140,8 @@ def test_only_whole_dates_are_dates(spark, ansi):
 
 
 def test_readings_in_other_spellings_are_read(spark):
-    text = GOOD.replace('"id":803', '"id":803.0').replace('"visibility":10000', '"visibility":"10"')
+    text = GOOD.replace('"id":12', '"id":12.0').replace('"visibility":4000', '"visibility":"10"')
     row = extract_payload(spark.createDataFrame([(text,)], "payload string")).collect()[0]
-    assert (row.weather_id, row.visibility) == (803, 10)
-    for bad in (GOOD.replace('"id":803', '"id":803.5'), GOOD.replace('"visibility":10000', '"visibility":"far"')):
+    assert (row.weather_id, row.visibility) == (12, 10)
+    for bad in (GOOD.replace('"id":12', '"id":12.5'), GOOD.replace('"visibility":4000', '"visibility":"far"')):
         assert extract_payload(spark.createDataFrame([(bad,)], "payload string")).count() == 0

@@ -60,3 +60,17 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     shared = Session(spark_master="yarn", **{"spark_checkpoint_dir": "hdfs://c/tmp/"})
     assert scratch.scratch_path(shared, "x").startswith("hdfs://c/tmp/x-")
     assert os.path.isdir(os.path.dirname(scratch.scratch_path(Session(spark_master="local[2]"), "x")))
+
+
+def test_release_deletes_what_queries_landed(spark, monkeypatch):
+    from salesloom import scratch
+    from salesloom.operators.ordinal import with_ordinal
+    from salesloom.scratch import release
+
+    monkeypatch.setattr(scratch, "_loose", [])  # other tests use sessions that are none
+    folder = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    assert with_ordinal(spark.range(5), ["id"]).count() == 5
+    assert set(os.listdir(folder)) > before
+    release(spark)
+    assert set(os.listdir(folder)) == before
