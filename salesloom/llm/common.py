@@ -11,6 +11,8 @@ from pyspark.sql.types import StructType
 from salesloom.functions.columns import q
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# Rows of an Arrow batch where the session has Spark's default of 10,000: texts are long.
+BATCH_ROWS = 1000
 # What separates words: blank, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
 
@@ -44,6 +46,16 @@ def spread(df: DataFrame, column: str) -> DataFrame:
     return df.repartition(n, q(column), F.spark_partition_id())
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batch to ``BATCH_ROWS`` rows, unless the user has set it.
+
+    It is read when a query runs, so it stays set.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def map_arrow(
     df: DataFrame, keep: Sequence[Column], inputs: Sequence[Column], run: Callable, made: StructType
 ) -> DataFrame:
@@ -52,6 +64,7 @@ def map_arrow(
     ``run`` gets batches of ``_row`` and the inputs and gives batches of ``_row`` and ``made``. What is
     kept travels in one struct, so that its names can be anything.
     """
+    small_batches(df.sparkSession)
     packed = df.select(F.struct(*keep, F.lit(0).alias("_pad")).alias("_row"), *inputs)
     schema = StructType([packed.schema["_row"], *made.fields])
     return packed.mapInArrow(run, schema).select("_row.*", *made.names).drop("_pad")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import ascii_lower, table, words
+from salesloom.llm.common import ascii_lower, small_batches, table, words
 from salesloom.llm.components import components
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -373,6 +373,7 @@ def jaccard_components(
     Pairs are compared only inside groups that share a block row or a cluster, in units of at most
     ``BLOCK`` documents a side; no task holds a larger group, and units send on one edge per document.
     """
+    small_batches(docs.sparkSession)
     identified = docs.select(q(doc_id).cast("long").alias("doc_id"), shingles(q(text), size).alias("grams"))
     fields = [StructField(c, LongType()) for c in ("doc_id", "n", "key1", "key2")]
     rows = [StructField(c, ArrayType(LongType())) for c in ("rows1", "rows2")]

@@ -9,8 +9,10 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +32,12 @@ SEED = 17
 VARIANTS = 4
 SPACE = "▁"
 # Cut words that a Python worker remembers of each variant, twice; characters of text in one batch.
-REMEMBERED = 50_000
+REMEMBERED = 25_000
 SLICE = 4_000_000
 _MASK = (1 << 64) - 1
+# Longest chunk that is merged together with others of its length, and the rank of no piece.
+WORD, _NONE = 32, 1 << 30
+_STIR = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 
 
 @dataclass(frozen=True)
@@ -83,6 +88,17 @@ def _chunk_pattern(vocabulary: Vocabulary) -> str:
     return f"{SPACE}*{sign}*[^\\W\\d_{odd}]+|{SPACE}*{sign}+|{SPACE}+" + (f"|[{gaps}]" if gaps else "")
 
 
+def _skipped(keys: np.ndarray, left, middle, stop, limit: int) -> np.ndarray:
+    """Whether a candidate is skipped: its chunk's keyed hash, stirred with its three places."""
+    with np.errstate(over="ignore"):
+        x = keys.copy()
+        for place, factor in zip((left, middle, stop), _STIR):
+            x ^= np.asarray(place).astype(np.uint64) * np.uint64(factor)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x ^= x >> np.uint64(32)
+    return x < np.uint64(min(limit, _MASK)) if limit <= _MASK else np.ones(len(x), bool)
+
+
 class Codec:
     """Encodes and decodes texts; remembers how words were cut."""
 
@@ -93,37 +109,150 @@ class Codec:
         best_first = sorted(set(vocabulary.scores.values()), reverse=True)
         rank = {score: r for r, score in enumerate(best_first)}
         self.ranks = {piece: rank[score] for piece, score in vocabulary.scores.items()}
+        self._tables(vocabulary)
         # Per variant, the words met lately and those met before them. Rare words fall out.
         self.known: dict[int, tuple[dict, dict]] = {}
         self.chunks = re.compile(_chunk_pattern(vocabulary))
 
+    def _tables(self, vocabulary: Vocabulary) -> None:
+        """Id of each character, and rank and id of what two pieces make, sorted by the pair."""
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        pairs: dict[int, tuple[int, int]] = {}
+        ids, self.size = vocabulary.ids, len(vocabulary.pieces)
+        for piece, i in ids.items():
+            if len(piece) == 1:
+                self.char_ids[ord(piece)] = i
+            for cut in range(1, len(piece)):
+                left, right = ids.get(piece[:cut]), ids.get(piece[cut:])
+                if left is not None and right is not None:
+                    pairs[left * self.size + right] = (self.ranks[piece], i)
+        self.pair_keys = np.array(sorted(pairs), np.int64)
+        made = np.array([pairs[k] for k in self.pair_keys.tolist()], np.int64).reshape(-1, 2)
+        self.pair_ranks, self.pair_ids = made[:, 0].astype(np.int32), made[:, 1].astype(np.int32)
+
     def encode(self, text: str, variant: int = 0) -> list[int]:
         """Ids of a text. An empty text has none."""
+        return self.encode_all([text], [variant])[0]
+
+    def encode_all(self, texts: list[str], variants: list[int]) -> list[list[int]]:
+        """Ids of each text. Words that are not remembered are cut together."""
+        chunked = [self._chunks(t) for t in texts]
+        known: dict[int, dict[str, tuple[int, ...]]] = {}
+        for variant in set(variants):
+            wanted: set[str] = set()
+            for chunks, v in zip(chunked, variants):
+                if v == variant:
+                    wanted.update(chunks)
+            known[variant] = self._known(wanted, variant)
+        out = []
+        for chunks, variant in zip(chunked, variants):
+            ids: list[int] = []
+            for found in map(known[variant].__getitem__, chunks):
+                ids += found
+            out.append(ids)
+        return out
+
+    def _chunks(self, text: str) -> list[str]:
+        """What is cut by itself. A space sign of the text's own is a chunk without a space: ``""``."""
         if not text:
             return []
-        out: list[int] = []
-        known, older = self.known.get(variant) or ({}, {})
-        if len(known) >= REMEMBERED:
-            known, older = {}, known
-        self.known[variant] = known, older
-        cut = self._cut
-        # A text that has the space sign itself: between the parts it goes in as bytes.
-        parts = text.split(SPACE) if SPACE in text else (text,)
-        for i, part in enumerate(parts):
+        if SPACE not in text:
+            return self.chunks.findall(SPACE + text.replace(" ", SPACE))
+        out: list[str] = []
+        for i, part in enumerate(text.split(SPACE)):
             if i:
-                out += self._bytes(SPACE)
-            part = part.replace(" ", SPACE)
-            for chunk in self.chunks.findall(part if i else SPACE + part):
-                found = known.get(chunk)
-                if found is None:
-                    found = older.get(chunk)
-                    if found is None:
-                        found = cut(chunk, variant)
-                    if len(chunk) <= 64 and len(known) < 2 * REMEMBERED:
-                        known[chunk] = found
-                out += found
+                out.append("")
+            out += self.chunks.findall((SPACE if not i else "") + part.replace(" ", SPACE))
         return out
 
+    def _known(self, wanted: set[str], variant: int) -> dict[str, tuple[int, ...]]:
+        """Ids of all wanted chunks; those of the last two generations need not be cut again."""
+        recent, older = self.known.get(variant) or ({}, {})
+        found = {c: ids for c in wanted if (ids := recent.get(c) or older.get(c))}
+        rest = [c for c in wanted if c not in found]
+        found |= self._cut_all(rest, variant)
+        if len(recent) >= REMEMBERED:
+            recent, older = {}, recent
+        recent.update((c, ids) for c, ids in found.items() if len(c) <= WORD)
+        if len(recent) > 2 * REMEMBERED:  # a batch with very many different words is not kept
+            recent = {}
+        self.known[variant] = recent, older
+        return found
+
+    def _cut_all(self, chunks: list[str], variant: int) -> dict[str, tuple[int, ...]]:
+        out, by_length = {}, defaultdict(list)
+        for c in chunks:
+            if not c:
+                out[c] = tuple(self._bytes(SPACE))
+            elif len(c) <= WORD:
+                by_length[len(c)].append(c)
+            else:
+                out[c] = self._cut(c, variant)
+        for n, words in by_length.items():
+            points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+            symbols = self.char_ids[points].reshape(-1, n)
+            plain = (symbols >= 0).all(axis=1)
+            for i in np.flatnonzero(~plain).tolist():
+                out[words[i]] = self._cut(words[i], variant)
+            rows = np.flatnonzero(plain)
+            for start in range(0, len(rows), 1 << 15):
+                some = rows[start : start + (1 << 15)]
+                part = [words[i] for i in some.tolist()]
+                out.update(zip(part, self._merge(symbols[some], part, variant)))
+        return out
+
+    def _key(self, chunk: str, variant: int) -> int:
+        seed = (self.seed << 8 | variant) & _MASK
+        return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank and id of what each two pieces make."""
+        key = left.astype(np.int64) * self.size + right
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        hit = self.pair_keys[at] == key
+        return np.where(hit, self.pair_ranks[at], _NONE).astype(np.int32), self.pair_ids[at]
+
+    def _merge(self, symbols: np.ndarray, words: list[str], variant: int) -> list[tuple[int, ...]]:
+        """Merges of many words of one length at once: in each round every word's best pair."""
+        count, n = symbols.shape
+        symbols, alive = symbols.copy(), np.ones((count, n), bool)
+        after = np.tile(np.arange(1, n + 1), (count, 1))
+        before = np.tile(np.arange(-1, n - 1), (count, 1))
+        ranks, made = np.full((count, n), _NONE, np.int32), np.zeros((count, n), np.int32)
+        if n > 1:
+            ranks[:, :-1], made[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
+        keys = np.array([self._key(w, variant) for w in words] if self.limit else [0] * count, np.uint64)
+        rows = np.arange(count)
+        while len(rows):
+            left = ranks[rows].argmin(axis=1)
+            going = ranks[rows, left] < _NONE
+            rows, left = rows[going], left[going]
+            if not len(rows):
+                break
+            middle = after[rows, left]
+            stop = after[rows, middle]
+            merged = np.ones(len(rows), bool)
+            if self.limit:
+                merged = ~_skipped(keys[rows], left, middle, stop, self.limit)
+                ranks[rows[~merged], left[~merged]] = _NONE
+            r, a, m, s = rows[merged], left[merged], middle[merged], stop[merged]
+            symbols[r, a] = made[r, a]
+            after[r, a] = s
+            alive[r, m] = False
+            ranks[r, m] = _NONE
+            ranks[r, a] = _NONE
+            more = s < n
+            r2, a2, s2 = r[more], a[more], s[more]
+            before[r2, s2] = a2
+            ranks[r2, a2], made[r2, a2] = self._pairs(symbols[r2, a2], symbols[r2, s2])
+            first = before[r, a]
+            some = first >= 0
+            r3, a3, f3 = r[some], a[some], first[some]
+            ranks[r3, f3], made[r3, f3] = self._pairs(symbols[r3, f3], symbols[r3, a3])
+        flat, ends = symbols[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
+        return [tuple(flat[b:e]) for b, e in zip([0, *ends], ends)]
+
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Spaces come from pieces only; bytes are text as they are."""
         pieces, byte_of = self.vocabulary.pieces, self.byte_of
@@ -149,14 +278,12 @@ class Codec:
             if (rank := get(chunk[i : i + 2])) is not None
         ]
         heapq.heapify(agenda)
-        # Whether a candidate is skipped: a hash of the chunk, keyed by seed, variant and its places.
-        data, digest = chunk.encode("utf-8", "surrogatepass"), xxhash.xxh3_64_intdigest
-        base = ((self.seed << 8 | variant) << 40) & _MASK
+        word = np.array([self._key(chunk, variant)], np.uint64)
         while agenda:
             _, left, middle, stop = heapq.heappop(agenda)
             if end[left] != middle or before[middle] != left or end[middle] != stop:
                 continue  # one of the two has been merged otherwise
-            if limit and digest(data, base + (left * n + middle) * n + stop) < limit:
+            if limit and _skipped(word, left, middle, stop, limit)[0]:
                 continue
             end[left] = stop
             before[middle] = -2
@@ -208,29 +335,27 @@ def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
         codec = Codec(vocabulary, dropout, seed)
         for batch in batches:
             texts, variants = batch["_text"], batch["_variant"].to_pylist()
-            start, size, flat, ends, same = 0, 0, [], [0], []
+            start, size, held = 0, 0, []
             for i in range(batch.num_rows):
-                text = texts[i].as_py()
-                ids = codec.encode(text or "", variants[i])
-                flat.append(np.array(ids, np.int32))
-                ends.append(ends[-1] + len(ids))
-                same.append(codec.decode(ids) == (text or ""))
-                size += len(text or "")
+                held.append(texts[i].as_py() or "")
+                size += len(held[-1])
                 if size >= SLICE or i + 1 == batch.num_rows:
+                    found = codec.encode_all(held, variants[start : i + 1])
+                    same = [codec.decode(ids) == text for ids, text in zip(found, held)]
                     missing = pa.array(np.asarray(texts[start : i + 1].is_null()))
-                    yield _encoded(batch["_row"][start : i + 1], flat, ends, same, missing)
-                    start, size, flat, ends, same = i + 1, 0, [], [0], []
+                    yield _encoded(batch["_row"][start : i + 1], found, same, missing)
+                    start, size, held = i + 1, 0, []
 
     return run
 
 
-def _encoded(rows: pa.Array, flat: list, ends: list, same: list, missing: pa.Array) -> pa.RecordBatch:
-    lists = pa.ListArray.from_arrays(
-        pa.array(ends, pa.int32()), pa.array(np.concatenate(flat)), mask=missing
-    )
-    counts = pa.array(np.diff(ends).astype(np.int32))
+def _encoded(rows: pa.Array, found: list[list[int]], same: list[bool], missing: pa.Array) -> pa.RecordBatch:
+    counts = np.array([len(ids) for ids in found], np.int32)
+    flat = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=missing)
     return pa.record_batch(
-        [rows, lists, counts, pa.array(same)], names=["_row", "ids", "n_tokens", "lossless"]
+        [rows, lists, pa.array(counts), pa.array(same)], names=["_row", "ids", "n_tokens", "lossless"]
     )
 
 

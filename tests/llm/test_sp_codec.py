@@ -86,3 +86,23 @@ def test_operator(spark, vocabulary):
     again = encode(docs.repartition(7), vocabulary).collect()
     assert sorted((str(r.doc_id), r.ids or []) for r in again) == sorted((str(r.doc_id), r.ids or []) for r in got)
     assert encode(docs.limit(0), vocabulary).count() == 0
+
+
+def test_words_cut_together_and_alone_are_cut_alike(vocabulary):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("▁▁aeinorstlé#.漢\0", k=rng.randint(1, 40))) for _ in range(1500)]
+    for dropout in (0.0, 0.2, 0.6, 1.0):
+        codec = Codec(vocabulary, dropout)
+        found = codec._cut_all(words, 1)
+        assert all(found[w] == codec._cut(w, 1) for w in words)
+
+
+def test_what_is_remembered_changes_nothing(vocabulary, monkeypatch):
+    from salesloom.llm import sp_codec
+
+    texts = [t * 3 for t in TEXTS] * 2
+    plain = [Codec(vocabulary).encode(t, i % 3) for i, t in enumerate(texts)]
+    monkeypatch.setattr(sp_codec, "REMEMBERED", 4)
+    codec = Codec(vocabulary)
+    assert [codec.encode(t, i % 3) for i, t in enumerate(texts)] == plain
+    assert Codec(vocabulary).encode_all(texts, [i % 3 for i in range(len(texts))]) == plain
