@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import json
 import sys
-from functools import lru_cache
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # --- inputs -------------------------------------------------------------------------------
 
 
-@lru_cache(maxsize=256)
 def _stored_schema(path: str) -> StructType:
-    """Reading a footer takes a job; once per table is enough."""
+    """From the footer, each time: a table may have been rewritten with other columns."""
     return SparkSession.active().read.parquet(path).schema
 
 
@@ -422,6 +420,13 @@ def full_refresh_results(spark, sf_dir):
     return results
 
 
+def charges_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts with many digits: tax paid on discounts, added exactly."""
+    lines = table(spark, sf_dir, "lineitem")
+    charge = F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax")
+    return agg.total_by(lines.select("l_returnflag", charge.alias("charge")), "l_returnflag", "charge")
+
+
 QUERIES = {
     "extract_payload": extract_event_payload,
 } | {
@@ -442,6 +447,7 @@ QUERIES = {
         sales_trends_monthly,
         sales_trends_quarterly,
         reaggregated_customer_totals,
+        charges_by_flag,
         flatten_customer,
         lookup_enrich,
         customer_ordinal,

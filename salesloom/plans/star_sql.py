@@ -139,4 +139,6 @@ from sales join users on sales.customer_id = users.id""",
         f"cast({value} as double) as value from ({text}) r)"
         for name, (text, key, value) in _RESULTS.items()
     ),
+    "charges_by_flag": """select l_returnflag, cast(sum(cast(cast(l_extendedprice * l_discount * l_tax
+as varchar) as decimal(38,20))) as double) as charge from lineitem group by l_returnflag""",
 }
