@@ -202,14 +202,15 @@ def finish(root: Node) -> list[Node]:
     return order
 
 
-def candidates(html: str) -> set[int]:
-    """Hashes of the subtrees of a page that may be a template of its site.
+def candidates(html: str) -> tuple[int, set[int]]:
+    """Hash of a page, and hashes of its subtrees that may be a template of its site.
 
     Plain paragraphs, headings and inline elements are prose, however often they recur; neither
     is what holds a title or half of the page's text.
     """
     root = parse(html)
-    return {n.hash for n in finish(root) if _may_go(n, root)}
+    found = {n.hash for n in finish(root) if _may_go(n, root)}
+    return root.hash, found
 
 
 def _may_go(node: Node, root: Node) -> bool:
@@ -284,10 +285,15 @@ def host_templates(
 ) -> DataFrame:
     """``_of_host`` and ``_templates``, the hashes of its recurring subtrees.
 
-    ``pages`` has ``_host`` and ``_html``. Each page counts a subtree once; counts are added up in
-    each task first. A host's array has at most subtrees of a page / ``min_share`` entries.
+    ``pages`` has ``_host`` and ``_html``. Pages of a host that parse alike are one page, and each page
+    counts a subtree once; counts are added up in each task first. A host's array has at most subtrees of a page / ``min_share`` entries.
     """
-    per_page = pages.select("_host", "_html").mapInArrow(_candidate_rows, "_host string, _hash long")
+    schema = "_host string, _page long, _hashes array<long>"
+    found = pages.select("_host", "_html").mapInArrow(_candidate_rows, schema)
+    different = found.groupBy("_host", "_page").agg(F.min("_hashes").alias("_hashes"))
+    per_page = different.select(
+        "_host", F.explode(F.concat("_hashes", F.array(F.lit(None).cast("long")))).alias("_hash")
+    )
     # The row without a hash counts the pages of a host.
     counted = land(per_page.groupBy("_host", "_hash").count(), "subtrees")
     sizes = counted.where("_hash IS NULL").select("_host", F.col("count").alias("_pages"))
@@ -302,15 +308,11 @@ def host_templates(
 
 def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        hosts, hashes = [], []
-        for host, html in zip(batch["_host"].to_pylist(), batch["_html"]):
-            hosts.append(host)
-            hashes.append(None)
-            for found in candidates(html.as_py() or ""):
-                hosts.append(host)
-                hashes.append(found)
+        found = [candidates(html.as_py() or "") for html in batch["_html"]]
+        pages, hashes = zip(*found) if found else ((), ())
         yield pa.record_batch(
-            {"_host": pa.array(hosts, pa.string()), "_hash": pa.array(hashes, pa.int64())}
+            [batch["_host"], pa.array(pages, pa.int64()), pa.array(map(sorted, hashes), pa.list_(pa.int64()))],
+            names=["_host", "_page", "_hashes"],
         )
 
 
@@ -321,7 +323,7 @@ def extract_text(
     """All rows of ``pages`` with ``text`` and ``n_chars``, its code points.
 
     NULL and empty pages have empty text. Pages without a host (NULL URL) count as one host.
-    Repeated rows stay repeated and count as several pages; an empty table gives an empty one.
+    Repeated rows stay repeated and count as one page; an empty table gives an empty one.
     Columns named like the new ones are replaced. Whole pages are parsed.
     """
     made = ["text", "n_chars"]

@@ -51,3 +51,17 @@ def test_recurring_paragraphs_stay(spark):
     rows = [(i, "http://a.com/", f"<article><p>Same line.</p><p>own {i}</p></article>") for i in range(9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert {r.text for r in extract_text(pages).collect()} == {f"Same line. own {i}" for i in range(9)}
+
+
+def _texts(spark, rows):
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    return {r.page_id: r.text for r in extract_text(pages).collect()}
+
+
+def test_copies_of_a_page_are_no_template(spark):
+    body = "<ul><li>first</li><li>second</li></ul><div><p>wrapped part</p></div>"
+    copied = f"<article><h1>T</h1><p>a long enough story of its own</p>{body}</article>"
+    rows = [(i, f"http://a.com/{i}", copied) for i in range(12)]
+    rows += [(20 + i, f"http://a.com/{i}", f"<article class=c{i}><p>other {i}</p></article>") for i in range(8)]
+    got = _texts(spark, rows)
+    assert {got[i] for i in range(12)} == {"T a long enough story of its own first second wrapped part"}
