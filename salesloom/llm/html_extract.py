@@ -1,7 +1,7 @@
 """Main text of web pages, with the templates of a site removed.
 
-Each page is parsed into a light tree. Subtrees are hashed, Spark counts per host on how many pages
-each hash occurs, and subtrees that recur on many pages of their host are deleted. What a single
+Each page is parsed into a light tree. Subtrees are hashed, Spark counts per host on how many different
+pages each hash occurs, and subtrees that recur on several pages of their host are deleted. What a single
 page shows to be no article (menus, forms, adverts, comments and so on) is deleted as well.
 """
 
@@ -23,9 +23,8 @@ from salesloom.llm.url_filter import host_and_path
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
-#: A subtree is a template of its host if it is on this many pages at least, and on this share.
+#: A subtree is a template of its host if it is on this many different pages at least.
 MIN_PAGES = 5
-MIN_SHARE = 0.05
 
 RAW = frozenset("script style title textarea noscript iframe xmp template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -202,25 +201,26 @@ def finish(root: Node) -> list[Node]:
     return order
 
 
-def candidates(html: str) -> tuple[int, set[int]]:
-    """Hash of a page, and hashes of its subtrees that may be a template of its site.
+def subtrees(html: str) -> tuple[int, set[int], set[int]]:
+    """Hash of a page, and hashes of its subtrees that count for a template and that may be one.
 
     Plain paragraphs, headings and inline elements are prose, however often they recur; neither
-    is what holds a title or half of the page's text.
+    is what holds a title. What holds half of the page's text does not count here, but goes
+    if other pages show it to be a template.
     """
     root = parse(html)
-    found = {n.hash for n in finish(root) if _may_go(n, root)}
-    return root.hash, found
+    may_go = [n for n in finish(root) if _may_go(n)]
+    counted = {n.hash for n in may_go if 2 * n.text_length < root.text_length}
+    return root.hash, counted, {n.hash for n in may_go}
 
 
-def _may_go(node: Node, root: Node) -> bool:
+def _may_go(node: Node) -> bool:
     return (
         node.text_length > 0
         and node.tag not in PROSE
         and node.tag not in MAIN
         and node.tag not in ("", "html", "body")
         and not node.has_title
-        and 2 * node.text_length < root.text_length
     )
 
 
@@ -232,7 +232,7 @@ def main_text(html: str, templates: frozenset[int] | set[int] = frozenset()) ->
     """
     root = parse(html)
     for node in finish(root):
-        node.dropped |= node.hash in templates and _may_go(node, root)
+        node.dropped |= node.hash in templates and _may_go(node)
     for tags in (("article",), ("main",)):
         blocks, found = _blocks(root, tags)
         if found:
@@ -280,45 +280,46 @@ def _kept(node: Node, in_article: bool) -> bool:
     return not node.marked and (in_article or not node.header)
 
 
-def host_templates(
-    pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE
-) -> DataFrame:
-    """``_of_host`` and ``_templates``, the hashes of its recurring subtrees.
+def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """``_on_host``, ``_of_key`` and ``_templates``, hashes of a page's own subtrees that recur on its host.
 
-    ``pages`` has ``_host`` and ``_html``. Pages of a host that parse alike are one page, and each page
-    counts a subtree once; counts are added up in each task first. A host's array has at most subtrees of a page / ``min_share`` entries.
+    ``pages`` has ``_host``, ``_key`` (a hash of the page as it is) and ``_html``. Pages of a host that
+    parse alike are one page, and each page counts a subtree once; counts are added up in each task
+    first. Templates stay rows of host and hash; an array has at most the subtrees of a page.
     """
-    schema = "_host string, _page long, _hashes array<long>"
-    found = pages.select("_host", "_html").mapInArrow(_candidate_rows, schema)
-    different = found.groupBy("_host", "_page").agg(F.min("_hashes").alias("_hashes"))
-    per_page = different.select(
-        "_host", F.explode(F.concat("_hashes", F.array(F.lit(None).cast("long")))).alias("_hash")
+    schema = "_host string, _key long, _page long, _counted array<long>, _own array<long>"
+    found = land(pages.select("_host", "_key", "_html").mapInArrow(_subtree_rows, schema), "subtrees")
+    different = found.groupBy("_host", "_page").agg(F.min("_counted").alias("_counted"))
+    often = land(
+        different.select(F.col("_host").alias("_of_host"), F.explode("_counted").alias("_template"))
+        .groupBy("_of_host", "_template").count().where(f"count >= {int(min_pages)}").drop("count"),
+        "templates",
     )
-    # The row without a hash counts the pages of a host.
-    counted = land(per_page.groupBy("_host", "_hash").count(), "subtrees")
-    sizes = counted.where("_hash IS NULL").select("_host", F.col("count").alias("_pages"))
-    return (
-        counted.where(f"_hash IS NOT NULL AND count >= {int(min_pages)}")
-        .join(sizes, "_host")
-        .where(F.col("count") >= F.col("_pages") * min_share)
-        .groupBy(F.col("_host").alias("_of_host"))
-        .agg(F.collect_list("_hash").alias("_templates"))
+    own = found.groupBy("_host", "_key").agg(F.min("_own").alias("_own"))
+    met = lookup_join(
+        own.select("_host", "_key", F.explode("_own").alias("_hash")), often,
+        [("_host", "_of_host"), ("_hash", "_template")],
+    )
+    return met.groupBy(F.col("_host").alias("_on_host"), F.col("_key").alias("_of_key")).agg(
+        F.collect_list("_hash").alias("_templates")
     )
 
 
-def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [candidates(html.as_py() or "") for html in batch["_html"]]
-        pages, hashes = zip(*found) if found else ((), ())
+        found = [subtrees(html.as_py() or "") for html in batch["_html"]]
+        pages, counted, own = zip(*found) if found else ((), (), ())
+        lists = pa.list_(pa.int64())
         yield pa.record_batch(
-            [batch["_host"], pa.array(pages, pa.int64()), pa.array(map(sorted, hashes), pa.list_(pa.int64()))],
-            names=["_host", "_page", "_hashes"],
+            [batch["_host"], batch["_key"], pa.array(pages, pa.int64()),
+             pa.array(map(sorted, counted), lists), pa.array(map(sorted, own), lists)],
+            names=["_host", "_key", "_page", "_counted", "_own"],
         )
 
 
 def extract_text(
     pages: DataFrame, url: str = "url", html: str = "html",
-    min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE,
+    min_pages: int = MIN_PAGES,
 ) -> DataFrame:
     """All rows of ``pages`` with ``text`` and ``n_chars``, its code points.
 
@@ -328,9 +329,12 @@ def extract_text(
     """
     made = ["text", "n_chars"]
     host, _ = host_and_path(q(url))
-    rows = pages.select(*others(pages, made), host.alias("_host"), q(html).alias("_html"))
-    templates = host_templates(rows, min_pages, min_share)
-    joined = lookup_join(rows, templates, [("_host", "_of_host")], "left")
+    rows = pages.select(
+        *others(pages, made), host.alias("_host"), F.xxhash64(q(html)).alias("_key"),
+        q(html).alias("_html"),
+    )
+    templates = page_templates(rows, min_pages)
+    joined = lookup_join(rows, templates, [("_host", "_on_host"), ("_key", "_of_key")], "left")
     schema = StructType().add("text", "string").add("n_chars", "long")
     inputs = [F.col("_html"), F.col("_templates")]
     return map_arrow(joined, others(pages, made), inputs, _text_rows, schema)

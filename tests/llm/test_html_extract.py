@@ -65,3 +65,12 @@ def test_copies_of_a_page_are_no_template(spark):
     rows += [(20 + i, f"http://a.com/{i}", f"<article class=c{i}><p>other {i}</p></article>") for i in range(8)]
     got = _texts(spark, rows)
     assert {got[i] for i in range(12)} == {"T a long enough story of its own first second wrapped part"}
+
+
+def test_templates_of_a_large_host_and_on_short_pages_go(spark):
+    notice = "<div>Our office is closed today</div>"
+    rows = [(i, "http://a.com/", f"<p>story {i} with a long text of its own</p>") for i in range(200)]
+    rows += [(300 + i, "http://a.com/", f"{notice}<p>story {300 + i} with a long text of its own</p>") for i in range(6)]
+    rows.append((400, "http://a.com/", f"{notice}<p>short</p>"))
+    got = _texts(spark, rows)
+    assert got[302] == "story 302 with a long text of its own" and got[400] == "short"
