@@ -2,7 +2,11 @@
 
 A public vocabulary of merge type is applied as its library applies it: the best-scored adjacent
 pair is merged until none is left. With dropout, each candidate merge that comes up is skipped if a
-keyed hash of it says so. Segmentations then vary with the seed, and all of them decode to the text.
+keyed hash of it says so. The key is of the text and the word's place in it, so each occurrence of a word
+is drawn anew. Segmentations vary with the seed, and all of them decode to the text.
+
+What is remembered is no cut but the tree of a word's decisions: the candidate that comes up, and
+the one after it if it is merged or skipped. Occurrences walk down the trees of their words together.
 """
 
 from __future__ import annotations
@@ -12,7 +16,7 @@ import re
 from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +32,10 @@ from salesloom.llm.common import map_arrow, others, table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 17
-#: The same word is cut in up to this many ways in a corpus; which one depends on the text it is in.
-VARIANTS = 4
 SPACE = "▁"
-# Cut words that a Python worker remembers of each variant, twice; characters of text in one batch.
-REMEMBERED = 25_000
+# Decisions that a Python worker remembers; words that walk together; characters of text in one batch.
+REMEMBERED = 1_500_000
+TOGETHER = 1 << 16
 SLICE = 4_000_000
 _MASK = (1 << 64) - 1
 # Longest chunk that is merged together with others of its length, and the rank of no piece.
@@ -89,7 +92,7 @@ def _chunk_pattern(vocabulary: Vocabulary) -> str:
 
 
 def _skipped(keys: np.ndarray, left, middle, stop, limit: int) -> np.ndarray:
-    """Whether a candidate is skipped: its chunk's keyed hash, stirred with its three places."""
+    """Whether a candidate is skipped: its word's key, stirred with its three places."""
     with np.errstate(over="ignore"):
         x = keys.copy()
         for place, factor in zip((left, middle, stop), _STIR):
@@ -99,8 +102,84 @@ def _skipped(keys: np.ndarray, left, middle, stop, limit: int) -> np.ndarray:
     return x < np.uint64(min(limit, _MASK)) if limit <= _MASK else np.ones(len(x), bool)
 
 
+class _Trees:
+    """The decisions met so far: a tree for each word, its results in the leaves."""
+
+    NEW, LEAF = -2, -1
+
+    def __init__(self):
+        self.roots: dict[str, int] = {}
+        self.size, self.used = 0, 0
+        # Three places of a node's candidate; of a leaf: LEAF, where its ids begin and how many they are.
+        self.places = np.full((1 << 14, 3), self.NEW, np.int32)
+        self.following = np.full((1 << 14, 2), -1, np.int32)  # if merged, if skipped
+        self.ids = np.zeros(1 << 14, np.int32)
+
+    def _add(self, count: int) -> np.ndarray:
+        while self.size + count > len(self.places):
+            self.places = np.concatenate([self.places, np.full_like(self.places, self.NEW)])
+            self.following = np.concatenate([self.following, np.full_like(self.following, -1)])
+        self.size += count
+        return np.arange(self.size - count, self.size)
+
+    def root(self, words: list[str]) -> np.ndarray:
+        """Roots of the words, which need not be different; made where there are none."""
+        new = [w for w in dict.fromkeys(words) if w not in self.roots]
+        self.roots.update(zip(new, self._add(len(new)).tolist()))
+        return np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
+
+    def step(self, nodes: np.ndarray, places: tuple, skipped: np.ndarray) -> np.ndarray:
+        """Sets the candidates of nodes; gives the nodes that follow, made where there are none."""
+        for k, place in enumerate(places):
+            self.places[nodes, k] = place
+        slots = nodes * 2 + skipped
+        new = np.unique(slots[self.following.reshape(-1)[slots] < 0])
+        made = self._add(len(new))
+        self.following.reshape(-1)[new] = made
+        return self.following.reshape(-1)[slots].astype(np.int64)
+
+    def end(self, nodes: np.ndarray, flat: np.ndarray, ends: np.ndarray) -> None:
+        """Makes leaves of nodes: of each, the ids up to its end in ``flat``."""
+        begins = np.concatenate([[0], ends[:-1]])
+        nodes, first = np.unique(nodes, return_index=True)
+        first = first[self.places[nodes, 0] == self.NEW]
+        new = nodes[self.places[nodes, 0] == self.NEW]
+        counts = (ends - begins)[first]
+        picked = flat[_ranges(begins[first], counts)]
+        while self.used + len(picked) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used : self.used + len(picked)] = picked
+        self.places[new] = np.stack(
+            [np.full(len(new), self.LEAF), self.used + np.cumsum(counts) - counts, counts], axis=1
+        )
+        self.used += len(picked)
+
+    def walk(self, nodes: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
+        """The leaf that each key leads to from a node; -1 where the way is not known yet."""
+        out = nodes.copy()
+        rows = np.flatnonzero(nodes >= 0)
+        while len(rows):
+            at = out[rows]
+            left, middle, stop = self.places[at].T
+            inner = left >= 0
+            rows, at, left, middle, stop = rows[inner], at[inner], left[inner], middle[inner], stop[inner]
+            if limit:
+                skipped = _skipped(keys[rows], left, middle, stop, limit)
+            else:
+                skipped = np.zeros(len(rows), bool)
+            out[rows] = self.following.reshape(-1)[at * 2 + skipped]
+            rows = rows[out[rows] >= 0]
+        return out
+
+
+def _ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Places of ranges, one range after the other."""
+    ends = np.cumsum(counts)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(begins - (ends - counts), counts)
+
+
 class Codec:
-    """Encodes and decodes texts; remembers how words were cut."""
+    """Encodes and decodes texts; remembers decisions about words."""
 
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
         self.vocabulary, self.seed = vocabulary, seed
@@ -110,8 +189,7 @@ class Codec:
         rank = {score: r for r, score in enumerate(best_first)}
         self.ranks = {piece: rank[score] for piece, score in vocabulary.scores.items()}
         self._tables(vocabulary)
-        # Per variant, the words met lately and those met before them. Rare words fall out.
-        self.known: dict[int, tuple[dict, dict]] = {}
+        self.trees = _Trees()
         self.chunks = re.compile(_chunk_pattern(vocabulary))
 
     def _tables(self, vocabulary: Vocabulary) -> None:
@@ -135,22 +213,17 @@ class Codec:
         return self.encode_all([text], [variant])[0]
 
     def encode_all(self, texts: list[str], variants: list[int]) -> list[list[int]]:
-        """Ids of each text. Words that are not remembered are cut together."""
+        """Ids of each text: each word by the key of its text, variant and place. Words are cut together."""
         chunked = [self._chunks(t) for t in texts]
-        known: dict[int, dict[str, tuple[int, ...]]] = {}
-        for variant in set(variants):
-            wanted: set[str] = set()
-            for chunks, v in zip(chunked, variants):
-                if v == variant:
-                    wanted.update(chunks)
-            known[variant] = self._known(wanted, variant)
-        out = []
-        for chunks, variant in zip(chunked, variants):
-            ids: list[int] = []
-            for found in map(known[variant].__getitem__, chunks):
-                ids += found
-            out.append(ids)
-        return out
+        counts = np.array([len(c) for c in chunked], np.int64)
+        own = [self._key(t, v) if self.limit else 0 for t, v in zip(texts, variants)]
+        keys = np.repeat(np.array(own, np.uint64), counts)
+        keys += _ranges(np.zeros(len(counts), np.int64), counts).astype(np.uint64) * np.uint64(_STIR[0])
+        keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        keys ^= keys >> np.uint64(27)
+        flat, sizes = self._cut_each(list(chain.from_iterable(chunked)), keys)
+        places = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [flat[b:e].tolist() for b, e in zip(places, places[1:])]
 
     def _chunks(self, text: str) -> list[str]:
         """What is cut by itself. A space sign of the text's own is a chunk without a space: ``""``."""
@@ -165,45 +238,62 @@ class Codec:
             out += self.chunks.findall((SPACE if not i else "") + part.replace(" ", SPACE))
         return out
 
-    def _known(self, wanted: set[str], variant: int) -> dict[str, tuple[int, ...]]:
-        """Ids of all wanted chunks; those of the last two generations need not be cut again."""
-        recent, older = self.known.get(variant) or ({}, {})
-        found = {c: ids for c in wanted if (ids := recent.get(c) or older.get(c))}
-        rest = [c for c in wanted if c not in found]
-        found |= self._cut_all(rest, variant)
-        if len(recent) >= REMEMBERED:
-            recent, older = {}, recent
-        recent.update((c, ids) for c, ids in found.items() if len(c) <= WORD)
-        if len(recent) > 2 * REMEMBERED:  # a batch with very many different words is not kept
-            recent = {}
-        self.known[variant] = recent, older
-        return found
-
-    def _cut_all(self, chunks: list[str], variant: int) -> dict[str, tuple[int, ...]]:
-        out, by_length = {}, defaultdict(list)
-        for c in chunks:
-            if not c:
-                out[c] = tuple(self._bytes(SPACE))
-            elif len(c) <= WORD:
-                by_length[len(c)].append(c)
+    def _cut_each(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all chunks, one after the other, and how many each has; ``keys``: one of each."""
+        flat, sizes = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for start in range(0, len(chunks), TOGETHER):
+            if self.trees.size > REMEMBERED:
+                self.trees = _Trees()
+            found = self._cut_some(chunks[start : start + TOGETHER], keys[start : start + TOGETHER])
+            for held, part in zip((flat, sizes), found):
+                held.append(part)
+        return np.concatenate(flat), np.concatenate(sizes)
+
+    def _cut_some(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        trees = self.trees
+        nodes = np.fromiter(map(trees.roots.get, chunks, repeat(-1)), np.int64, len(chunks))
+        nodes = trees.walk(nodes, keys, self.limit)
+        alone: dict[int, list[int]] = {}
+        by_length = defaultdict(list)
+        for i in np.flatnonzero(nodes < 0).tolist():
+            n = len(chunks[i])
+            if 0 < n <= WORD:
+                by_length[n].append(i)
             else:
-                out[c] = self._cut(c, variant)
-        for n, words in by_length.items():
+                alone[i] = self._merged(chunks[i], keys[i]) if n else self._bytes(SPACE)
+        for n, places in by_length.items():
+            words = [chunks[i] for i in places]
             points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
             symbols = self.char_ids[points].reshape(-1, n)
             plain = (symbols >= 0).all(axis=1)
-            for i in np.flatnonzero(~plain).tolist():
-                out[words[i]] = self._cut(words[i], variant)
-            rows = np.flatnonzero(plain)
-            for start in range(0, len(rows), 1 << 15):
-                some = rows[start : start + (1 << 15)]
-                part = [words[i] for i in some.tolist()]
-                out.update(zip(part, self._merge(symbols[some], part, variant)))
-        return out
+            for j in np.flatnonzero(~plain).tolist():
+                alone[places[j]] = self._merged(words[j], keys[places[j]])
+            some = np.flatnonzero(plain)
+            if len(some):
+                at = np.array(places)[some]
+                nodes[at] = self._merge(symbols[some], [words[j] for j in some.tolist()], keys[at])
+        known = nodes >= 0
+        sizes = np.where(known, trees.places[nodes, 2], 0).astype(np.int64)
+        begins = trees.places[nodes, 1].astype(np.int64)
+        if not alone:
+            return trees.ids[_ranges(begins, sizes)], sizes
+        # Those cut alone follow the remembered ids.
+        more = sorted(alone)
+        lengths = np.array([len(alone[i]) for i in more], np.int64)
+        begins[more] = trees.used + np.cumsum(lengths) - lengths
+        sizes[more] = lengths
+        extra = np.fromiter(chain.from_iterable(alone[i] for i in more), np.int32, int(lengths.sum()))
+        return np.concatenate([trees.ids[: trees.used], extra])[_ranges(begins, sizes)], sizes
+
+    def _cut_all(self, chunks: list[str], variant: int) -> dict[str, tuple[int, ...]]:
+        keys = np.array([self._key(c, variant) for c in chunks], np.uint64)
+        flat, sizes = self._cut_each(chunks, keys)
+        ends = np.cumsum(sizes).tolist()
+        return {c: tuple(flat[b:e].tolist()) for c, b, e in zip(chunks, [0, *ends], ends)}
 
-    def _key(self, chunk: str, variant: int) -> int:
+    def _key(self, text: str, variant: int) -> int:
         seed = (self.seed << 8 | variant) & _MASK
-        return xxhash.xxh3_64_intdigest(chunk.encode("utf-8", "surrogatepass"), seed)
+        return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"), seed)
 
     def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and id of what each two pieces make."""
@@ -213,8 +303,11 @@ class Codec:
         hit = self.pair_keys[at] == key
         return np.where(hit, self.pair_ranks[at], _NONE).astype(np.int32), self.pair_ids[at]
 
-    def _merge(self, symbols: np.ndarray, words: list[str], variant: int) -> list[tuple[int, ...]]:
-        """Merges of many words of one length at once: in each round every word's best pair."""
+    def _merge(self, symbols: np.ndarray, words: list[str], keys: np.ndarray) -> np.ndarray:
+        """Merges of many words of one length at once: in each round every word's best pair.
+
+        Gives the leaves of the words' trees.
+        """
         count, n = symbols.shape
         symbols, alive = symbols.copy(), np.ones((count, n), bool)
         after = np.tile(np.arange(1, n + 1), (count, 1))
@@ -222,8 +315,7 @@ class Codec:
         ranks, made = np.full((count, n), _NONE, np.int32), np.zeros((count, n), np.int32)
         if n > 1:
             ranks[:, :-1], made[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
-        keys = np.array([self._key(w, variant) for w in words] if self.limit else [0] * count, np.uint64)
-        rows = np.arange(count)
+        nodes, rows = self.trees.root(words), np.arange(count)
         while len(rows):
             left = ranks[rows].argmin(axis=1)
             going = ranks[rows, left] < _NONE
@@ -236,6 +328,7 @@ class Codec:
             if self.limit:
                 merged = ~_skipped(keys[rows], left, middle, stop, self.limit)
                 ranks[rows[~merged], left[~merged]] = _NONE
+            nodes[rows] = self.trees.step(nodes[rows], (left, middle, stop), ~merged)
             r, a, m, s = rows[merged], left[merged], middle[merged], stop[merged]
             symbols[r, a] = made[r, a]
             after[r, a] = s
@@ -250,8 +343,8 @@ class Codec:
             some = first >= 0
             r3, a3, f3 = r[some], a[some], first[some]
             ranks[r3, f3], made[r3, f3] = self._pairs(symbols[r3, f3], symbols[r3, a3])
-        flat, ends = symbols[alive].tolist(), np.cumsum(alive.sum(axis=1)).tolist()
-        return [tuple(flat[b:e]) for b, e in zip([0, *ends], ends)]
+        self.trees.end(nodes, symbols[alive], np.cumsum(alive.sum(axis=1)))
+        return nodes
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Spaces come from pieces only; bytes are text as they are."""
@@ -268,6 +361,9 @@ class Codec:
         return [self.vocabulary.byte_ids[b] for b in text.encode("utf-8")]
 
     def _cut(self, chunk: str, variant: int) -> tuple[int, ...]:
+        return tuple(self._merged(chunk, self._key(chunk, variant)) if chunk else self._bytes(SPACE))
+
+    def _merged(self, chunk: str, key: int) -> list[int]:
         """Merges adjacent symbols, best score first and then from the left, and skips some."""
         get, n, limit = self.ranks.get, len(chunk), self.limit
         end = list(range(1, n + 1))  # of the symbol that begins here
@@ -278,7 +374,7 @@ class Codec:
             if (rank := get(chunk[i : i + 2])) is not None
         ]
         heapq.heapify(agenda)
-        word = np.array([self._key(chunk, variant)], np.uint64)
+        word = np.array([key], np.uint64)
         while agenda:
             _, left, middle, stop = heapq.heappop(agenda)
             if end[left] != middle or before[middle] != left or end[middle] != stop:
@@ -306,17 +402,17 @@ class Codec:
             else:
                 out.append(found)
             at = end[at]
-        return tuple(out)
+        return out
 
 
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, text: str = "text", dropout: float = DROPOUT,
-    seed: int = SEED, variants: int = VARIANTS, keep_text: bool = True,
+    seed: int = SEED, keep_text: bool = True,
 ) -> DataFrame:
     """All rows of ``docs`` with ``ids``, ``n_tokens`` and ``lossless``; ``text`` if it is kept.
 
-    ``lossless``: the ids were decoded again and gave the text. The variant of a text follows from a
-    hash of it, so equal texts get equal ids, in every run and however rows are partitioned. NULL gives
+    ``lossless``: the ids were decoded again and gave the text. Skips follow from a hash of the text and the
+    word's place in it, so equal texts get equal ids, in every run and however rows are partitioned. NULL gives
     NULL ids, 0 tokens and lossless; an empty text gives no ids; an empty table an empty one. Columns named like
     the new ones are replaced. Whole texts are encoded.
     """
@@ -324,7 +420,7 @@ def encode(
         [StructField("ids", ArrayType(IntegerType())), StructField("n_tokens", IntegerType()),
          StructField("lossless", BooleanType())]
     )
-    inputs = [q(text).alias("_text"), F.pmod(F.xxhash64(q(text)), F.lit(variants)).alias("_variant")]
+    inputs = [q(text).alias("_text")]
     run = _encoder(vocabulary, dropout, seed)
     dropped = made.names if keep_text else [*made.names, text]
     return map_arrow(docs, others(docs, dropped), inputs, run, made)
@@ -334,13 +430,13 @@ def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary, dropout, seed)
         for batch in batches:
-            texts, variants = batch["_text"], batch["_variant"].to_pylist()
+            texts = batch["_text"]
             start, size, held = 0, 0, []
             for i in range(batch.num_rows):
                 held.append(texts[i].as_py() or "")
                 size += len(held[-1])
                 if size >= SLICE or i + 1 == batch.num_rows:
-                    found = codec.encode_all(held, variants[start : i + 1])
+                    found = codec.encode_all(held, [0] * len(held))
                     same = [codec.decode(ids) == text for ids, text in zip(found, held)]
                     missing = pa.array(np.asarray(texts[start : i + 1].is_null()))
                     yield _encoded(batch["_row"][start : i + 1], found, same, missing)

@@ -106,3 +106,21 @@ def test_what_is_remembered_changes_nothing(vocabulary, monkeypatch):
     codec = Codec(vocabulary)
     assert [codec.encode(t, i % 3) for i, t in enumerate(texts)] == plain
     assert Codec(vocabulary).encode_all(texts, [i % 3 for i in range(len(texts))]) == plain
+
+
+def test_each_occurrence_is_drawn_anew(vocabulary):
+    codec = Codec(vocabulary)
+    word = " considerably"
+    cuts = {tuple(codec._cut_all([SPACE + word[1:]], v).values()) for v in range(2000)}
+    ids = codec.encode(word[1:] + word * 5000)
+    plain = Codec(vocabulary, dropout=0.0).encode(word[1:])
+    pieces, found = [], set()
+    for i in ids:
+        if vocabulary.pieces[i].startswith(SPACE) and pieces:
+            found.add(tuple(pieces))
+            pieces = []
+        pieces.append(i)
+    assert len(found) > 8 and tuple(plain) in found and len(cuts) > 8
+    other = codec.encode(word[1:] + word * 4999)
+    assert ids[:3000] != other[:3000]  # another text is another key
+    assert ids == Codec(vocabulary).encode(word[1:] + word * 5000)
