@@ -26,8 +26,11 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out of texts that are boilerplate of their source; ``n_chars`` follows."""
-    cleaned = line_dedup.drop_boilerplate(docs, "text", "source")
+    """Takes lines out of texts that are boilerplate of their source; ``n_chars`` follows.
+
+    Copies of a text are one page of the source: they are for the next stage, and no boilerplate.
+    """
+    cleaned = line_dedup.drop_boilerplate(docs, "text", "source", copies=False)
     return cleaned.withColumn("n_chars", F.length("text").cast("long")).select(
         *[q(c) for c in docs.columns]
     )

@@ -32,19 +32,24 @@ def _line_key(line: Column) -> Column:
 
 def boilerplate(
     pages: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO,
-    min_pages: int = MIN_PAGES,
+    min_pages: int = MIN_PAGES, copies: bool = True,
 ) -> DataFrame:
     """``_of_host`` and ``_boilerplate``, hashes of the lines to drop on that host.
 
-    A page counts a line once. Counts are added up in each task before the shuffle, so a host with
+    A page counts a line once; without ``copies``, pages of a host with one text are one page. Counts are added up in each task before the shuffle, so a host with
     a third of all pages is no hot key. A host has at most lines of a page / ratio entries.
     """
-    seen = F.array_distinct(F.transform(_lines(q(text)), _line_key))
+    seen = F.array_compact(F.array_distinct(F.transform(_lines(q(text)), _line_key)))
+    counts = pages.select(
+        _host_key(host).alias("_host"), seen.alias("_seen"),
+        *([] if copies else [F.xxhash64(q(text)).alias("_text"), F.length(q(text)).alias("_length")]),
+    )
+    if not copies:
+        counts = counts.groupBy("_host", "_text", "_length").agg(F.first("_seen").alias("_seen"))
     counted = land(
         # One NULL more for each page counts the pages.
-        pages.select(
-            _host_key(host).alias("_host"),
-            F.explode(F.concat(F.array_compact(seen), F.array(F.lit(None).cast("long")))).alias("_line"),
+        counts.select(
+            "_host", F.explode(F.concat("_seen", F.array(F.lit(None).cast("long")))).alias("_line")
         )
         .groupBy("_host", "_line")
         .agg(F.count(F.lit(1)).alias("_n")),
@@ -66,17 +71,17 @@ def _host_key(host: str) -> Column:
 
 def drop_boilerplate(
     pages: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO,
-    min_pages: int = MIN_PAGES,
+    min_pages: int = MIN_PAGES, copies: bool = True,
 ) -> DataFrame:
     """All rows of ``pages`` with boilerplate lines taken out of ``text``; ``n_lines``, ``n_dropped``.
 
     ``n_lines`` counts the lines that are not blank, ``n_dropped`` those dropped. The lines that
     stay keep their order and form. A NULL text stays NULL with counts 0; pages with a NULL host
-    are a host of their own; repeated rows count as several pages; a text of which all is dropped becomes
-    empty; an empty table gives an empty one. Columns named like the two counts are replaced.
+    are a host of their own; rows with one text count as several pages, or without ``copies`` as one page
+    of their host; a text of which all is dropped becomes empty; an empty table gives an empty one. Columns named like the two counts are replaced.
     """
     made = ["n_lines", "n_dropped"]
-    found = boilerplate(pages, text, host, ratio, min_pages)
+    found = boilerplate(pages, text, host, ratio, min_pages, copies)
     rows = pages.select(*others(pages, made), _host_key(host).alias("_host"))
     joined = lookup_join(rows, found, [("_host", "_of_host")], "left")
     drop = F.coalesce("_boilerplate", F.array().cast("array<long>"))

@@ -85,3 +85,16 @@ def test_run(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_copies_of_a_text_are_no_boilerplate(spark, tmp_path):
+    story = "a story of its own\nwith a second line"
+    rows = [(i, story, "xx", "s1", len(story)) for i in range(12)]
+    for i in range(20, 60):
+        text = f"text number {i}\nBoiler plate"
+        rows.append((i, text, "xx", "s1", len(text)))
+    docs = spark.createDataFrame(rows + [(90, None, "xx", "s1", 0)] * 6, SCHEMA)
+    got = corpus_pipeline.drop_boilerplate_lines(spark, docs, str(tmp_path)).collect()
+    assert len(got) == len(rows) + 6
+    assert {r.text for r in got if r.doc_id < 12} == {story}
+    assert {r.text for r in got if 20 <= r.doc_id < 60} == {f"text number {i}" for i in range(20, 60)}
