@@ -15,6 +15,7 @@ from salesloom.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    sharding,
     sp_codec,
     url_filter,
     weak_quality,
@@ -33,12 +34,17 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_embedding_dedup": embed_dedup.op8_embedding_dedup,
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_sharding": sharding.op11_sharding,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    found = {"op2_line_dedup": line_dedup.OP2_SQL, "op9_url_filter": url_filter.OP9_SQL}
+    found = {
+        "op2_line_dedup": line_dedup.OP2_SQL,
+        "op9_url_filter": url_filter.OP9_SQL,
+        "op11_sharding": sharding.OP11_SQL,
+    }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL
     return found
