@@ -10,6 +10,7 @@ import corpus_pipeline
 from salesloom.llm import (
     embed_dedup,
     html_extract,
+    importance,
     lang_id,
     line_dedup,
     mixing,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_url_filter": url_filter.op9_url_filter,
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op11_sharding": sharding.op11_sharding,
+        "op12_importance": importance.op12_importance,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -44,6 +46,7 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": line_dedup.OP2_SQL,
         "op9_url_filter": url_filter.OP9_SQL,
         "op11_sharding": sharding.OP11_SQL,
+        "op12_importance": importance.OP12_SQL,
     }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

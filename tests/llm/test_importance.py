@@ -1,0 +1,117 @@
+"""Importance resampling against the definition, word run by word run."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from salesloom.llm import bytewords, importance
+from salesloom.llm.importance import feature_hashes, importance_scores, op12_importance, resample
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "doc_id long, text string"
+
+
+def features(text):
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+    runs = [" ".join(w[i : i + n]) for n in (1, 2, 3) for i in range(len(w) - n + 1)]
+    return len(w), [zlib.crc32(r.encode()) for r in runs]
+
+
+def plain(docs, target, buckets=10000, seed=42, percent=5, least=20):
+    s, t = (Counter(h % buckets for x in texts for h in features(x)[1]) for texts in ([x for _, x in docs], target))
+    S, T = s.total(), t.total()
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (S + buckets) / ((s[b] + 1) * (T + buckets)))) for b in range(buckets)]
+    rows = []
+    for i, text in docs:
+        n, found = features(text)
+        h = int(hashlib.sha256(f"{seed}:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        weight = sum(gain[x % buckets] for x in found)
+        rows.append((i, len(found), n, weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in rows if r[2] >= least), key=lambda r: (-r[4], r[0] is None, r[0] or 0))
+    rank = {id(r): k + 1 for k, r in enumerate(able[: percent * len(able) // 100])}
+    return [(*r, rank.get(id(r))) for r in rows]
+
+
+def made(n, seed=3):
+    rng = random.Random(seed)
+    words = ["Plain", "word", "3rd", "ÄÖ", "naïve", "x", "日本", "don't", "a_b", "\x00", "—"]
+    return [(i, " ".join(rng.choice(words) + rng.choice(["", ",", "\n"]) for _ in range(rng.randrange(60)))) for i in range(n)]
+
+
+def got(frame):
+    columns = ["doc_id", "n_features", "n_words", "weight", "score", "rank"]
+    return sorted((tuple(r) for r in frame.select(*columns).collect()), key=str)
+
+
+def test_equals_definition(spark):
+    docs = made(300) + [(1000, None), (1001, ""), (1002, " .,; "), (None, "word " * 30)]
+    target = ["Plain word 3rd", "naïve x x", None, ""]
+    out = resample(spark.createDataFrame(docs, SCHEMA).repartition(3), spark.createDataFrame([(t,) for t in target], "text string"), percent=20)
+    assert got(out) == sorted(plain(docs, target, percent=20), key=str)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["bigint"] * 6
+
+
+@pytest.mark.parametrize("piece", [1, 7, 64])
+def test_pieces_give_the_same_runs(monkeypatch, piece):
+    monkeypatch.setattr(importance, "word_pieces", lambda text, table: bytewords.word_pieces(text, table, piece))
+    for _, text in made(60, 5) + [(0, "é" * 100), (0, " a"), (0, "a b c d e f g")]:
+        n, found = features(text)
+        pieces = list(feature_hashes(text.encode()))
+        assert sum(k for k, _ in pieces) == n
+        assert sorted(h for _, x in pieces for h in x) == sorted(found)
+
+
+def test_chained_hash_is_the_run_s_hash():
+    assert [x for _, h in feature_hashes("Ab cd-EF".encode()) for x in h] == [
+        zlib.crc32(r) for r in (b"ab", b"cd", b"ef", b"ab cd", b"cd ef", b"ab cd ef")]
+
+
+def test_ties_repeats_and_clashing_names(spark):
+    text = "one two three four five " * 6
+    rows = [(7, text, "a", 1, 0), (7, text, "b", 2, 0), (3, text, "c", 3, 0), (5, "short", "d", 4, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, _kept int, rank int")
+    out = resample(docs, docs.select("text"), percent=100).collect()
+    assert sorted(r["rank"] for r in out if r["rank"]) == [1, 2, 3]
+    assert {(r.doc_id, r._row, r._kept) for r in out} == {r[:1] + r[2:4] for r in rows}
+    assert [r["rank"] for r in out if r.doc_id == 5] == [None]
+    score = {r.doc_id: r.score for r in out}
+    assert [r.doc_id for r in sorted((r for r in out if r["rank"]), key=lambda r: r["rank"])] == sorted([7, 7, 3], key=lambda i: (-score[i], i))
+
+
+def test_equal_scores_go_by_id(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "word " * 25) for i in (9, 4, 6)], SCHEMA)
+    flat = importance_scores(docs, docs).withColumn("score", importance.F.lit(1).cast("long"))
+    monkeypatch.setattr(importance, "importance_scores", lambda *a: flat)
+    out = resample(docs, docs, percent=100).collect()
+    assert [r.doc_id for r in sorted(out, key=lambda r: r["rank"])] == [4, 6, 9]
+
+
+def test_empty_tables(spark):
+    none, some = spark.createDataFrame([], SCHEMA), spark.createDataFrame(made(30), SCHEMA)
+    assert resample(none, some).collect() == []
+    assert got(resample(some, none, percent=50)) == sorted(plain(made(30), [], percent=50), key=str)
+
+
+def test_counts_cover_long_texts(spark):
+    long = "alpha beta gamma " * 100_000
+    rows = [(1, long), (2, "alpha beta")]
+    counts = importance.bucket_counts(spark.createDataFrame(rows, SCHEMA))
+    assert counts.sum() == 3 * 300_000 - 3 + 3
+    assert counts[zlib.crc32(b"alpha beta") % 10000] >= 100_001
+
+
+def test_gains_of_equal_shares_are_zero():
+    assert np.abs(importance.bucket_gains([5, 5], [5, 5])).max() == 0
+
+
+def test_query(spark, tmp_path):
+    docs, target = made(120, 8), [(1, "Plain word"), (2, None)]
+    spark.createDataFrame(docs, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(target, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert got(op12_importance(spark, str(tmp_path))) == sorted(plain(docs, [t for _, t in target]), key=str)
