@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from salesloom.llm import (
+    divergence,
     embed_dedup,
     html_extract,
     importance,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op11_sharding": sharding.op11_sharding,
         "op12_importance": importance.op12_importance,
+        "op13_divergence": divergence.op13_divergence,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -47,6 +49,7 @@ def oracle_sql() -> dict[str, str]:
         "op9_url_filter": url_filter.OP9_SQL,
         "op11_sharding": sharding.OP11_SQL,
         "op12_importance": importance.OP12_SQL,
+        "op13_divergence": divergence.OP13_SQL,
     }
     if corpus_pipeline.ORACLE_SQL is not None:
         found["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -1,0 +1,126 @@
+"""The audit of sources against the definition, in Python's whole numbers."""
+
+import random
+import re
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+
+from salesloom.llm import divergence
+from salesloom.llm.divergence import audit, distance, op13_divergence, share
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+SCHEMA = "text string, lang string, source string"
+
+
+def plain(rows, min_docs=10, top=10):
+    docs, counts, groups = defaultdict(Counter), defaultdict(Counter), set()
+    for text, lang, source in rows:
+        lang, source = lang or "", source or ""
+        found = re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+        groups.add((lang, source))
+        docs[lang].update(set(found))
+        counts[lang, source].update(found)
+    out = []
+    for lang, source in groups:
+        kept = [t for t, n in docs[lang].items() if n >= min_docs]
+        others = [s for g, s in groups if g == lang]
+
+        def shares(names):
+            total = sum(counts[lang, s][t] for s in names for t in kept)
+            n = {t: sum(counts[lang, s][t] for s in names) for t in kept}
+            return n, {t: 1 + 10**9 * (n[t] + 2) // (total + 2 * len(kept)) for t in kept}
+
+        def f(p, q):
+            return (p - q) ** 2 // (p + q)
+
+        n, p = shares([source])
+        _, whole = shares(others)
+        parts = {"pair": [], "term": [(t, f(p[t], whole[t])) for t in kept if n[t] and p[t] > whole[t]]}
+        for other in others:
+            if other != source:
+                _, q = shares([other])
+                parts["pair"].append((other, sum(f(p[t], q[t]) for t in kept)))
+        for part, items in parts.items():
+            items.sort(key=lambda x: (-x[1], x[0].encode()))
+            for rank, (item, value) in enumerate(items if part == "pair" else items[:top], 1):
+                out.append((lang, source, part, item, value, rank))
+    return sorted(out)
+
+
+def made(n, seed=2, langs=("en", "de", None, ""), sources="abcdefg"):
+    rng = random.Random(seed)
+    words = [f"w{chr(97 + i)}{chr(97 + j)}" for i in range(6) for j in range(6)] + ["Über", "naïve", "日本", "don't", "X1Y"]
+    rows = []
+    for _ in range(n):
+        source = rng.choice([*sources, None])
+        skew = words[sum(map(ord, source or "")) % 7 :]
+        rows.append((" ".join(rng.choices(skew, k=rng.randrange(25))), rng.choice(langs), source))
+    return rows
+
+
+def got(frame):
+    return sorted(tuple(r) for r in frame.select("lang", "source", "part", "item", "value", "rank").collect())
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_definition(spark, seed):
+    rows = made(300, seed) + [(None, "en", "a"), ("", "fr", "only"), ("x y", "it", "one"), ("y z", "it", "two")]
+    out = audit(spark.createDataFrame(rows, SCHEMA).repartition(4))
+    assert got(out) == plain(rows)
+    assert [f.dataType.simpleString() for f in out.schema.fields] == ["string"] * 4 + ["bigint", "int"]
+
+
+def test_spills_parts_and_blocks_change_nothing(spark):
+    rows = made(250, 5, langs=("en", "de"))
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    whole = audit(frame)
+    cut = audit(frame, hold_bytes=2000, least_cells=10, most_cells=20)
+    assert got(whole) == got(cut) == plain(rows)
+
+
+def test_many_sources_without_common_terms(spark):
+    rows = [(f"t{chr(97 + i % 26)} common", "en", f"s{i % 40}") for i in range(400)]
+    assert got(audit(spark.createDataFrame(rows, SCHEMA), min_docs=2)) == plain(rows, 2)
+
+
+def test_edges(spark):
+    assert audit(spark.createDataFrame([], SCHEMA)).collect() == []
+    rows = [(None, None, None)]
+    assert got(audit(spark.createDataFrame(rows, SCHEMA))) == []
+    rows = [("a b", "en", "x"), ("a", "en", "y")]  # no frequent term
+    assert got(audit(spark.createDataFrame(rows, SCHEMA))) == [("en", "x", "pair", "y", 0, 1), ("en", "y", "pair", "x", 0, 1)]
+    same = [("tie word", "en", s) for s in "xyz" for _ in range(10)]
+    assert got(audit(spark.createDataFrame(same, SCHEMA))) == plain(same)
+
+
+def test_clashing_names_and_long_text(spark):
+    long = "alpha beta " * 200_000 + "gamma"
+    rows = [(long, "en", "a", "x", 1), *[("gamma alpha", "en", "b", "y", 2)] * 12]
+    frame = spark.createDataFrame(rows, SCHEMA + ", _text string, part int")
+    assert got(audit(frame)) == plain([r[:3] for r in rows])
+
+
+def test_shares_are_exact():
+    rng = random.Random(4)
+    for _ in range(500):
+        total = rng.randrange(2, 10 ** rng.randrange(1, 15) + 2)
+        count = rng.randrange(0, total)
+        assert share(np.array([count]), total)[0] == 1 + 10**9 * (count + 2) // total
+        p, q = rng.randrange(1, 10**9 + 2), rng.randrange(1, 10**9 + 2)
+        assert distance(np.int64(p), np.int64(q)) == (p - q) ** 2 // (p + q)
+
+
+def test_a_task_sends_a_frequent_term_once(spark):
+    rows = [("the", "en", "a")] * 2000
+    frame = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    folded = frame.selectExpr("lang _lang", "source _source", "cast(text as binary) _text").mapInArrow(
+        divergence._fold(divergence.HOLD_BYTES), divergence._STRIPES)
+    assert folded.count() <= 4  # two tasks, the term and the documents
+
+
+def test_query(spark, tmp_path):
+    rows = made(200, 9)
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    assert got(op13_divergence(spark, str(tmp_path))) == plain(rows)
