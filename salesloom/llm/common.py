@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,39 @@ def others(df: DataFrame, names: Sequence[str]) -> list[Column]:
     return [q(c) for c in df.columns if c.lower() not in own]
 
 
+def any_names(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """Lets the caller's columns have any name.
+
+    All columns that operators add for their own use begin with an underscore. Columns of the given frames that do,
+    too, have other names while the operator runs; arguments that name them follow, and so does the result.
+    """
+
+    @wraps(operator)
+    def run(*args, **options):
+        frames = [x for x in (*args, *options.values()) if isinstance(x, DataFrame)]
+        taken = {c.lower() for f in frames for c in f.columns}
+        clashing = sorted({c for f in frames for c in f.columns if c.startswith("_")})
+        if not clashing:
+            return operator(*args, **options)
+        inside = {}
+        for i, c in enumerate(clashing):
+            name = f"given {i}"
+            while name in taken:
+                name += "."
+            inside[c] = name
+        back = {v: k for k, v in inside.items()}
+
+        def renamed(x):
+            if isinstance(x, DataFrame):
+                return x.select(*[q(c).alias(inside.get(c, c)) for c in x.columns])
+            return inside.get(x, x) if isinstance(x, str) else x
+
+        out = operator(*map(renamed, args), **{k: renamed(v) for k, v in options.items()})
+        return out.select(*[q(c).alias(back.get(c, c)) for c in out.columns])
+
+    return run
+
+
 def spread(df: DataFrame, column: str) -> DataFrame:
     """Deal rows out evenly: by the hash of a column and of the row's place in its partition.
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table
+from salesloom.llm.common import any_names, others, table
 from salesloom.llm.components import components
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -194,6 +194,7 @@ def _roots(n_left: int, n_right: int, i: np.ndarray, j: np.ndarray, ids: np.ndar
             return root
 
 
+@any_names
 def near_duplicates(
     rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
     least: float = LEAST_COSINE,

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import map_arrow, others, table
+from salesloom.llm.common import any_names, map_arrow, others, table
 from salesloom.llm.url_filter import host_and_path
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -317,6 +317,7 @@ def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         )
 
 
+@any_names
 def extract_text(
     pages: DataFrame, url: str = "url", html: str = "html",
     min_pages: int = MIN_PAGES,

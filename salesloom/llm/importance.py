@@ -22,7 +22,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from salesloom.functions.columns import q
 from salesloom.llm.bytewords import byte_table, word_pieces
-from salesloom.llm.common import map_arrow, others, small_batches, table
+from salesloom.llm.common import any_names, map_arrow, others, small_batches, table
 from salesloom.llm.sharding import CRC_SQL
 from salesloom.operators.ordinal import with_ordinal
 from salesloom.scratch import land
@@ -149,6 +149,7 @@ def importance_scores(
     return map_arrow(docs, others(docs, _MADE), inputs, _weigh(gains, seed), schema)
 
 
+@any_names
 def resample(
     docs: DataFrame, target: DataFrame, doc_id: str = "doc_id", text: str = "text",
     target_text: str = "text", buckets: int = BUCKETS, seed: int = SEED, percent: int = PERCENT,

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import map_arrow, others, table
+from salesloom.llm.common import any_names, map_arrow, others, table
 
 UNKNOWN = "und"
 #: Bound of the training sample: documents per language, each with one passage of characters.
@@ -249,6 +249,7 @@ def train(
     return fit([p.encode("utf-8", "ignore") for _, _, p in sample], [x for x, _, _ in sample], **options)
 
 
+@any_names
 def identify(docs: DataFrame, net: Network | None, text: str = "text") -> DataFrame:
     """All rows of ``docs`` with ``lang_pred`` and ``score``, the probability of that language.
 

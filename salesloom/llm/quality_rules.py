@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table, words
+from salesloom.llm.common import any_names, others, table, words
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
@@ -148,6 +148,7 @@ def log_ratios(
     return filled.select("cell", F.when(good > smoothing * buckets, ratio).otherwise(0.0).alias("ratio"))
 
 
+@any_names
 def quality_rules(
     docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text",
     buckets: int = BUCKETS, smoothing: float = SMOOTHING, threshold: float = THRESHOLD,

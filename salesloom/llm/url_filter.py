@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import LOWER, UPPER, ascii_lower, others, table
+from salesloom.llm.common import LOWER, UPPER, any_names, ascii_lower, others, table
 from salesloom.operators.joins import lookup_join
 
 #: (verdict, host, path)
@@ -40,6 +40,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return F.coalesce(ascii_lower(host), F.lit("")), F.coalesce(path, F.lit(""))
 
 
+@any_names
 def filter_urls(
     pages: DataFrame,
     rules: Sequence[tuple[str, str, str]] = RULES,
