@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table, words
+from salesloom.llm.common import any_names, others, table, words
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
@@ -123,7 +123,8 @@ def mix_plan(
     ``source_size`` and ``target`` (summed over the pattern's sources).
 
     Every document of the pattern is taken ``_base`` times, those in groups of slots before
-    ``_cut`` once more, and in that group those whose keys are ``_chosen``.
+    ``_cut`` once more, and in that group those whose keys are ``_chosen``. Documents without words
+    are taken ``_base`` times only.
 
     What passes the driver is one row per pattern and per source.
     """
@@ -182,7 +183,7 @@ def mix_plan(
     )
     edge = lookup_join(slim, plan, [("_pattern", "_of_pattern")]).where(_slot_group() == F.col("_cut"))
     chosen = (
-        edge.groupBy("_of_pattern", "_key")
+        edge.where("_size > 0").groupBy("_of_pattern", "_key")
         .agg(F.sum("_size").alias("_size"), F.first("_room").alias("_room"))
         .groupBy(F.col("_of_pattern").alias("_chosen_pattern"))
         .applyInPandas(_fill, "_chosen_pattern string, _chosen array<long>")
@@ -222,6 +223,7 @@ def _slot_group():
     return F.floor(_slot() / F.col("_width"))
 
 
+@any_names
 def mix_sources(
     docs: DataFrame, doc_id: str = "doc_id", size: str = "size", sources: str = "sources",
     seed: int = SEED, weights: Sequence[float] = WEIGHTS, share: float = SHARE,
@@ -231,21 +233,25 @@ def mix_sources(
 
     ``sources``: array of the sources a document belongs to; ``size``: its words. ``copies`` is how
     often the mix takes the document, 0 to ``copies`` times. The same rows and seed give the same
-    result, however they are partitioned. Rows with the same id go together. A NULL size counts as 0, a
+    result, however they are partitioned. Rows with the same id go together. A NULL size counts as 0; a row
+    without words adds nothing to the mix and is taken as often as all rows with its sources are, but never
+    once more to fill a target. A
     NULL in ``sources`` is a source of its own, a NULL array belongs to none and is not taken; an
     empty table gives an empty one. Columns named like the new ones are replaced.
     """
     made = ["copies", "source_size", "target"]
     plan = mix_plan(docs, doc_id, size, sources, seed, weights, share, copies)
     rows = docs.select(
-        *others(docs, made), _pattern(sources).alias("_pattern"), _key(doc_id, seed).alias("_key")
+        *others(docs, made), _pattern(sources).alias("_pattern"), _key(doc_id, seed).alias("_key"),
+        q(size).cast("long").alias("_size"),
     )
     joined = lookup_join(rows, plan, [("_pattern", "_of_pattern")], "left")
     more = (_slot_group() < F.col("_cut")) | (
         (_slot_group() == F.col("_cut")) & F.array_contains("_chosen", F.col("_key"))
     )
+    more = more & (F.col("_size") > 0)
     taken = F.coalesce(F.col("_base") + F.coalesce(more, F.lit(False)).cast("long"), F.lit(0))
-    taken = F.least(taken, F.lit(copies))  # a document without words fits anywhere
+    taken = F.least(taken, F.lit(copies))
     return joined.select(*others(docs, made), taken.alias("copies"), "source_size", "target")
 
 
