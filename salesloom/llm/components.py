@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
 
@@ -14,8 +15,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Two steps alternate until nothing changes. Large star: each node hangs its larger neighbours
     on the least id it sees. Small star: each node hangs its smaller neighbours and itself there.
     The rounds grow with the logarithm of the longest chain. Each round is landed, so a lost
-    executor repeats one round at most; minima are formed in each task before the shuffle, and
-    a node with very many links is only ever a join key of a sort-merge join, which Spark splits.
+    executor repeats one round at most. Minima are formed in each task before the shuffle and landed;
+    the links then look them up, so a node with very many links is broadcast or salted
+    (:func:`salesloom.operators.joins.lookup_join`) and never one task.
 
     Links to itself and NULL ends are ignored; no links give an empty frame.
     """
@@ -33,19 +35,19 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 edges.select("v", "v").distinct()
             )
         before = state
-        edges = land(_small_star(_large_star(edges)), "links")
+        edges = land(_small_star(land(_large_star(edges), "links")), "links")
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy(F.col("u").alias("n")).agg(F.min(F.least("u", "v")).alias("m"))
+    least = land(both.groupBy(F.col("u").alias("n")).agg(F.min(F.least("u", "v")).alias("m")), "least")
     larger = both.where("v > u")  # the smaller neighbours of u are kept by their own turn
-    moved = larger.join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = lookup_join(larger, least, [("u", "n")]).select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m"))
-    joined = edges.join(least, F.col("u") == F.col("n"))
+    least = land(edges.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("m")), "least")
+    joined = lookup_join(edges, least, [("u", "n")])
     moved = joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select(F.col("n").alias("u"), F.col("m").alias("v"))).distinct()

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import others, table
+from salesloom.llm.common import any_names, others, table
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
 
@@ -55,10 +55,11 @@ def boilerplate(
         .agg(F.count(F.lit(1)).alias("_n")),
         "lines",
     )
-    totals = counted.where("_line IS NULL").select(F.col("_host"), F.col("_n").alias("_pages"))
+    totals = counted.where("_line IS NULL").select(F.col("_host").alias("_total_of"), F.col("_n").alias("_pages"))
     often = counted.where(f"_line IS NOT NULL AND _n >= {int(min_pages)}")
     return (
-        often.join(totals, "_host")
+        # Salted where a host has very many frequent lines; only what stays is put together by host.
+        lookup_join(often, totals, [("_host", "_total_of")])
         .where(F.col("_n") > F.col("_pages") * F.lit(float(ratio)))
         .groupBy(F.col("_host").alias("_of_host"))
         .agg(F.collect_list("_line").alias("_boilerplate"))
@@ -69,6 +70,7 @@ def _host_key(host: str) -> Column:
     return F.coalesce(F.concat(F.lit("h"), q(host).cast("string")), F.lit(""))
 
 
+@any_names
 def drop_boilerplate(
     pages: DataFrame, text: str = "text", host: str = "source", ratio: float = RATIO,
     min_pages: int = MIN_PAGES, copies: bool = True,
