@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import ascii_lower, small_batches, table, words
+from salesloom.llm.common import any_names, ascii_lower, small_batches, table, words
 from salesloom.llm.components import components
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -294,39 +294,43 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     rows = classes.select(
         "rep", "n", F.explode(F.array("rows1", "rows2")).alias("rows")
     ).where("size(rows) > 0")
-    cells = rows.select("rep", "n", F.size("rows").alias("k"), F.explode("rows").alias("row")).where("row <> 0")
+    # Blocks without n-grams agree, too, but are not joined: at most the fewer of two documents' empty ones.
+    empty = F.size(F.filter("rows", lambda r: r == 0)).alias("e")
+    cells = rows.select(
+        "rep", "n", F.size("rows").alias("k"), empty, F.explode("rows").alias("row")
+    ).where("row <> 0")
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long"))
     shared = land(
         cells.groupBy("row").agg(
             F.count(F.lit(1)).alias("c"), F.min("rep").alias("a"), F.max("rep").alias("b"),
-            F.sum(packed).alias("packed"),
+            F.sum(packed).alias("packed"), F.min("e").alias("e"),
         ).where("c > 1"),
         "shared",
     )
     two = shared.where("c = 2").select(
         "a", "b", F.shiftright("packed", 32).alias("total"),
-        (F.col("packed").bitwiseAND(F.lit(0xFFFFFFFF)) / 2).cast("int").alias("k"),
+        (F.col("packed").bitwiseAND(F.lit(0xFFFFFFFF)) / 2).cast("int").alias("k"), "e",
     )
     some = shared.where(f"c > 2 AND c <= {SMALL_GROUP}").select(F.col("row").alias("_row"))
     lists = (
         lookup_join(cells, some, [("row", "_row")])
         .groupBy("row", "k")
-        .agg(F.array_sort(F.collect_list(F.struct("rep", "n"))).alias("docs"))
+        .agg(F.array_sort(F.collect_list(F.struct("rep", "n", "e"))).alias("docs"))
     )
     few = lists.select("k", "docs", F.posexplode("docs").alias("i", "x")).select(
         "k", "x", F.explode(F.slice("docs", F.col("i") + 2, SMALL_GROUP)).alias("y")
     ).select(
-        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), (F.col("x.n") + F.col("y.n")).alias("total"), "k"
+        F.col("x.rep").alias("a"), F.col("y.rep").alias("b"), (F.col("x.n") + F.col("y.n")).alias("total"), "k",
+        F.least("x.e", "y.e").alias("e"),
     )
     allowed = F.floor(F.col("total") * (100 - percent) / (100 + percent))
     # A pair that meets in a crowded block row, too, is judged there by all of its blocks.
     counted = (
-        two.select("a", "b", "total", "k").union(few.select("a", "b", "total", "k"))
+        two.select("a", "b", "total", "k", "e").union(few.select("a", "b", "total", "k", "e"))
         .groupBy("a", "b", "k")
-        .agg(F.count(F.lit(1)).alias("agree"), F.max("total").alias("total"))
+        .agg(F.count(F.lit(1)).alias("agree"), F.max("total").alias("total"), F.max("e").alias("e"))
     )
-    # Blocks that are empty in both agree, too, but are not joined.
-    pairs = counted.where(F.col("agree") >= F.col("k") - allowed - F.col("k") * _empty_share("total", "k"))
+    pairs = counted.where(F.col("agree") + F.col("e") >= F.col("k") - allowed)
     crowd = shared.where(f"c > {SMALL_GROUP}").select(
         F.col("row").alias("_row"), F.ceil(F.col("c") / BLOCK).cast("int").alias("_blocks")
     )
@@ -343,11 +347,6 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b").union(close)
 
 
-def _empty_share(total: str, k: str) -> Column:
-    """A generous share of blocks that may be empty in both documents."""
-    return F.least(F.lit(1.0), 4 * F.exp(-F.col(total) / 2 / F.col(k)) + 2 / F.col(k))
-
-
 def _verified(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links among the units of ``members`` (``rep``, ``role``, ``unit``), as edges."""
     joined = lookup_join(
@@ -357,6 +356,7 @@ def _verified(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _by_unit(rows).mapInArrow(_overlapping(percent), "a long, b long")
 
 
+@any_names
 def jaccard_components(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
     percent: int = PERCENT,
@@ -431,6 +431,7 @@ def jaccard_components(
     )
 
 
+@any_names
 def drop_near_copies(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = SHINGLE,
     percent: int = PERCENT,
