@@ -9,8 +9,8 @@ Shares are whole billionths and all sums are of whole numbers, so results do not
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salesloom.functions.columns import q
-from salesloom.llm.bytewords import byte_table, word_pieces
+from salesloom.llm.bytewords import byte_table
 from salesloom.llm.common import small_batches, table
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -30,110 +30,218 @@ TABLE = byte_table(lambda b: b >= 0x80 or 0x61 <= b <= 0x7A)
 MIN_DOCS = 10
 #: Terms reported per source.
 TOP_TERMS = 10
-#: Bytes of stripes that a task holds before it spills them; about, by these sizes of a stripe and of a cell.
-HOLD_BYTES = 96 << 20
-_STRIPE, _CELL = 500, 100
-_SPILL_ROWS = 2000
+#: Bytes of text that a task folds at once, and cells of stripes it holds before it spills them.
+CHUNK_BYTES = 24 << 20
+HOLD_CELLS = 3_000_000
+_SPILL_ROWS, _WINDOW_ROWS = 10_000, 50_000
 #: Cells (a term's count in a source) of a language that are worked on at once, and cells of a matrix of sources.
 LEAST_CELLS, MOST_CELLS = 1 << 14, 1 << 22
 
 _STRIPES = "lang string, term binary, docs long, sources array<string>, counts array<long>"
 
 
-def _fold(hold: int) -> Callable:
-    """Documents to stripes. The empty term stands for the documents themselves."""
+class _Cells(NamedTuple):
+    """Stripes as flat cells in (term, language, source) order; ``term`` numbers ``terms``."""
+
+    terms: pa.Array
+    term: np.ndarray
+    lang: np.ndarray
+    source: np.ndarray
+    docs: np.ndarray
+    count: np.ndarray
+
+
+class _Names:
+    """Numbers for the names a task has met."""
+
+    def __init__(self) -> None:
+        self.known: dict[str, int] = {}
+
+    def __call__(self, name: str) -> int:
+        return self.known.setdefault(name, len(self.known))
+
+    def spelled(self, numbers: np.ndarray) -> pa.Array:
+        return pa.array(list(self.known), pa.string()).take(pa.array(numbers))
+
+
+def _hash_words(texts: list[bytes]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words, the number of each text's words among them, and its text's place."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    filled = data != 0x20
+    steps = np.diff(filled.astype(np.int8), prepend=0)
+    begins, ends = np.flatnonzero(steps == 1), np.flatnonzero(steps == -1)
+    offsets = np.concatenate([[0], np.cumsum(ends - begins)])
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data[filled])]
+    found = pa.Array.from_buffers(pa.binary(), len(begins), buffers).dictionary_encode()
+    starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+    place = np.repeat(np.arange(len(texts)), np.diff(np.searchsorted(begins, starts)))
+    return found.dictionary, found.indices.to_numpy().astype(np.int64), place
+
+
+def _fold_chunk(docs: list[tuple[int, int, bytes]]) -> _Cells:
+    """(language, source, bare text) of whole documents to cells. The empty term stands for the documents."""
+    docs = sorted(docs, key=lambda d: d[:2])  # so that words sorted by term and document are in cell order
+    lang, source = (np.array([d[i] for d in docs], np.int64) for i in (0, 1))
+    terms, word, place = _hash_words([d[2] for d in docs])
+    terms = pa.concat_arrays([terms, pa.array([b""], pa.binary())])
+    word = np.concatenate([word, np.full(len(docs), len(terms) - 1)])
+    pairs = word * len(docs) + np.concatenate([place, np.arange(len(docs))])
+    pairs.sort()
+    first = np.flatnonzero(np.diff(pairs, prepend=-1))
+    word, place = np.divmod(pairs[first], len(docs))
+    often = np.diff(first, append=len(pairs))
+    return _added(terms, word, lang[place], source[place], np.ones(len(word), np.int64), often)
+
+
+def _added(terms, term, lang, source, docs, count) -> _Cells:
+    """Equal cells that follow each other are added up."""
+    new = np.ones(len(term), bool)
+    new[1:] = (np.diff(term) != 0) | (np.diff(lang) != 0) | (np.diff(source) != 0)
+    first = np.flatnonzero(new)
+    sums = (np.add.reduceat(x, first) if len(first) else x for x in (docs, count))
+    return _Cells(terms, term[first], lang[first], source[first], *sums)
+
+
+def _combine(held: list[_Cells]) -> _Cells:
+    """Cells of several chunks as those of one."""
+    if len(held) == 1:
+        return held[0]
+    found = pa.concat_arrays([c.terms for c in held]).dictionary_encode()
+    number = found.indices.to_numpy().astype(np.int64)
+    before = np.cumsum([0, *(len(c.terms) for c in held)])
+    term = np.concatenate([number[b + c.term] for b, c in zip(before, held)])
+    rest = [np.concatenate([getattr(c, name) for c in held]) for name in _Cells._fields[2:]]
+    order = np.lexsort((rest[1], rest[0], term))
+    return _added(found.dictionary, term[order], *(x[order] for x in rest))
+
+
+def _spill(cells: _Cells, langs: _Names, sources: _Names) -> Iterator[pa.RecordBatch]:
+    """One row per stripe."""
+    new = np.ones(len(cells.term), bool)
+    new[1:] = (np.diff(cells.term) != 0) | (np.diff(cells.lang) != 0)
+    begins = np.flatnonzero(new)
+    ends = np.append(begins[1:], len(cells.term))
+    docs = np.add.reduceat(cells.docs, begins) if len(begins) else cells.docs
+    for at in range(0, len(begins), _SPILL_ROWS):
+        some = slice(at, at + _SPILL_ROWS)
+        cut = slice(begins[at], ends[some][-1])
+        yield _rows(
+            langs.spelled(cells.lang[begins[some]]), cells.terms.take(pa.array(cells.term[begins[some]])), docs[some],
+            np.append(begins[some], ends[some][-1]) - begins[at], sources.spelled(cells.source[cut]), cells.count[cut],
+        )
+
+
+def _rows(langs, terms, docs, offsets, sources, counts) -> pa.RecordBatch:
+    where = pa.array(offsets, pa.int32())
+    return pa.record_batch(
+        {
+            "lang": langs, "term": terms, "docs": pa.array(docs, pa.int64()),
+            "sources": pa.ListArray.from_arrays(where, sources),
+            "counts": pa.ListArray.from_arrays(where, pa.array(counts, pa.int64())),
+        }
+    )
+
+
+def _fold(chunk_bytes: int, hold_cells: int) -> Callable:
+    """Documents to stripes, held by a task across its chunks and spilled beyond ``hold_cells``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, dict[bytes, list]] = {}
-        room = hold
+        langs, sources = _Names(), _Names()
+        docs: list[tuple[int, int, bytes]] = []
+        held: list[_Cells] = []
+        size = 0
         for batch in batches:
             columns = batch["_lang"].to_pylist(), batch["_source"].to_pylist(), batch["_text"]
             for lang, source, text in zip(*columns):
-                terms: Counter[bytes] = Counter()
-                for words in word_pieces(text.as_py(), TABLE):
-                    terms.update(words)
-                terms[b""] = 1
-                stripes = held.setdefault(lang, {})
-                for term, n in terms.items():
-                    stripe = stripes.get(term)
-                    if stripe is None:
-                        stripes[term] = [1, {source: n}]
-                        room -= _STRIPE + len(term)
-                    else:
-                        stripe[0] += 1
-                        counts = stripe[1]
-                        if source in counts:
-                            counts[source] += n
-                        else:
-                            counts[source] = n
-                            room -= _CELL
-                if room < 0:
-                    yield from _spill(held)
-                    held, room = {}, hold
-        yield from _spill(held)
+                bare = (text.as_py() or b"").translate(TABLE)
+                docs.append((langs(lang), sources(source), bare))
+                size += len(bare) + 1
+                if size > chunk_bytes:
+                    held.append(_fold_chunk(docs))
+                    docs, size = [], 0
+                    if len(held) > 1 and sum(len(c.term) for c in held) > hold_cells:
+                        held = [_combine(held)]
+                        if len(held[0].term) > hold_cells // 2:
+                            yield from _spill(held.pop(), langs, sources)
+        if docs:
+            held.append(_fold_chunk(docs))
+        if held:
+            yield from _spill(_combine(held), langs, sources)
 
     return run
 
 
-def _spill(held: dict[str, dict[bytes, list]]) -> Iterator[pa.RecordBatch]:
-    for lang, stripes in held.items():
-        items = list(stripes.items())
-        for at in range(0, len(items), _SPILL_ROWS):
-            part = items[at : at + _SPILL_ROWS]
-            yield _rows(
-                [lang] * len(part), [t for t, _ in part], [s[0] for _, s in part], [s[1] for _, s in part]
-            )
+def _merge(min_docs: int) -> Callable:
+    """Stripes sorted by key to one stripe a key, those of frequent terms and of the documents.
 
+    Rows are taken in windows; the last key of a window goes on in the next one as a single row.
+    """
 
-def _rows(langs: list, terms: list, docs: list, counts: list[dict]) -> pa.RecordBatch:
-    return pa.record_batch(
-        {
-            "lang": pa.array(langs, pa.string()), "term": pa.array(terms, pa.binary()),
-            "docs": pa.array(docs, pa.int64()),
-            "sources": pa.array([list(c) for c in counts], pa.list_(pa.string())),
-            "counts": pa.array([list(c.values()) for c in counts], pa.list_(pa.int64())),
-        }
-    )
+    def window(rows: pa.Table, last: bool) -> tuple[pa.RecordBatch | None, pa.RecordBatch | None]:
+        rows = rows.combine_chunks()
+        lang, term = rows["lang"].combine_chunks(), rows["term"].combine_chunks()
+        n, new = len(rows), np.ones(len(rows), bool)
+        for key in (lang, term):
+            unlike = pc.not_equal(key.slice(1), key.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            new[1:] = unlike if key is lang else new[1:] | unlike
+        begins, group = np.flatnonzero(new), np.cumsum(new) - 1
+        docs = np.add.reduceat(rows["docs"].to_numpy(), begins)
+        keep = docs >= min_docs
+        keep |= pc.binary_length(term).to_numpy(zero_copy_only=False)[begins] == 0
+        if not last:
+            keep[-1] = True
+        some = rows.filter(pa.array(keep[group]))
+        if not len(some):
+            return None, None
+        number = np.cumsum(keep) - 1
+        lengths = pc.list_value_length(some["counts"]).to_numpy()
+        owner = np.repeat(number[group[keep[group]]], lengths)
+        found = pc.list_flatten(some["sources"]).combine_chunks().dictionary_encode()
+        cell = owner * max(1, len(found.dictionary)) + found.indices.to_numpy()
+        order = np.argsort(cell, kind="stable")
+        first = np.flatnonzero(np.diff(cell[order], prepend=-1))
+        counts = np.add.reduceat(pc.list_flatten(some["counts"]).to_numpy()[order], first)
+        owner = owner[order][first]
+        offsets = np.searchsorted(owner, np.arange(keep.sum() + 1))
+        rest = pa.array(begins[keep])
+        names = found.dictionary.take(found.indices.take(pa.array(order[first])))
+        out = _rows(lang.take(rest), term.take(rest), docs[keep], offsets, names, counts)
+        return (out, None) if last else (out.slice(0, len(out) - 1), out.slice(len(out) - 1))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) >= _WINDOW_ROWS:
+                done, open_ = window(pa.Table.from_batches([_plain(b) for b in held]), last=False)
+                held = [open_]
+                yield done
+        held = [_plain(b) for b in held if b.num_rows]
+        if held:
+            done, _ = window(pa.Table.from_batches(held), last=True)
+            if done is not None:
+                yield done
 
-def _merge(min_docs: int) -> Callable:
-    """Stripes sorted by key to one stripe a key, those of frequent terms and of the documents."""
+    return run
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, counts, ready = None, 0, {}, []
 
-        def close() -> None:
-            if key is not None and (docs >= min_docs or not key[1]):
-                ready.append((*key, docs, counts))
+def _plain(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The columns alone: field properties differ between what Spark sends and what is made here."""
+    return pa.record_batch([c.cast(t) for c, t in zip(batch.columns, _KINDS)], names=["lang", "term", "docs", "sources", "counts"])
 
-        for batch in batches:
-            columns = (batch[c].to_pylist() for c in batch.schema.names)
-            for lang, term, n, sources, numbers in zip(*columns):
-                if key != (lang, term):
-                    close()
-                    key, docs, counts = (lang, term), 0, {}
-                docs += n
-                for source, number in zip(sources, numbers):
-                    counts[source] = counts.get(source, 0) + number
-            if len(ready) >= _SPILL_ROWS:
-                yield _rows(*map(list, zip(*ready)))
-                ready.clear()
-        close()
-        if ready:
-            yield _rows(*map(list, zip(*ready)))
 
-    return run
+_KINDS = (pa.string(), pa.binary(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
 
 
 def stripes(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-    min_docs: int = MIN_DOCS, hold_bytes: int = HOLD_BYTES,
+    min_docs: int = MIN_DOCS, chunk_bytes: int = CHUNK_BYTES, hold_cells: int = HOLD_CELLS,
 ) -> DataFrame:
     """``lang, term, docs, sources, counts``: merged stripes, landed.
 
     Terms that at least ``min_docs`` documents of the language have, and one stripe with an empty term per
-    language, which counts documents. A task holds stripes of about ``hold_bytes`` at most, next to those of a
-    single document; a term in all documents arrives as one row per spill of a task.
+    language, which counts documents. A task folds ``chunk_bytes`` of text at once, and at least one document, and holds
+    about ``hold_cells`` cells before it spills; a term in all documents arrives as one row per spill of a task.
     """
 
     def plain(name: str) -> Column:
@@ -143,7 +251,7 @@ def stripes(
     folded = docs.select(
         plain(lang).alias("_lang"), plain(source).alias("_source"),
         q(text).cast("string").cast("binary").alias("_text"),
-    ).mapInArrow(_fold(hold_bytes), _STRIPES)
+    ).mapInArrow(_fold(chunk_bytes, hold_cells), _STRIPES)
     dealt = folded.repartition("lang", "term").sortWithinPartitions("lang", "term")
     return land(dealt.mapInArrow(_merge(min_docs), _STRIPES), "stripes")
 
@@ -241,7 +349,7 @@ def _one_sided(pairs, who, p, zeros, mine, apart) -> None:
 
 def audit(
     docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source",
-    min_docs: int = MIN_DOCS, top: int = TOP_TERMS, hold_bytes: int = HOLD_BYTES,
+    min_docs: int = MIN_DOCS, top: int = TOP_TERMS, chunk_bytes: int = CHUNK_BYTES, hold_cells: int = HOLD_CELLS,
     least_cells: int = LEAST_CELLS, most_cells: int = MOST_CELLS,
 ) -> DataFrame:
     """``lang, source, part, item, value, rank``.
@@ -257,7 +365,7 @@ def audit(
     A language's stripes are worked on in parts by a hash of the term, and the rows of its matrix of sources in blocks,
     so neither a language with a third of all rows nor one with very many sources is one group.
     """
-    merged = stripes(docs, text, lang, source, min_docs, hold_bytes)
+    merged = stripes(docs, text, lang, source, min_docs, chunk_bytes, hold_cells)
     kept = merged.where(F.octet_length("term") > 0)
     cell = F.explode(F.arrays_zip("sources", "counts")).alias("_cell")
 

@@ -76,7 +76,7 @@ def test_spills_parts_and_blocks_change_nothing(spark):
     rows = made(250, 5, langs=("en", "de"))
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
     whole = audit(frame)
-    cut = audit(frame, hold_bytes=2000, least_cells=10, most_cells=20)
+    cut = audit(frame, chunk_bytes=500, hold_cells=100, least_cells=10, most_cells=20)
     assert got(whole) == got(cut) == plain(rows)
 
 
@@ -116,7 +116,7 @@ def test_a_task_sends_a_frequent_term_once(spark):
     rows = [("the", "en", "a")] * 2000
     frame = spark.createDataFrame(rows, SCHEMA).coalesce(2)
     folded = frame.selectExpr("lang _lang", "source _source", "cast(text as binary) _text").mapInArrow(
-        divergence._fold(divergence.HOLD_BYTES), divergence._STRIPES)
+        divergence._fold(divergence.CHUNK_BYTES, divergence.HOLD_CELLS), divergence._STRIPES)
     assert folded.count() <= 4  # two tasks, the term and the documents
 
 
@@ -124,3 +124,27 @@ def test_query(spark, tmp_path):
     rows = made(200, 9)
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
     assert got(op13_divergence(spark, str(tmp_path))) == plain(rows)
+
+
+def test_windows_of_merged_rows(spark, monkeypatch):
+    """A key that runs over many windows, first and last keys, and what is dropped at a window's end."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(divergence, "_WINDOW_ROWS", 3)
+    rng = random.Random(6)
+    rows = sorted(
+        (rng.choice("ab"), rng.choice([b"", b"t", b"u", b"v", b"w"]), rng.randrange(1, 4), rng.sample("xyz", k=rng.randrange(1, 4)))
+        for _ in range(60)
+    )
+    names = ["lang", "term", "docs", "sources", "counts"]
+    batches = [
+        pa.record_batch([pa.array(c, t) for c, t in zip(zip(*[(*r, [r[2]] * len(r[3])) for r in rows[i : i + 2]]), divergence._KINDS)], names=names)
+        for i in range(0, 60, 2)
+    ]
+    got = [r for b in divergence._merge(8)(iter(batches)) for r in b.to_pylist()]
+    docs, cells = Counter(), defaultdict(Counter)
+    for lang, term, n, sources in rows:
+        docs[lang, term] += n
+        cells[lang, term].update({s: n for s in sources})
+    want = [(*k, n, dict(cells[k])) for k, n in sorted(docs.items()) if n >= 8 or not k[1]]
+    assert [(r["lang"], r["term"], r["docs"], dict(zip(r["sources"], r["counts"]))) for r in got] == want
