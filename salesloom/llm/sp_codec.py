@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import map_arrow, others, table
+from salesloom.llm.common import any_names, map_arrow, others, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
@@ -35,7 +35,7 @@ SEED = 17
 SPACE = "▁"
 # Decisions that a Python worker remembers; words that walk together; characters of text in one batch.
 REMEMBERED = 1_500_000
-TOGETHER = 1 << 16
+TOGETHER = 1 << 18
 SLICE = 4_000_000
 _MASK = (1 << 64) - 1
 # Longest chunk that is merged together with others of its length, and the rank of no piece.
@@ -184,7 +184,7 @@ class Codec:
     def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED):
         self.vocabulary, self.seed = vocabulary, seed
         self.limit = int(dropout * 2**64)
-        self.byte_of = {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+        self._spellings(vocabulary)
         best_first = sorted(set(vocabulary.scores.values()), reverse=True)
         rank = {score: r for r, score in enumerate(best_first)}
         self.ranks = {piece: rank[score] for piece, score in vocabulary.scores.items()}
@@ -192,6 +192,17 @@ class Codec:
         self.trees = _Trees()
         self.chunks = re.compile(_chunk_pattern(vocabulary))
 
+    def _spellings(self, vocabulary: Vocabulary) -> None:
+        """UTF-8 of each id, also one after the other with begins and lengths."""
+        byte_of = {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids)}
+        self.spelled = [
+            byte_of[i] if piece is None else piece.replace(SPACE, " ").encode("utf-8")
+            for i, piece in enumerate(vocabulary.pieces)
+        ]
+        self.lengths = np.array([len(s) for s in self.spelled], np.int64)
+        self.begins = np.cumsum(self.lengths) - self.lengths
+        self.letters = np.frombuffer(b"".join(self.spelled), np.uint8)
+
     def _tables(self, vocabulary: Vocabulary) -> None:
         """Id of each character, and rank and id of what two pieces make, sorted by the pair."""
         self.char_ids = np.full(0x110000, -1, np.int32)
@@ -213,7 +224,16 @@ class Codec:
         return self.encode_all([text], [variant])[0]
 
     def encode_all(self, texts: list[str], variants: list[int]) -> list[list[int]]:
-        """Ids of each text: each word by the key of its text, variant and place. Words are cut together."""
+        """Ids of each text."""
+        flat, counts = self.encode_flat(texts, variants)
+        ends = np.cumsum(counts).tolist()
+        return [flat[b:e].tolist() for b, e in zip([0, *ends], ends)]
+
+    def encode_flat(self, texts: list[str], variants: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each has.
+
+        Each word by the key of its text, variant and place. Words are cut together.
+        """
         chunked = [self._chunks(t) for t in texts]
         counts = np.array([len(c) for c in chunked], np.int64)
         own = [self._key(t, v) if self.limit else 0 for t, v in zip(texts, variants)]
@@ -222,8 +242,18 @@ class Codec:
         keys = (keys ^ (keys >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
         keys ^= keys >> np.uint64(27)
         flat, sizes = self._cut_each(list(chain.from_iterable(chunked)), keys)
-        places = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        return [flat[b:e].tolist() for b, e in zip(places, places[1:])]
+        return flat, np.diff(np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])])
+
+    def lossless(self, flat: np.ndarray, counts: np.ndarray, texts: list[str]) -> list[bool]:
+        """Whether each text's ids decode to it; the bytes of all ids are put together at once."""
+        lengths = self.lengths[flat]
+        data = self.letters[_ranges(self.begins[flat], lengths)].tobytes()
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)].tolist()
+        # The first byte is the space that every text begins with.
+        return [
+            data[b + 1 : e] == text.encode("utf-8", "surrogatepass")
+            for b, e, text in zip([0, *ends], ends, texts)
+        ]
 
     def _chunks(self, text: str) -> list[str]:
         """What is cut by itself. A space sign of the text's own is a chunk without a space: ``""``."""
@@ -348,14 +378,7 @@ class Codec:
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids. Spaces come from pieces only; bytes are text as they are."""
-        pieces, byte_of = self.vocabulary.pieces, self.byte_of
-        if byte_of.keys().isdisjoint(ids):
-            return "".join([pieces[i] for i in ids]).replace(SPACE, " ")[1:]
-        out: list[bytes] = []
-        for i in ids:
-            piece = pieces[i]
-            out.append(byte_of[i] if piece is None else piece.replace(SPACE, " ").encode("utf-8"))
-        return b"".join(out).decode("utf-8", "replace")[1:]
+        return b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace")[1:]
 
     def _bytes(self, text: str) -> list[int]:
         return [self.vocabulary.byte_ids[b] for b in text.encode("utf-8")]
@@ -405,6 +428,7 @@ class Codec:
         return out
 
 
+@any_names
 def encode(
     docs: DataFrame, vocabulary: Vocabulary, text: str = "text", dropout: float = DROPOUT,
     seed: int = SEED, keep_text: bool = True,
@@ -436,22 +460,22 @@ def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
                 held.append(texts[i].as_py() or "")
                 size += len(held[-1])
                 if size >= SLICE or i + 1 == batch.num_rows:
-                    found = codec.encode_all(held, [0] * len(held))
-                    same = [codec.decode(ids) == text for ids, text in zip(found, held)]
+                    flat, counts = codec.encode_flat(held, [0] * len(held))
+                    same = codec.lossless(flat, counts, held)
                     missing = pa.array(np.asarray(texts[start : i + 1].is_null()))
-                    yield _encoded(batch["_row"][start : i + 1], found, same, missing)
+                    yield _encoded(batch["_row"][start : i + 1], flat, counts, same, missing)
                     start, size, held = i + 1, 0, []
 
     return run
 
 
-def _encoded(rows: pa.Array, found: list[list[int]], same: list[bool], missing: pa.Array) -> pa.RecordBatch:
-    counts = np.array([len(ids) for ids in found], np.int32)
-    flat = np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum()))
+def _encoded(
+    rows: pa.Array, flat: np.ndarray, counts: np.ndarray, same: list[bool], missing: pa.Array
+) -> pa.RecordBatch:
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=missing)
+    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32()), mask=missing)
     return pa.record_batch(
-        [rows, lists, pa.array(counts), pa.array(same)], names=["_row", "ids", "n_tokens", "lossless"]
+        [rows, lists, pa.array(counts, pa.int32()), pa.array(same)], names=["_row", "ids", "n_tokens", "lossless"]
     )
 
 
