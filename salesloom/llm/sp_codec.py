@@ -13,7 +13,6 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -123,8 +122,8 @@ class _Trees:
         return np.arange(self.size - count, self.size)
 
     def root(self, words: list[str]) -> np.ndarray:
-        """Roots of the words, which need not be different; made where there are none."""
-        new = [w for w in dict.fromkeys(words) if w not in self.roots]
+        """Roots of different words; made where there are none."""
+        new = [w for w in words if w not in self.roots]
         self.roots.update(zip(new, self._add(len(new)).tolist()))
         return np.fromiter(map(self.roots.__getitem__, words), np.int64, len(words))
 
@@ -172,6 +171,17 @@ class _Trees:
         return out
 
 
+def _numbered(chunks: list[str]) -> tuple[list[str], np.ndarray]:
+    """The different chunks, and the number of each chunk among them."""
+    try:
+        found = pa.array(chunks, pa.string()).dictionary_encode()
+        return found.dictionary.to_pylist(), found.indices.to_numpy().astype(np.int64)
+    except UnicodeEncodeError:  # half of a surrogate pair
+        numbers: dict[str, int] = {}
+        own = [numbers.setdefault(c, len(numbers)) for c in chunks]
+        return list(numbers), np.array(own, np.int64)
+
+
 def _ranges(begins: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Places of ranges, one range after the other."""
     ends = np.cumsum(counts)
@@ -281,27 +291,31 @@ class Codec:
 
     def _cut_some(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         trees = self.trees
-        nodes = np.fromiter(map(trees.roots.get, chunks, repeat(-1)), np.int64, len(chunks))
+        words, number = _numbered(chunks)
+        nodes = np.fromiter(map(trees.roots.get, words, repeat(-1)), np.int64, len(words))[number]
         nodes = trees.walk(nodes, keys, self.limit)
         alone: dict[int, list[int]] = {}
-        by_length = defaultdict(list)
-        for i in np.flatnonzero(nodes < 0).tolist():
-            n = len(chunks[i])
-            if 0 < n <= WORD:
-                by_length[n].append(i)
-            else:
-                alone[i] = self._merged(chunks[i], keys[i]) if n else self._bytes(SPACE)
-        for n, places in by_length.items():
-            words = [chunks[i] for i in places]
-            points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+        new = np.flatnonzero(nodes < 0)
+        lengths = np.fromiter(map(len, words), np.int64, len(words))[number[new]]
+        for n in np.unique(lengths).tolist():
+            places = new[lengths == n]
+            if not 0 < n <= WORD:
+                for i in places.tolist():
+                    alone[i] = self._merged(chunks[i], keys[i]) if n else self._bytes(SPACE)
+                continue
+            own, which = np.unique(number[places], return_inverse=True)
+            spelled = [words[j] for j in own.tolist()]
+            points = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), np.uint32)
             symbols = self.char_ids[points].reshape(-1, n)
             plain = (symbols >= 0).all(axis=1)
-            for j in np.flatnonzero(~plain).tolist():
-                alone[places[j]] = self._merged(words[j], keys[places[j]])
-            some = np.flatnonzero(plain)
-            if len(some):
-                at = np.array(places)[some]
-                nodes[at] = self._merge(symbols[some], [words[j] for j in some.tolist()], keys[at])
+            for i in places[~plain[which]].tolist():
+                alone[i] = self._merged(chunks[i], keys[i])
+            if plain.any():
+                roots = np.full(len(own), -1)
+                roots[plain] = trees.root([w for w, p in zip(spelled, plain.tolist()) if p])
+                some = plain[which]
+                at, which = places[some], which[some]
+                nodes[at] = self._merge(symbols[which], roots[which], keys[at])
         known = nodes >= 0
         sizes = np.where(known, trees.places[nodes, 2], 0).astype(np.int64)
         begins = trees.places[nodes, 1].astype(np.int64)
@@ -333,10 +347,10 @@ class Codec:
         hit = self.pair_keys[at] == key
         return np.where(hit, self.pair_ranks[at], _NONE).astype(np.int32), self.pair_ids[at]
 
-    def _merge(self, symbols: np.ndarray, words: list[str], keys: np.ndarray) -> np.ndarray:
+    def _merge(self, symbols: np.ndarray, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Merges of many words of one length at once: in each round every word's best pair.
 
-        Gives the leaves of the words' trees.
+        From the roots of the words' trees to their leaves.
         """
         count, n = symbols.shape
         symbols, alive = symbols.copy(), np.ones((count, n), bool)
@@ -345,7 +359,7 @@ class Codec:
         ranks, made = np.full((count, n), _NONE, np.int32), np.zeros((count, n), np.int32)
         if n > 1:
             ranks[:, :-1], made[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
-        nodes, rows = self.trees.root(words), np.arange(count)
+        nodes, rows = nodes.copy(), np.arange(count)
         while len(rows):
             left = ranks[rows].argmin(axis=1)
             going = ranks[rows, left] < _NONE
@@ -450,9 +464,24 @@ def encode(
     return map_arrow(docs, others(docs, dropped), inputs, run, made)
 
 
+#: The codec of this worker process: the decisions it remembers serve the tasks that follow, too.
+_of_worker: dict[tuple, Codec] = {}
+
+
+def _worker_codec(vocabulary: Vocabulary, dropout: float, seed: int) -> Codec:
+    """One codec per worker. What it remembers changes no result, so a lost worker loses time only."""
+    pieces = "\0".join(f"{p} {s!r}" for p, s in vocabulary.scores.items())
+    own = xxhash.xxh3_128_hexdigest(pieces.encode("utf-8", "surrogatepass")), tuple(vocabulary.byte_ids)
+    key = (*own, dropout, seed)
+    if key not in _of_worker:
+        _of_worker.clear()
+        _of_worker[key] = Codec(vocabulary, dropout, seed)
+    return _of_worker[key]
+
+
 def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(vocabulary, dropout, seed)
+        codec = _worker_codec(vocabulary, dropout, seed)
         for batch in batches:
             texts = batch["_text"]
             start, size, held = 0, 0, []
