@@ -22,6 +22,8 @@ MIB = 1024 * 1024
 BROADCAST_LIMIT = 64 * MIB
 # Uncompressed bytes of a key's rows that one task takes. A key with more is split.
 HOT_BYTES = 256 * MIB
+# Cells of the byte histogram: so many for each share of HOT_BYTES in the table, within these bounds.
+CELLS_A_SHARE, LEAST_CELLS, MOST_CELLS = 16, 1 << 10, 1 << 22
 
 _UNITS = {"B": 1, "KiB": 2**10, "MiB": 2**20, "GiB": 2**30, "TiB": 2**40, "PiB": 2**50}
 
@@ -57,19 +59,32 @@ def hot_keys(
 ) -> DataFrame:
     """``_hot``, ``_salts``: hashes of keys with more than ``hot_bytes``, and the tasks each needs.
 
-    All keys are added up, in each task first. There are at most size / ``hot_bytes`` hot ones, none
-    is left out, and each gets as many salts as it has shares of ``hot_bytes``. The result is landed.
+    In two levels. A histogram adds up bytes by cells of the key's hash, in each task first, so the
+    shuffle has rows for cells and not for keys. A hot key's cell has at least the key's bytes, so
+    only the keys of cells above ``hot_bytes`` are added up one by one; mostly there is no such cell, and the
+    table is read once. There are at most size / ``hot_bytes`` such cells and hot keys, none
+    is left out, and each key gets as many salts as it has shares of ``hot_bytes``. The result is landed.
     """
     size = _row_bytes(df) if row_bytes is None else row_bytes
-    per_key = (
-        df.select(F.xxhash64(*[q(k) for k in keys]).alias("_hot"), size.alias("_bytes"))
-        .groupBy("_hot")
-        .agg(F.sum("_bytes").alias("_bytes"))
-    )
+    rows = df.select(F.xxhash64(*[q(k) for k in keys]).alias("_hot"), size.alias("_bytes"))
+    cell = F.pmod(F.col("_hot"), F.lit(_cells(df, hot_bytes)))
+    histogram = rows.groupBy(cell.alias("_cell")).agg(F.sum("_bytes").alias("_bytes"))
+    crowded = land(histogram.where(F.col("_bytes") > hot_bytes).select("_cell"), "cells")
+    if not crowded.limit(1).count():
+        return crowded.select(F.col("_cell").alias("_hot"), F.lit(1).alias("_salts"))
+    # At most size / hot_bytes rows of 8 bytes.
+    few = rows.join(F.broadcast(crowded), cell == F.col("_cell"), "left_semi")
+    per_key = few.groupBy("_hot").agg(F.sum("_bytes").alias("_bytes"))
     salts = F.ceil(F.col("_bytes") / hot_bytes).cast("int")
     return land(per_key.where(F.col("_bytes") > hot_bytes).select("_hot", salts.alias("_salts")), "hot")
 
 
+def _cells(df: DataFrame, hot_bytes: int) -> int:
+    """Enough cells that one without a hot key stays far below ``hot_bytes``."""
+    shares = CELLS_A_SHARE * estimated_bytes(df) / hot_bytes
+    return int(min(MOST_CELLS, max(LEAST_CELLS, shares)))
+
+
 def lookup_join(
     facts: DataFrame,
     reference: DataFrame,

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
@@ -152,3 +154,32 @@ def test_key_types_and_names_are_checked(spark, sales, users):
         joins.lookup_join(sales, users, [("customer_id", "name")])
     with pytest.raises(ValueError, match="both sides"):
         joins.lookup_join(sales, sales, [("customer_id", "customer_id")])
+
+
+def plain_hot_keys(df, hot_bytes, row_bytes):
+    """All keys added up one by one."""
+    per_key = df.groupBy(F.xxhash64("k").alias("h")).agg(F.sum(row_bytes).alias("b")).where(F.col("b") > hot_bytes)
+    return sorted((r.h, -(-r.b // hot_bytes)) for r in per_key.collect())
+
+
+@pytest.mark.parametrize("seed, hot_bytes", [(1, 500), (2, 3000), (3, 100_000), (4, 1 << 40)])
+def test_histogram_finds_the_hot_keys_of_a_plain_sum(spark, seed, hot_bytes):
+    rng = random.Random(seed)
+    rows = [(int(rng.paretovariate(0.8)), "x" * rng.randrange(50)) for _ in range(3000)]
+    rows += [(None, "null key")] * 40
+    df = spark.createDataFrame(rows, "k long, text string").repartition(5)
+    size = joins._row_bytes(df)
+    for cells in (1, 7, 1 << 12):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(joins, "_cells", lambda *a: cells)
+            got = joins.hot_keys(df, ["k"], hot_bytes)
+            assert sorted(map(tuple, got.collect())) == plain_hot_keys(df, hot_bytes, size)
+
+
+def test_histogram_shuffles_cells_and_not_keys(spark, tmp_path):
+    """Two million keys: each task passes on a row per cell at most."""
+    keys = spark.range(2_000_000, numPartitions=8).select(F.col("id").alias("k"))
+    cells = joins._cells(keys, joins.HOT_BYTES)
+    assert cells * 8 < 0.01 * 2_000_000
+    assert joins.hot_keys(keys, ["k"]).count() == 0
+    assert joins.hot_keys(keys, ["k"]).schema.simpleString() == "struct<_hot:bigint,_salts:int>"
