@@ -21,6 +21,7 @@ from salesloom.operators import joins
 from salesloom.operators.flatten import flatten
 from salesloom.operators.lookup import LookupFailed, lookup_payloads, lookup_weather
 from salesloom.operators.ordinal import with_ordinal
+from salesloom.operators.float_sums import float_totals
 from salesloom.plans import marts
 from salesloom.plans.refresh import Inputs, refresh
 from salesloom.scratch import scratch_path
@@ -427,6 +428,15 @@ def charges_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return agg.total_by(lines.select("l_returnflag", charge.alias("charge")), "l_returnflag", "charge")
 
 
+def shares_by_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Doubles with all their digits: prices as parts of 300,000, added up exactly and rounded once."""
+    lines = table(spark, sf_dir, "lineitem")
+    share = F.col("l_extendedprice").cast("double") / F.lit(3e5)
+    return float_totals(
+        lines.select("l_returnflag", share.alias("share")), "l_returnflag", "share", "total_share", "mean_share"
+    )
+
+
 QUERIES = {
     "extract_payload": extract_event_payload,
 } | {
@@ -448,6 +458,7 @@ QUERIES = {
         sales_trends_quarterly,
         reaggregated_customer_totals,
         charges_by_flag,
+        shares_by_flag,
         flatten_customer,
         lookup_enrich,
         customer_ordinal,

@@ -141,4 +141,13 @@ from sales join users on sales.customer_id = users.id""",
     ),
     "charges_by_flag": """select l_returnflag, cast(sum(cast(cast(l_extendedprice * l_discount * l_tax
 as varchar) as decimal(38,20))) as double) as charge from lineitem group by l_returnflag""",
+    # Each share is a whole number of 2**-66; the sum of those is exact and is rounded once.
+    "shares_by_flag": """
+select l_returnflag, t as total_share, t / n as mean_share from (
+  select l_returnflag, n, ((s // 1099511627776)::double * 1099511627776::double + (s % 1099511627776)::double)
+    / 73786976294838206464::double as t
+  from (
+    select l_returnflag, count(*)::double as n,
+      sum((l_extendedprice::double / 3e5::double * 73786976294838206464::double)::hugeint)::hugeint as s
+    from lineitem group by l_returnflag))""",
 }
