@@ -95,6 +95,30 @@ def rename(spark: SparkSession, path: str, to: str, missing_ok: bool = False) ->
         raise OSError(f"{path} could not be renamed to {to}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    files, target = _file(spark, path)
+    return files.exists(target)
+
+
+def write_line(spark: SparkSession, path: str, line: str) -> None:
+    """A new small file with one line of text."""
+    files, target = _file(spark, path)
+    out = files.create(target, False)
+    out.write(bytearray(line.encode("utf-8")))
+    out.close()
+
+
+def read_line(spark: SparkSession, path: str) -> str:
+    """The first line of a small file."""
+    files, target = _file(spark, path)
+    java = spark.sparkContext._jvm.java.io
+    reader = java.BufferedReader(java.InputStreamReader(files.open(target), "UTF-8"))
+    try:
+        return reader.readLine()
+    finally:
+        reader.close()
+
+
 def _root(spark: SparkSession) -> str:
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
