@@ -353,6 +353,16 @@ def csv_roundtrip(spark, sf_dir):
     return read.withColumn("order_date", parse_date(q("order_date")))
 
 
+def csv_line_breaks(spark, sf_dir):
+    """Orders with a line break and quotes in a cell, written in key order, read back with their row position."""
+    path = scratch_path(spark, "orders-breaks")
+    note = F.concat("o_orderpriority", F.lit('\n"'), "o_orderstatus", F.lit('",\n\nend'))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", note.alias("o_note"))
+    orders.orderBy("o_orderkey").write.csv(path, header=True, escape='"')
+    schema = StructType([StructField("o_orderkey", LONG), StructField("o_note", STRING)])
+    return files.read_csv(spark, path, schema, with_index=True, line_breaks=True)
+
+
 def csv_row_index(spark, sf_dir):
     """Orders written in key order, read back with their row position."""
     path = scratch_path(spark, "orders-csv")
@@ -464,6 +474,7 @@ QUERIES = {
         customer_ordinal,
         csv_roundtrip,
         csv_row_index,
+        csv_line_breaks,
         json_roundtrip,
         landed_payloads,
         table_replace,

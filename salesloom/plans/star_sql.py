@@ -128,6 +128,10 @@ select c_custkey, c_name, row_number() over (order by c_custkey) as ordinal from
     "csv_roundtrip": f"{_INPUTS} select * from sales",
     "csv_row_index": """
 select row_number() over (order by o_orderkey) - 1 as "index", o_orderkey, o_orderpriority
+from orders""",
+    "csv_line_breaks": """
+select row_number() over (order by o_orderkey) - 1 as "index", o_orderkey,
+  o_orderpriority || chr(10) || '"' || o_orderstatus || '",' || chr(10) || chr(10) || 'end' as o_note
 from orders""",
     "json_roundtrip": _FLAT_USERS,
     "table_replace": f"{_INPUTS} select * from users",

@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from salesloom.functions.columns import q
 from salesloom.operators.ordinal import with_file_position
+from salesloom.sources.records import read_records
 from salesloom.sources.schemas import SALES, USER, USER_PAYLOAD
 
 # Cell texts that a CSV reader with default settings takes as missing.
@@ -35,14 +36,20 @@ MISSING_CELLS = [
 
 
 def read_csv(
-    spark: SparkSession, path: str | list[str], schema: StructType, with_index: bool = False
+    spark: SparkSession, path: str | list[str], schema: StructType, with_index: bool = False,
+    line_breaks: bool = False,
 ) -> DataFrame:
     """Header CSV with a declared schema.
 
     Cells are read as text, missing ones become NULL, the rest is cast; a cell that does not
     fit its type, a row of the wrong length or a different header stops the job.
     ``with_index`` adds the 0-based row position as first column ``index``.
+
+    ``line_breaks`` reads quoted cells with line breaks, and still splits large files, for one more copy of the
+    lines in the scratch folder; without it such a cell stops the job.
     """
+    if line_breaks:
+        return read_records(spark, path, schema, _cell, with_index)
     text = StructType([StructField(f.name, StringType()) for f in schema.fields])
     raw = spark.read.csv(
         path, schema=text, header=True, mode="FAILFAST", enforceSchema=False, quote='"', escape='"'
@@ -56,12 +63,14 @@ def _cell(field: StructField):
     cell = q(field.name)
     if isinstance(field.dataType, StringType):
         return F.when(~cell.isin(MISSING_CELLS), cell).alias(field.name)
-    typed = cell.try_cast(field.dataType)
+    # Spark also reads the suffixes of number literals, as in 2.5d and 3f; they are no part of a number here.
+    number_text = F.when(~cell.rlike(r"[0-9.]\s*[dDfF]\s*$"), cell)
+    typed = (number_text if isinstance(field.dataType, DoubleType) else cell).try_cast(field.dataType)
     if isinstance(field.dataType, DoubleType):
         typed = F.nanvl(typed, F.lit(None).cast("double"))
     if isinstance(field.dataType, LongType):
         # A whole number column that once had gaps is written as 3.0.
-        number = cell.try_cast("double")
+        number = number_text.try_cast("double")
         typed = F.coalesce(typed, F.when(number == F.rint(number), number.try_cast("long")))
     message = F.concat(F.lit(f"{field.name} is not {field.dataType.simpleString()}: "), cell)
     unreadable = F.raise_error(message).cast(field.dataType)
@@ -69,10 +78,10 @@ def _cell(field: StructField):
 
 
 def read_sales_csv(
-    spark: SparkSession, path: str | list[str], with_index: bool = False
+    spark: SparkSession, path: str | list[str], with_index: bool = False, line_breaks: bool = False
 ) -> DataFrame:
     """Sales as declared in ``SALES``; ``order_date`` stays text until after the join."""
-    return read_csv(spark, path, SALES, with_index)
+    return read_csv(spark, path, SALES, with_index, line_breaks)
 
 
 def read_users_json(
