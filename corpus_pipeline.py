@@ -37,8 +37,8 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies."""
-    return ngram_join.drop_near_copies(docs)
+    """Keeps one document of each group of near copies: five-word n-grams, Jaccard of 0.8 or more."""
+    return ngram_join.drop_near_copies(docs, size=5, percent=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
