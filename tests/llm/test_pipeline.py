@@ -55,7 +55,7 @@ def test_stages_against_brute_force(spark, tmp_path):
     assert {r[0] for r in told} == set(range(220))  # only those without letters go
     want = without_boilerplate([(r[1], r[3]) for r in told])
     assert _same(cleaned, told, want)
-    components = jaccard_components([(r[0], r[1]) for r in cleaned])
+    components = jaccard_components([(r[0], r[1]) for r in cleaned], percent=80, size=5)
     assert sorted(r[0] for r in single) == sorted(i for i, (_, c) in components.items() if c == i)
     sizes = {}
     for r in single:
