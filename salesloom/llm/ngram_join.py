@@ -81,9 +81,19 @@ def size_classes(percent: int = PERCENT, largest: int = 1 << 31) -> tuple[np.nda
             blocks.append(0)
             continue
         k, n = d + 4, math.ceil(low * percent / 100)
-        # The chance that all n-grams of a document fall into d of the blocks.
-        while math.lgamma(k + 1) - math.lgamma(d + 1) - math.lgamma(k - d + 1) + n * math.log(d / k) > math.log(MISSES):
-            k += 1
+
+        def risky(k: int) -> bool:
+            """Whether all n-grams of a document fall into d of the blocks too often."""
+            ways = math.lgamma(k + 1) - math.lgamma(d + 1) - math.lgamma(k - d + 1)
+            return ways + n * math.log(d / k) > math.log(MISSES)
+
+        # The least number that is not: in growing steps, then in between.
+        low_k, step = k - 1, 1
+        while risky(k):
+            low_k, k, step = k, k + step, 2 * step
+        while k - low_k > 1:
+            middle = (low_k + k) // 2
+            low_k, k = (middle, k) if risky(middle) else (low_k, middle)
         blocks.append(k)
     return np.array(lows), np.array(blocks)
 
