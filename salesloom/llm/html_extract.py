@@ -53,6 +53,12 @@ MARKS = frozenset(
     " complementary contentinfo dialog skip tags hidden".split()
 )
 HEADERS = frozenset(["header", "masthead", "topbar"])
+# Words that may stand beside a mark in a name of an element in an article: "comment-list" is no article, "related-work" is.
+HOLDERS = frozenset(
+    "area articles bar block body bottom box button buttons container content group holder icons inline inner"
+    " item items left link links list outer panel placeholder posts right section site slot stories text"
+    " title top unit wrap wrapper zone".split()
+)
 # Of the marks, those that make even an article or main element no article.
 NO_ARTICLE = frozenset(
     "ad ads advert sponsored promo comment comments reply replies respond related teaser".split()
@@ -80,10 +86,15 @@ SPLIT = re.compile(r"[^a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "dropped", "marked", "header", "parts", "text_length", "hash", "has_title")
+    __slots__ = (
+        "tag", "dropped", "marked", "marked_inside", "header", "parts", "text_length", "hash", "has_title"
+    )
 
-    def __init__(self, tag: str, dropped: bool = False, marked: bool = False, header: bool = False):
-        self.tag, self.dropped, self.marked, self.header = tag, dropped, marked, header
+    def __init__(
+        self, tag: str, dropped: bool = False, marked: bool = False, marked_inside: bool = False, header: bool = False
+    ):
+        self.tag, self.dropped, self.header = tag, dropped, header
+        self.marked, self.marked_inside = marked, marked_inside  # by single words; by whole names
         self.parts: list[Node | str] = []
         self.text_length, self.hash, self.has_title = 0, 0, False
 
@@ -122,10 +133,12 @@ def parse(html: str) -> Node:
                 stack[-1].parts.append("" if tag == "wbr" else " ")
             continue
         _implied_ends(stack, tag)
-        marks, hidden = _marks(found[3])
-        marked = not (NO_ARTICLE if tag in MAIN else MARKS).isdisjoint(marks)
-        header = tag == "header" or not HEADERS.isdisjoint(marks)
-        node = Node(tag, tag in DROPPED or hidden, marked, header)
+        names, hidden = _names(found[3], tag not in PROSE)
+        words = {w for name in names for w in name}
+        whole = any(_marks(name, NO_ARTICLE if tag in MAIN else MARKS) for name in names)
+        marked = whole if tag in MAIN else not MARKS.isdisjoint(words)
+        header = tag == "header" or not HEADERS.isdisjoint(words)
+        node = Node(tag, tag in DROPPED or hidden, marked, whole, header)
         stack[-1].parts.append(node)
         if tag in RAW:
             ending = re.compile(rf"</{tag}\b[^>]*>|\Z", re.I).search(html, place)
@@ -162,18 +175,26 @@ def _implied_ends(stack: list[Node], tag: str) -> None:
                 break
 
 
-def _marks(attributes: str) -> tuple[set[str], bool]:
-    """Words of class, id and role; whether the element is hidden."""
-    marks: set[str] = set()
+def _names(attributes: str, ids: bool) -> tuple[list[list[str]], bool]:
+    """Names of an element (class, role and, if ``ids``, id) as lists of words; whether it is hidden.
+
+    The id of a heading or paragraph is a link's target and says nothing of what it is.
+    """
+    names: list[list[str]] = []
     hidden = False
     if "=" in attributes or "hidden" in attributes:
         for name, a, b, c in ATTRIBUTE.findall(attributes):
             name, value = name.lower(), (a or b or c).lower()
             if name == "hidden" or name == "aria-hidden" and value == "true":
                 hidden = True
-            elif name != "aria-hidden":
-                marks.update(SPLIT.split(value))
-    return marks, hidden
+            elif name != "aria-hidden" and (ids or name != "id"):
+                names.extend([w for w in SPLIT.split(one) if w] for one in value.split())
+    return names, hidden
+
+
+def _marks(name: list[str], marks: frozenset[str]) -> bool:
+    """A whole name marks an element: it has a mark, and no word besides marks and holders."""
+    return not marks.isdisjoint(name) and all(w in marks or w in MARKS or w in HOLDERS for w in name)
 
 
 def finish(root: Node) -> list[Node]:
@@ -201,8 +222,10 @@ def finish(root: Node) -> list[Node]:
     return order
 
 
-def subtrees(html: str) -> tuple[int, set[int], set[int]]:
-    """Hash of a page, and hashes of its subtrees that count for a template and that may be one.
+def subtrees(html: str) -> tuple[int, dict[int, bool], set[int]]:
+    """Hash of a page, hashes of its subtrees that count for a template, and of those that may be one.
+
+    A counted hash says whether the page has it outside of its ``article`` or ``main`` elements, too.
 
     Plain paragraphs, headings and inline elements are prose, however often they recur; neither
     is what holds a title. What holds half of the page's text does not count here, but goes
@@ -210,10 +233,26 @@ def subtrees(html: str) -> tuple[int, set[int], set[int]]:
     """
     root = parse(html)
     may_go = [n for n in finish(root) if _may_go(n)]
-    counted = {n.hash for n in may_go if 2 * n.text_length < root.text_length}
+    inside = _in_articles(root)
+    counted: dict[int, bool] = {}
+    for n in may_go:
+        if 2 * n.text_length < root.text_length:
+            counted[n.hash] = counted.get(n.hash, False) or id(n) not in inside
     return root.hash, counted, {n.hash for n in may_go}
 
 
+def _in_articles(root: Node) -> set[int]:
+    """Identities of the nodes below an ``article`` or ``main`` that is not marked as another thing."""
+    found, todo = set(), [(root, False)]
+    while todo:
+        node, inside = todo.pop()
+        if inside:
+            found.add(id(node))
+        inside |= node.tag in MAIN and not node.marked
+        todo.extend((p, inside) for p in node.parts if isinstance(p, Node))
+    return found
+
+
 def _may_go(node: Node) -> bool:
     return (
         node.text_length > 0
@@ -272,12 +311,15 @@ def _blocks(root: Node, within: tuple[str, ...]) -> tuple[list[str], bool]:
 
 
 def _kept(node: Node, in_article: bool) -> bool:
-    """What holds a title or the article is not dropped for its name; nor is an article's header."""
+    """What holds a title or the article is not dropped for its name; nor is an article's header.
+
+    In an article only a whole name drops a block ("related", "comment-list"), elsewhere any word in it.
+    """
     if node.dropped:
         return False
     if node.has_title or node.tag in ("html", "body"):
         return True
-    return not node.marked and (in_article or not node.header)
+    return not node.marked_inside if in_article else not (node.marked or node.header)
 
 
 def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
@@ -285,14 +327,20 @@ def page_templates(pages: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
 
     ``pages`` has ``_host``, ``_key`` (a hash of the page as it is) and ``_html``. Pages of a host that
     parse alike are one page, and each page counts a subtree once; counts are added up in each task
-    first. Templates stay rows of host and hash; an array has at most the subtrees of a page.
+    first. What recurs within articles only is the articles' own (a list that several quote) and no
+    template: some page must have it elsewhere. Templates stay rows of host and hash; an array has at most
+    the subtrees of a page.
     """
-    schema = "_host string, _key long, _page long, _counted array<long>, _own array<long>"
+    schema = (
+        "_host string, _key long, _page long, _counted array<struct<hash:long,outside:boolean>>, _own array<long>"
+    )
     found = land(pages.select("_host", "_key", "_html").mapInArrow(_subtree_rows, schema), "subtrees")
     different = found.groupBy("_host", "_page").agg(F.min("_counted").alias("_counted"))
     often = land(
-        different.select(F.col("_host").alias("_of_host"), F.explode("_counted").alias("_template"))
-        .groupBy("_of_host", "_template").count().where(f"count >= {int(min_pages)}").drop("count"),
+        different.select(F.col("_host").alias("_of_host"), F.explode("_counted").alias("_one"))
+        .groupBy("_of_host", F.col("_one.hash").alias("_template"))
+        .agg(F.count(F.lit(1)).alias("_pages"), F.max("_one.outside").alias("_outside"))
+        .where(F.col("_outside") & (F.col("_pages") >= int(min_pages))).drop("_pages", "_outside"),
         "templates",
     )
     own = found.groupBy("_host", "_key").agg(F.min("_own").alias("_own"))
@@ -310,9 +358,11 @@ def _subtree_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         found = [subtrees(html.as_py() or "") for html in batch["_html"]]
         pages, counted, own = zip(*found) if found else ((), (), ())
         lists = pa.list_(pa.int64())
+        marked = pa.list_(pa.struct([("hash", pa.int64()), ("outside", pa.bool_())]))
+        pairs = [[{"hash": h, "outside": x} for h, x in sorted(c.items())] for c in counted]
         yield pa.record_batch(
             [batch["_host"], batch["_key"], pa.array(pages, pa.int64()),
-             pa.array(map(sorted, counted), lists), pa.array(map(sorted, own), lists)],
+             pa.array(pairs, marked), pa.array(map(sorted, own), lists)],
             names=["_host", "_key", "_page", "_counted", "_own"],
         )
 
@@ -325,7 +375,8 @@ def extract_text(
     """All rows of ``pages`` with ``text`` and ``n_chars``, its code points.
 
     NULL and empty pages have empty text. Pages without a host (NULL URL) count as one host.
-    Repeated rows stay repeated and count as one page; an empty table gives an empty one.
+    Repeated rows stay repeated and count as one page; an empty table gives an empty one. Blocks of an
+    article go for what their whole name says or as a template that is also outside of articles.
     Columns named like the new ones are replaced. Whole pages are parsed.
     """
     made = ["text", "n_chars"]

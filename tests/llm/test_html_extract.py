@@ -18,6 +18,12 @@ CASES = [
     ("<p>x</p><a hre", "x"),
     ("<article><table><tr><td>1<td>2<tr><td>3</table></article>", "1 2 3"),
     ("<title>t</title><p>x<style>p{}</style>y&nbsp;z", "xy z"),
+    ("<article>a<div class='related-work'>b</div><p class='form-of-government'>c<div id=search-history>d</div></article>",
+     "a b c d"),
+    ("<article><h2 id=search>s</h2><div class='x related-posts'>b</div><ul class=comment-list><li>c</ul>"
+     "<div class='ad-box-3'>d</div><div id=comments>e</div></article>", "s"),
+    ("<article class='post has-comments comment-status-open'>a</article><article class='comment-body'>b</article>", "a"),
+    ("<p>a</p><div class='related-reading'>b</div>", "a"),
 ]
 
 
@@ -74,3 +80,78 @@ def test_templates_of_a_large_host_and_on_short_pages_go(spark):
     rows.append((400, "http://a.com/", f"{notice}<p>short</p>"))
     got = _texts(spark, rows)
     assert got[302] == "story 302 with a long text of its own" and got[400] == "short"
+
+
+def test_an_articles_own_list_stays(spark):
+    steps, notice = "<ul><li>mix</li><li>bake</li></ul>", "<div>Offices are closed</div>"
+    rows = [
+        (i, "http://a.com/", f"{notice}<article><p>recipe {i} with a long text of its own</p>{steps}{notice}</article>")
+        for i in range(8)
+    ]
+    rows += [(20 + i, "http://b.com/", f"<article><p>own {i}, a long text</p>{notice}</article>") for i in range(8)]
+    got = _texts(spark, rows)
+    assert got[3] == "recipe 3 with a long text of its own mix bake"
+    assert got[23] == "own 3, a long text Offices are closed"
+
+
+def _plain_tree(html):
+    """Elements of well-formed HTML without attributes, as (tag, parts), by the standard parser."""
+    from xml.etree import ElementTree
+
+    def of(e):
+        parts = [" ".join((e.text or "").split())]
+        for child in e:
+            parts += [of(child), " ".join((child.tail or "").split())]
+        return e.tag, tuple(x for x in parts if x)
+
+    return of(ElementTree.fromstring(f"<body>{html}</body>"))
+
+
+def _plain_length(node):
+    return len(node) if isinstance(node, str) else sum(map(_plain_length, node[1]))
+
+
+def _plain_all(node, found):
+    if not isinstance(node, str):
+        found.append(node)
+        for part in node[1]:
+            _plain_all(part, found)
+    return found
+
+
+def _plain_text(node, gone):
+    if isinstance(node, str):
+        return [node]
+    return [] if node[0] == "div" and node in gone else [t for p in node[1] for t in _plain_text(p, gone)]
+
+
+def test_counts_as_brute_force(spark):
+    """Templates by a plain count per host over whole trees, on pages without an article."""
+    import random
+    from collections import defaultdict
+
+    rng = random.Random(4)
+
+    def block(depth):
+        inner = "".join(block(depth - 1) for _ in range(rng.randint(1, 2))) if depth else ""
+        return f"<div><p>{rng.choice('abcd') * 3} {rng.choice('xy')}</p>{inner}</div>"
+
+    pages = []
+    for i in range(120):
+        body = [f"<p>story {i if rng.random() < 0.9 else 0} {'with much text of its own ' * rng.randint(0, 6)}</p>"]
+        body += [block(rng.randint(0, 2)) for _ in range(rng.randint(0, 4))]
+        rng.shuffle(body)
+        pages.append((i, f"http://{rng.choice('abc')}.com/{i}", "".join(body)))
+
+    trees = {i: _plain_tree(html) for i, _, html in pages}
+    on = defaultdict(set)
+    for i, url, _ in pages:
+        for node in _plain_all(trees[i], []):
+            if node[0] == "div" and 2 * _plain_length(node) < _plain_length(trees[i]):
+                on[url[7], node].add(trees[i])
+    want = {
+        i: " ".join(_plain_text(trees[i], {n for (host, n), at in on.items() if host == url[7] and len(at) >= 5}))
+        for i, url, _ in pages
+    }
+    assert any(len(at) >= 5 for at in on.values()) and any(len(at) < 5 for at in on.values())
+    assert _texts(spark, pages) == want
