@@ -3,7 +3,7 @@
 A vector is rotated at random (sign flips and fast Hadamard transforms) and hashed to the axis it
 lies nearest to. Several such hashes make a table's bucket; several tables make the index. Each
 vector lies in its home bucket and also probes the buckets of the next-best axis. Who meets in a
-bucket is verified by cosine.
+bucket with a near sketch is verified by cosine.
 """
 
 from __future__ import annotations
@@ -15,7 +15,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
 from salesloom.llm.common import any_names, others, table
@@ -33,7 +32,10 @@ MISSES = 1e-5
 AGREE, NEARLY = 0.73, 0.94
 # A larger bucket is compared block by block.
 BLOCK = 512
-HOME, RIGHT_HOME, PROBE, BOTH = 0, 1, 2, 3
+# Rows of a unit on its left side, on its right side, on both.
+HOME, PROBE_ONLY, BOTH = 0, 1, 2
+#: Bits of the sketch that stands for a vector until it is near another's.
+BITS = 128
 
 
 def index_shape(vectors: int, dimension: int) -> tuple[int, int]:
@@ -90,6 +92,18 @@ def codes(vectors: np.ndarray, hashes: int, tables: int, seed: int = SEED) -> np
     return out
 
 
+def sketch(vectors: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """Sides of ``BITS`` random planes that each vector lies on, as rows of bytes."""
+    planes = np.random.default_rng([seed, vectors.shape[1], BITS]).normal(size=(vectors.shape[1], BITS))
+    return np.packbits(vectors @ planes > 0, axis=1)
+
+
+def most_bits(least: float) -> int:
+    """Bits of a sketch that a link may differ in: seven deviations above the mean, less than 1e-8 beyond."""
+    share = math.acos(min(1.0, max(-1.0, least))) / math.pi
+    return math.ceil(BITS * share + 7 * math.sqrt(BITS * share * (1 - share)) + 2)
+
+
 def _hash_rows(hashes: int, tables: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,93 +112,142 @@ def _hash_rows(hashes: int, tables: int) -> Callable:
             flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
             begins = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
             out = np.zeros((batch.num_rows, tables * (1 + hashes)), np.int64)
+            bits = np.zeros((batch.num_rows, BITS // 8), np.uint8)
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 x = flat[begins[rows][:, None] + np.arange(size)]
                 x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of huge values stay finite
                 out[rows] = codes(x, hashes, tables).reshape(len(rows), -1)
+                bits[rows] = sketch(x)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(batch.num_rows + 1) * out.shape[1], pa.int32()), pa.array(out.ravel())
             )
-            yield pa.record_batch([*batch.columns, lists], names=[*batch.schema.names, "codes"])
+            yield pa.record_batch(
+                [batch["node"], batch["part"], pa.array(list(map(bytes, bits)), pa.binary()), lists],
+                names=["node", "part", "bits", "codes"],
+            )
 
     return run
 
 
-def _verify(hashes: int, tables: int, least: float) -> Callable:
-    """Compares who meets in a unit; rows sorted by unit, units may run over batches."""
-    width = 1 + hashes
-
-    def matrix(batch: pa.RecordBatch, name: str, dtype) -> list[np.ndarray]:
-        return [np.asarray(x.values.to_numpy(zero_copy_only=False), dtype) for x in batch[name]]
-
-    def compare(rows: list, out: list) -> None:
-        """One unit: tuples of id, weight, role, table, part, unit vector, codes."""
-        left = [r for r in rows if r[2] in (HOME, BOTH)]
-        right = [r for r in rows if r[2] != HOME]
-        if not left or not right or len(left) == len(right) == 1 and left[0][0] == right[0][0]:
-            return
-        size = len(left[0][5])
-        right = [r for r in right if len(r[5]) == size]
-        near = np.stack([r[5] for r in left]) @ np.stack([r[5] for r in right]).T >= least
-        ids_l, ids_r = np.array([r[0] for r in left]), np.array([r[0] for r in right])
-        i, j = np.nonzero(near & (ids_l[:, None] != ids_r[None, :]))
-        if not len(i):
-            return
-        own = np.array([r[4] for r in left])[i] == np.array([r[4] for r in right])[j]
-        i, j = i[own], j[own]
-        t = left[0][3]
-        a = np.stack([r[6] for r in left]).reshape(-1, tables, width)
-        b = np.stack([r[6] for r in right]).reshape(-1, tables, width)
-        weight_l, weight_r = (np.array([r[1] for r in side], np.int64) for side in (left, right))
-        probes = np.array([r[2] == PROBE for r in right])
-        linked_l, linked_r = np.zeros(len(left), np.int64), np.zeros(len(right), np.int64)
-        for start in range(0, len(i), 1 << 16):  # a pair counts where it meets first
-            x, y = i[start : start + (1 << 16)], j[start : start + (1 << 16)]
-            home = a[x, :, 0] == b[y, :, 0]
-            to_b = (a[x, :, :1] == b[y, :, 1:]).any(axis=2)
-            to_a = (b[y, :, :1] == a[x, :, 1:]).any(axis=2)
-            first = (home | to_b | to_a).argmax(axis=1) == t
-            same = home[:, t]
-            counts = first & (same ^ probes[y])
-            np.add.at(linked_l, x[counts], weight_r[y[counts]])
-            alone = counts & probes[y] & ~to_a[:, t]  # no unit has these two the other way round
-            np.add.at(linked_r, y[alone], weight_l[x[alone]])
-        root = _roots(len(left), len(right), i, j, np.concatenate([ids_l, ids_r]))
-        linked = np.concatenate([linked_l, linked_r])
-        ids = np.concatenate([ids_l, ids_r])
-        said = (linked > 0) | (root != ids)
-        out.append((ids[said], linked[said], root[said]))
+def _units(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by ``keys`` as tables of whole units, with the rows at which units begin.
+
+    A unit may run over batches; what is held is one batch and the rows of its last unit.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = pa.Table.from_batches([*held, batch]).combine_chunks()
+        begins = _begins(rows, keys)
+        last = int(begins[-1])
+        if last:
+            yield rows.slice(0, last), begins[:-1]
+        held = rows.slice(last).to_batches()
+    if held:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        yield rows, _begins(rows, keys)
+
+
+def _begins(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    new = np.zeros(rows.num_rows, bool)
+    new[0] = True
+    for key in keys:
+        value = rows[key].to_numpy()
+        new[1:] |= value[1:] != value[:-1]
+    return np.flatnonzero(new)
+
+
+def _candidates(most: int) -> Callable:
+    """Who of a bucket may link, by sketches: rows of a pair of blocks and a node of one of them.
+
+    There are no pairs of nodes: a node that may link with any number of others of a block is one row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, held, out = None, [], []
-        for batch in batches:
-            vectors = [v / np.abs(v).max() for v in matrix(batch, "vector", np.float64)]
-            vectors = [v / math.sqrt(v @ v) for v in vectors]
-            columns = [batch[c].to_pylist() for c in ("rep", "weight", "role", "table", "part")]
-            for u, *row in zip(batch["unit"].to_pylist(), *columns, vectors, matrix(batch, "codes", np.int64)):
-                if u != unit:
-                    compare(held, out)
-                    unit, held = u, []
-                held.append(row)
+        for rows, begins in _units(batches, ["unit"]):
+            node, block, role = (rows[c].to_numpy() for c in ("node", "block", "role"))
+            bits = np.frombuffer(b"".join(rows["bits"].to_pylist()), np.uint8).reshape(len(node), -1)
+            out = []
+            for start, end in zip(begins, [*begins[1:], len(node)]):
+                if end - start > 1:
+                    at = np.arange(start, end)
+                    _candidates_of(at[role[at] != PROBE_ONLY], at[role[at] != HOME], node, block, bits, most, out)
+            if out:
+                one, other, who = (np.concatenate(x) for x in zip(*out))
+                yield pa.record_batch({
+                    "lo": pa.array(np.minimum(one, other)), "hi": pa.array(np.maximum(one, other)),
+                    "node": pa.array(who),
+                })
+
+    return run
+
+
+def _candidates_of(left, right, node, block, bits, most: int, out: list) -> None:
+    if not len(left) or not len(right):
+        return
+    a, b = (2 * np.unpackbits(bits[x], axis=1).astype(np.float32) - 1 for x in (left, right))
+    near = (a @ b.T >= BITS - 2 * most) & (node[left][:, None] != node[right][None, :])
+    if not near.any():
+        return
+    near = near.astype(np.float32)
+    for these, those, close in ((left, right, near), (right, left, near.T)):
+        names, of = np.unique(block[those], return_inverse=True)
+        member = np.zeros((len(those), len(names)), np.float32)
+        member[np.arange(len(those)), of] = 1
+        i, j = np.nonzero(close @ member)
+        out.append((block[these[i]], names[j], node[these[i]]))
+
+
+def _verify(least: float) -> Callable:
+    """Compares the vectors of each pair of blocks, once: other rows linked, and the least node reached."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, begins in _units(batches, ["lo", "hi"]):
+            node, weight, part, block, lo = (rows[c].to_numpy() for c in ("node", "weight", "part", "block", "lo"))
+            hi = rows["hi"].to_numpy()
+            column = rows["vector"].combine_chunks()
+            sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+            flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+            places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            out = []
+            for start, end in zip(begins, [*begins[1:], len(node)]):
+                for size in np.unique(sizes[start:end]):
+                    at = start + np.flatnonzero(sizes[start:end] == size)
+                    x = flat[places[at][:, None] + np.arange(size)]
+                    x = x / np.abs(x).max(axis=1, keepdims=True)
+                    x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+                    i = np.flatnonzero(block[at] == lo[start])
+                    j = np.flatnonzero(block[at] == hi[start])
+                    near = (x[i] @ x[j].T >= least) & (part[at[i]][:, None] == part[at[j]][None, :])
+                    if lo[start] == hi[start]:
+                        near[np.arange(len(i)), np.arange(len(i))] = False
+                    _count(at, i, j, near, lo[start] != hi[start], node, weight, out)
             if out:
-                yield _links(out)
-                out = []
-        compare(held, out)
-        if out:
-            yield _links(out)
+                ids, linked, roots = (np.concatenate(x) for x in zip(*out))
+                yield pa.record_batch({"node": pa.array(ids), "linked": pa.array(linked), "root": pa.array(roots)})
 
     return run
 
 
-def _links(out: list) -> pa.RecordBatch:
-    ids, linked, roots = (np.concatenate(x) for x in zip(*out))
-    return pa.record_batch({"rep": pa.array(ids), "linked": pa.array(linked), "root": pa.array(roots)})
+def _count(at, i, j, near, two_blocks: bool, node, weight, out: list) -> None:
+    x, y = np.nonzero(near)
+    if not len(x):
+        return
+    linked = np.zeros(len(at), np.int64)
+    np.add.at(linked, i[x], weight[at[j[y]]])
+    if two_blocks:
+        np.add.at(linked, j[y], weight[at[i[x]]])
+    ids = node[at]
+    root = _roots(i[x], j[y], ids)
+    said = linked > 0
+    out.append((ids[said], linked[said], root[said]))
 
 
-def _roots(n_left: int, n_right: int, i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def _roots(i: np.ndarray, j: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """The least id that each row of a unit reaches by the unit's links."""
-    root, j = ids.copy(), j + n_left
+    root = ids.copy()
     while True:
         before = root.copy()
         low = np.minimum(root[i], root[j])
@@ -208,9 +271,11 @@ def near_duplicates(
     class and are compared once; repeated rows are linked rows. A NULL id has no component, is not kept
     and links with nothing. An empty table gives an empty one. Columns named like the new ones are replaced.
 
-    All links found are real; links are missed at most with the chance ``MISSES`` set for the index. Buckets are
-    compared in blocks, so that no task holds a large one, and a block sends on counts and one root per
-    row, not pairs.
+    All links found are real; links are missed at most with the chance ``MISSES`` set for the index. What is
+    dealt to buckets is a node and a sketch of its vector. Nodes whose sketches are near give pairs of blocks; a
+    block is a part of a home bucket of the first table. The vectors that such a pair of blocks needs travel to it
+    once, however often they meet, and each pair of vectors is compared in one place. Crowded buckets and
+    blocks are cut, so that no task holds a large one, and a pair of blocks sends on counts and one root per row.
     """
     spark, made = rows.sparkSession, ["n_links", "component_id", "kept"]
     keep = others(rows, made)
@@ -232,72 +297,49 @@ def near_duplicates(
             F.first("_v").alias("vector"), F.first("_l").alias("_l"),
         )
         .withColumn("part", F.xxhash64("_l", F.size("vector")))
+        .withColumn("node", F.monotonically_increasing_id())  # fixed by landing; ids may repeat
     )
     classes = land(classes.drop("_l"), "classes")
     shape = classes.groupBy("part", F.size("vector").alias("d")).count().agg(
         F.max("count"), F.max("d")
     ).first()
     hashes, tables = index_shape(shape[0] or 1, shape[1] or 1)
-    width = 1 + hashes
-    plain = classes.drop("_class")
     hashed = land(
-        plain.mapInArrow(
-            _hash_rows(hashes, tables),
-            StructType([*plain.schema.fields, StructField("codes", ArrayType(LongType()))]),
+        classes.select("node", "part", "vector").mapInArrow(
+            _hash_rows(hashes, tables), "node long, part long, bits binary, codes array<long>"
         ), "hashed"
     )
-    place = F.posexplode("codes").alias("_place", "_code")
-    bucket = F.xxhash64("part", F.floor(F.col("_place") / width), "_code")
-    crowded = (
-        hashed.select("part", place)
-        .groupBy(bucket.alias("_crowded"))
-        .agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_blocks"))
-        .where("_blocks > 1")
-    )
-    met = lookup_join(
-        hashed.select("*", place).withColumn("_bucket", bucket), land(crowded, "crowded"),
-        [("_bucket", "_crowded")], "left",
-    )
-    home = F.col("_place") % width == 0
-    blocks = F.coalesce("_blocks", F.lit(1))
-    mine = F.pmod(F.xxhash64("rep"), blocks).cast("int")
-    every = F.sequence(F.lit(0), blocks - 1)
-    def cell(i, j, role):
-        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).alias("role"))
-
-    cells = (
-        F.when(home & (blocks == 1), F.array(cell(mine, mine, BOTH)))
-        .when(home, F.concat(F.transform(every, lambda x: cell(mine, x, HOME)), F.transform(every, lambda x: cell(x, mine, RIGHT_HOME))))
-        .otherwise(F.transform(every, lambda x: cell(x, mine, PROBE)))
-    )
-    units = met.select(
-        "rep", "weight", "vector", "part", "codes",
-        F.floor(F.col("_place") / width).cast("int").alias("table"), "_bucket", F.explode(cells).alias("_cell"),
-    ).select(
-        "rep", "weight", "vector", "part", "codes", "table", "_cell.role",
-        F.xxhash64("_bucket", "_cell.i", "_cell.j").alias("unit"),
-    )
+    blocks, units = _blocks_and_units(hashed, 1 + hashes)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = land(
+    met = (
         units.repartition(n, "unit").sortWithinPartitions("unit")
-        .mapInArrow(_verify(hashes, tables, least), "rep long, linked long, root long"),
+        .mapInArrow(_candidates(most_bits(least)), "lo long, hi long, node long")
+    )
+    pairs = land(met.distinct(), "pairs")
+    vectors = classes.select(F.col("node").alias("_node"), "weight", "vector", "part")
+    placed = lookup_join(vectors, blocks.select(F.col("node").alias("_of"), "block"), [("_node", "_of")])
+    needed = lookup_join(pairs, placed.drop("_of"), [("node", "_node")]).drop("_node")
+    found = land(
+        needed.repartition(n, "lo", "hi").sortWithinPartitions("lo", "hi")
+        .mapInArrow(_verify(least), "node long, linked long, root long"),
         "links",
     )
-    linked = found.groupBy(F.col("rep").alias("_rep")).agg(F.sum("linked").alias("_linked"))
-    roots = components(found, "rep", "root")
-    sums = (
-        plain.select("rep", "weight").join(linked, F.col("rep") == F.col("_rep"), "left")
-        .join(roots, F.col("rep") == F.col("member"), "left")
+    linked = found.groupBy(F.col("node").alias("_node")).agg(F.sum("linked").alias("_linked"))
+    reached = land(components(found, "node", "root").join(
+        classes.select("node", "rep"), F.col("member") == F.col("node")
+    ).select("member", "root", "rep"), "members")
+    least_of = reached.groupBy(F.col("root").alias("_r")).agg(F.min("rep").alias("_root"))
+    roots = lookup_join(reached.drop("rep"), land(least_of, "roots"), [("root", "_r")]).select("member", "_root")
+    per_class = (
+        classes.select("_class", "node", "rep", "weight")
+        .join(linked, F.col("node") == F.col("_node"), "left")
+        .join(roots, F.col("node") == F.col("member"), "left")
         .select(
-            F.col("rep"),
-            (F.col("weight") - 1 + F.coalesce("_linked", F.lit(0))).alias("_n"),
-            F.coalesce("root", "rep").alias("_root"),
+            "_class", (F.col("weight") - 1 + F.coalesce("_linked", F.lit(0))).alias("_n"),
+            F.coalesce("_root", "rep").alias("_root"),
         )
     )
-    per_class = classes.select(F.col("_class"), F.col("rep").alias("_r")).join(
-        sums, F.col("_r") == F.col("rep")
-    ).select("_class", "_n", "_root")
-    joined = lookup_join(own, land(per_class, "roots"), [("_key", "_class")], "left")
+    joined = lookup_join(own, land(per_class, "per-class"), [("_key", "_class")], "left")
     root = F.coalesce("_root", q(vec_id))
     return joined.select(
         *keep,
@@ -307,6 +349,57 @@ def near_duplicates(
     )
 
 
+def _blocks_and_units(hashed: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
+    """``node, block`` of each node; ``unit, node, block, role, bits`` of each place where it is compared.
+
+    A bucket of at most ``BLOCK`` rows is one unit. A larger one is cut into parts, and each part of its home
+    rows meets each part of all its rows.
+    """
+    place = F.posexplode("codes").alias("_place", "_code")
+    bucket = F.xxhash64("part", F.floor(F.col("_place") / width), "_code")
+    home = F.col("_place") % width == 0
+    crowded = land(
+        hashed.select("part", place)
+        .groupBy(bucket.alias("_crowded"))
+        .agg(
+            F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("_cuts"),
+            F.ceil(F.count(F.when(home, 1)) / BLOCK).cast("int").alias("_home_cuts"),
+        )
+        .where("_cuts > 1"),
+        "crowded",
+    )
+    cuts = F.coalesce("_cuts", F.lit(1))
+    first = hashed.select("node", F.xxhash64("part", F.lit(0).cast("long"), F.col("codes")[0]).alias("_first"))
+    home_cuts = F.greatest(F.coalesce("_home_cuts", F.lit(1)), F.lit(1))
+    blocks = land(
+        lookup_join(first, crowded, [("_first", "_crowded")], "left").select(
+            "node", F.xxhash64("_first", F.pmod(F.xxhash64("node"), home_cuts)).alias("block")
+        ), "blocks",
+    )
+    with_block = lookup_join(hashed, blocks.withColumnRenamed("node", "_of"), [("node", "_of")]).drop("_of")
+    met = lookup_join(
+        with_block.select("node", "block", "bits", "part", place).withColumn("_bucket", bucket), crowded,
+        [("_bucket", "_crowded")], "left",
+    )
+    mine = F.pmod(F.xxhash64("node"), cuts).cast("int")
+    every = F.sequence(F.lit(0), cuts - 1)
+
+    def cell(i, j, role):
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(role).cast("byte").alias("role"))
+
+    cells = (
+        F.when(home & (cuts == 1), F.array(cell(mine, mine, BOTH)))
+        .when(home, F.concat(
+            F.transform(every, lambda x: cell(mine, x, HOME)), F.transform(every, lambda x: cell(x, mine, PROBE_ONLY))
+        ))
+        .otherwise(F.transform(every, lambda x: cell(x, mine, PROBE_ONLY)))
+    )
+    units = met.select("node", "block", "bits", "_bucket", F.explode(cells).alias("_cell")).select(
+        F.xxhash64("_bucket", "_cell.i", "_cell.j").alias("unit"), "node", "block", "_cell.role", "bits"
+    )
+    return blocks, units
+
+
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
     return near_duplicates(rows).drop("embedding", "label")

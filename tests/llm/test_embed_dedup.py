@@ -89,3 +89,46 @@ def test_recall_of_the_index(hashes):
     assert meet.mean() > counted - 0.02
     size = [index_shape(v, d) for v in (10, 10**4, 10**6, 10**9)]
     assert size == sorted(size) and size[0][0] == 1
+
+
+def test_ids_that_occur_with_several_vectors(spark):
+    """Rows stay as many as they are; an id stands for each of its rows."""
+    rows = [(3, [1.0, 0.0], 1, "a"), (3, [0.0, 1.0], 1, "a"), (3, [1.0, 0.0], 2, "a"), (5, [2.0, 0.0], 1, "a"),
+            (1, [0.0, 3.0], 1, "a")]
+    got = near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.vec_id, r.embedding, r.label, r.n_links, r.component_id) for r in got) == [
+        (1, [0.0, 3.0], 1, 1, 1), (3, [0.0, 1.0], 1, 1, 1), (3, [1.0, 0.0], 1, 1, 3), (3, [1.0, 0.0], 2, 0, 3),
+        (5, [2.0, 0.0], 1, 1, 3)]
+
+
+@pytest.mark.parametrize("dimension", [2, 16, 64])
+def test_sketches_keep_links_and_part_strangers(dimension):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=(2, 20000, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = 0.98 * a + math.sqrt(1 - 0.98**2) * b
+    most = embed_dedup.most_bits(0.98)
+
+    def differ(x, y):
+        return np.unpackbits(embed_dedup.sketch(x) ^ embed_dedup.sketch(y), axis=1).sum(axis=1)
+
+    assert differ(a, c).max() <= most
+    if dimension == 64:
+        assert (differ(a, a[::-1]) > most).mean() > 0.999
+
+
+def test_planted_links_are_found(spark):
+    """All of 1,500 pairs just above the least cosine, among vectors that link with nothing."""
+    rng = np.random.default_rng(8)
+    a = rng.normal(size=(1500, 64))
+    b = rng.normal(size=(1500, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b -= (a * b).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    c = 0.9802 * a + math.sqrt(1 - 0.9802**2) * b
+    rows = [(i, [float(x) for x in v], 1, "x") for i, v in enumerate(np.concatenate([a, c, rng.normal(size=(2000, 64))]))]
+    got = {r.vec_id: r for r in near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert [got[i].component_id for i in range(1500, 3000)] == list(range(1500))
+    assert all(got[i].n_links == (i < 3000) for i in got)
