@@ -1,6 +1,6 @@
 """Command line of the daily job, for ``spark-submit`` or ``python -m salesloom``.
 
-``refresh`` lands the inputs and replaces all tables; ``marts`` recomputes the results from the
+``refresh`` lands the inputs, replaces all tables and prints what was left out; ``marts`` recomputes the results from the
 stored wide table; ``restore`` replaces tables by those of a snapshot.
 """
 
@@ -12,6 +12,7 @@ import json
 
 from pyspark.sql import SparkSession
 
+from salesloom.operators.lookup import LookupMemory
 from salesloom.plans.refresh import Inputs, refresh, store_marts
 from salesloom.session import settings_for
 from salesloom.sinks import CatalogSink, JdbcSink, ParquetSink, restore_snapshot
@@ -33,6 +34,8 @@ def parser() -> argparse.ArgumentParser:
     weather.add_argument("--fetch", help="module:function that returns a lookup of a location")
     run.add_argument("--lookup-tasks", type=int, help="tasks that look up at once")
     run.add_argument("--lookup-threads", type=int, default=5, help="calls at once in each task")
+    run.add_argument("--lookup-memory", help="folder where answers of the lookup are kept for later runs")
+    run.add_argument("--lookup-max-age", type=float, help="seconds after which an answer is asked again")
     run.add_argument("--payload-format", choices=["json", "parquet"], default="json")
     run.add_argument("--no-index", action="store_true", help="leave the row position out")
     run.add_argument("--on-missing", choices=["drop", "fail"], default="drop")
@@ -86,6 +89,9 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("salesloom").config(map=settings(options)).getOrCreate()
     sink = _sink(spark, options)
     if options.command == "refresh":
+        memory = None
+        if options.lookup_memory:
+            memory = LookupMemory(options.lookup_memory, options.lookup_max_age)
         inputs = Inputs(
             options.sales,
             options.users,
@@ -93,12 +99,15 @@ def main(argv: list[str] | None = None) -> None:
             fetch_factory=_fetch_factory(options.fetch),
             lookup_tasks=options.lookup_tasks,
             lookup_threads=options.lookup_threads,
+            lookup_memory=memory,
             users_layout=options.users_layout,
             payload_format=options.payload_format,
             with_index=not options.no_index,
             on_missing=options.on_missing,
         )
-        refresh(spark, sink, inputs)
+        dropped: dict[str, int] = {}
+        refresh(spark, sink, inputs, dropped)
+        print(json.dumps(dropped))
     elif options.command == "marts":
         store_marts(sink, sink.read("sales_enriched"))
     else:

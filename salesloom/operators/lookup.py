@@ -5,17 +5,18 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from salesloom.functions.columns import q
 from salesloom.functions.payload import extract_payload
 from salesloom.operators.joins import lookup_join
-from salesloom.scratch import land
+from salesloom.scratch import exists, land
 
 # Executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,6 +28,43 @@ class LookupFailed(Exception):
     """Raised by a lookup whose key has no answer. Any other exception stops the job."""
 
 
+@dataclass(frozen=True)
+class LookupMemory:
+    """Answers that outlive a run: a folder of rows of key, payload and time, on the cluster's file system.
+
+    Only keys without an answer are asked, in ``waves`` jobs that each add their answers, so a run that
+    fails loses one wave at most. A failed lookup is not remembered and is asked again by the next run. Answers older
+    than ``max_age_seconds`` are asked again as well, and of several answers the latest counts. Runs
+    may share a folder; they only add files.
+    """
+
+    path: str
+    max_age_seconds: float | None = None
+    waves: int = 8
+
+    def answers(self, spark: SparkSession, keys: StructType, since: int | None) -> DataFrame:
+        """``_known0, ..., payload``: the latest answer of each key from ``since`` (microseconds) on."""
+        schema = StructType([*keys.fields, StructField("payload", StringType()), _ASKED_AT])
+        if exists(spark, self.path):
+            rows = spark.read.schema(schema).parquet(self.path)
+        else:
+            rows = spark.createDataFrame([], schema)
+        if since is not None:
+            rows = rows.where(F.unix_micros("asked_at") >= since)
+        known = [q(c).alias(f"_known{i}") for i, c in enumerate(keys.fieldNames())]
+        latest = F.max_by("payload", F.struct("asked_at", "payload"))
+        return rows.groupBy(*known).agg(latest.alias("payload"))
+
+    def since(self, spark: SparkSession) -> int | None:
+        if self.max_age_seconds is None:
+            return None
+        now = spark.range(1).select(F.unix_micros(F.current_timestamp())).first()[0]
+        return now - int(self.max_age_seconds * 1_000_000)
+
+
+_ASKED_AT = StructField("asked_at", TimestampType())
+
+
 def lookup_payloads(
     df: DataFrame,
     key_cols: list[str],
@@ -34,6 +72,7 @@ def lookup_payloads(
     partitions: int | None = None,
     threads: int = 5,
     on_missing: str = "drop",
+    memory: LookupMemory | None = None,
 ) -> DataFrame:
     """``key_cols, payload``: one call of the lookup per distinct key without NULLs.
 
@@ -42,7 +81,8 @@ def lookup_payloads(
     ``fetch_factory`` runs once per partition and returns a function of the key values that
     gives the payload text, or None. ``partitions`` times ``threads`` calls run at once at most.
     A failed lookup (None or :class:`LookupFailed`) gives no row, or with ``on_missing="fail"``
-    stops the job. The result is landed: recomputing it would call the lookup again.
+    stops the job. The result is landed: recomputing it would call the lookup again. With a ``memory``
+    only keys that it has no answer for are asked.
     """
     if on_missing not in ("drop", "fail"):
         raise ValueError(f"on_missing must be 'drop' or 'fail', not {on_missing!r}")
@@ -72,9 +112,34 @@ def lookup_payloads(
                 payloads = list(pool.map(call, batch.itertuples(index=False, name=None)))
                 yield batch.assign(payload=pd.Series(payloads, dtype=object, index=batch.index))
 
-    found = keys.distinct().repartition(width, *names).mapInPandas(run, schema)
-    answered = found.where(F.col("payload").isNotNull()).toDF(*key_cols, "payload")
-    return land(answered, "lookup")
+    def ask(keys: DataFrame) -> DataFrame:
+        found = keys.repartition(width, *names).mapInPandas(run, schema)
+        return found.where(F.col("payload").isNotNull())
+
+    if memory is None:
+        answered = ask(keys.distinct())
+    else:
+        answered = _remembered(land(keys.distinct(), "wanted"), names, ask, memory)
+    return land(answered.toDF(*key_cols, "payload"), "lookup")
+
+
+def _remembered(
+    wanted: DataFrame, names: list[str], ask: Callable[[DataFrame], DataFrame], memory: LookupMemory
+) -> DataFrame:
+    """Answers of the ``wanted`` keys; those that the memory does not know are asked and added to it."""
+    spark = wanted.sparkSession
+    since = memory.since(spark)
+    pairs = [(name, f"_known{i}") for i, name in enumerate(names)]
+    known = land(memory.answers(spark, wanted.schema, since), "known")
+    new = lookup_join(wanted, known, pairs, "left").where(F.col("payload").isNull())
+    new = land(new.select(*names), "asked")
+    waves = min(memory.waves, new.count())
+    for wave in range(waves):
+        part = new.where(F.pmod(F.xxhash64(*names), F.lit(waves)) == wave)
+        ask(part).withColumn("asked_at", F.current_timestamp()).write.mode("append").parquet(memory.path)
+    if waves:
+        known = land(memory.answers(spark, wanted.schema, since), "known")
+    return lookup_join(wanted, known, pairs).select(*names, "payload")
 
 
 def _has_key(names: list[str], on_missing: str):

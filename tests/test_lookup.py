@@ -6,7 +6,7 @@ from conftest import rows_of
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
-from salesloom.operators.lookup import LookupFailed, lookup_payloads, lookup_weather
+from salesloom.operators.lookup import LookupFailed, LookupMemory, lookup_payloads, lookup_weather
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -100,3 +100,64 @@ def test_other_errors_are_not_swallowed(people):
 def test_no_users(spark, people):
     found = lookup_payloads(people.where("id < 0"), KEYS, lambda: None)
     assert rows_of(found) == []
+
+
+def logging_factory(log, broken=(), none=()):
+    def factory():
+        def fetch(lat, lng):
+            with open(f"{log}/{lat}", "a") as f:
+                f.write("x")
+            if lat in broken:
+                raise KeyError(lat)
+            return None if lat in none else document(float(lat))
+
+        return fetch
+
+    return factory
+
+
+def calls_of(folder):
+    return {p.name: len(p.read_text()) for p in folder.iterdir()}
+
+
+def test_a_second_run_asks_nothing(spark, people, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    memory = LookupMemory(str(tmp_path / "memory"), waves=3)
+    first = rows_of(lookup_payloads(people.where("id <= 40"), KEYS, logging_factory(log), memory=memory))
+    assert len(first) == 21 and set(calls_of(log).values()) == {1}
+    assert rows_of(lookup_payloads(people.where("id <= 40"), KEYS, logging_factory(log), memory=memory)) == first
+    assert len(calls_of(log)) == 21 and set(calls_of(log).values()) == {1}
+    plain = rows_of(lookup_payloads(people, KEYS, logging_factory(tmp_path / "log")))
+    before = calls_of(log)
+    assert rows_of(lookup_payloads(people, KEYS, logging_factory(log), memory=memory)) == plain
+    asked = {k for k, n in calls_of(log).items() if n > before[k]}
+    assert asked == {str(i) for i in range(41, 99, 2)}
+
+
+def test_failed_and_old_answers_are_asked_again(spark, people, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    some = people.where("id in (1, 3, 5)")
+    memory = LookupMemory(str(tmp_path / "memory"))
+    assert lookup_payloads(some, KEYS, logging_factory(log, none=["3"]), memory=memory).count() == 2
+    assert lookup_payloads(some, KEYS, logging_factory(log), memory=memory).count() == 3
+    assert calls_of(log) == {"1": 1, "3": 2, "5": 1}
+    always = LookupMemory(memory.path, max_age_seconds=0)
+    assert lookup_payloads(some, KEYS, logging_factory(log), memory=always).count() == 3
+    assert calls_of(log) == {"1": 2, "3": 3, "5": 2}
+    assert lookup_payloads(some, KEYS, logging_factory(log), memory=memory).count() == 3
+    assert calls_of(log) == {"1": 2, "3": 3, "5": 2}
+
+
+def test_a_failed_run_keeps_the_waves_that_ended(spark, people, tmp_path):
+    log = tmp_path / "log"
+    log.mkdir()
+    memory = LookupMemory(str(tmp_path / "memory"), waves=8)
+    with pytest.raises(Exception, match="KeyError"):
+        lookup_payloads(people, KEYS, logging_factory(log, broken=["51"]), memory=memory)
+    kept = {r["key0"] for r in spark.read.parquet(memory.path).collect()}
+    before = calls_of(log)
+    assert lookup_payloads(people, KEYS, logging_factory(log), memory=memory).count() == 50
+    asked = {k for k, n in calls_of(log).items() if n > before.get(k, 0)}
+    assert 0 < len(kept) and not kept & asked and len(kept) + len(asked) == 50

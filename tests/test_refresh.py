@@ -192,3 +192,30 @@ def test_command_line_options(tmp_path):
     assert sink.read_options("t") == {"user": "me", "driver": "d", "url": "jdbc:x", "dbtable": "t"}
     with pytest.raises(SystemExit):
         parser().parse_args(["refresh", "--sales", "s", "--users", "u", "--out", "o"])
+
+
+@pytest.mark.parametrize("weather", ["landed", "looked up"])
+def test_left_out_rows_are_counted(spark, inputs, tmp_path, weather):
+    options = dict(inputs)
+    with open(inputs["sales_csv"]) as file:
+        text = file.read()
+    (tmp_path / "sales.csv").write_text(text + "113,,10,1,1.0,2023-07-01\n114,1,,1,1.0,2023-07-01\n")
+    options["sales_csv"] = str(tmp_path / "sales.csv")
+    if weather == "looked up":
+        del options["payloads"]
+        options["fetch_factory"] = offline
+    dropped = {}
+    sales = SALES_ROWS + [(113, None, 10, 1, 1.0, "2023-07-01"), (114, 1, None, 1, 1.0, "2023-07-01")]
+    refresh(spark, ParquetSink(spark, str(tmp_path / "t")), Inputs(**options), dropped)
+    people = {i: (name, city) for i, name, city in PEOPLE}
+    known = [r for r in sales if r[1] in people]
+    assert dropped == {
+        "failed_lookups": 1 if weather == "landed" else sum(i not in WEATHER for i in people),
+        "sales_without_customer_id": sum(r[1] is None for r in sales),
+        "sales_of_unknown_customers": sum(r[1] is not None and r[1] not in people for r in sales),
+        "sales_without_name": sum(people[r[1]][0] is None for r in known),
+        "sales_without_city": sum(people[r[1]][1] is None for r in known),
+        "sales_without_weather": sum(r[1] not in WEATHER for r in known),
+        "sales_without_product_id": sum(r[2] is None for r in known),
+        "sales_without_date": sum(r[5] is None for r in known),
+    }
