@@ -90,3 +90,47 @@ def test_operator(spark):
     assert train(docs.limit(0)) is None
     assert classify(docs.limit(0), None).count() == 0
     assert {r.score for r in classify(docs, None).collect()} == {1.0}
+
+
+def test_expectation_maximisation_as_brute_force():
+    """One document at a time, in plain loops, for the same number of rounds."""
+    from math import exp, log
+
+    from salesloom.llm.weak_quality import BELIEF, BELIEVED, GOOD_SHARE
+
+    rng = random.Random(6)
+    docs = []
+    for _ in range(400):
+        good = rng.random() < 0.7
+        docs.append(tuple(
+            ABSTAIN if rng.random() < 0.3 else (GOOD if good == (rng.random() < right) else BAD)
+            for right in (0.95, 0.85, 0.75, 0.6)
+        ))
+    patterns = sorted(set(docs))
+    cast, counts = np.array(patterns), np.array([docs.count(p) for p in patterns], float)
+    rounds = 7
+    chance, chances, share = expectation_maximisation(cast, counts, rounds)
+
+    kinds = (ABSTAIN, BAD, GOOD)
+    table = [[[BELIEVED[c][v] for v in range(3)] for _ in range(4)] for c in range(2)]
+    part, believed = GOOD_SHARE, BELIEF * len(docs) + 1
+    for _ in range(rounds):
+        posterior = []
+        for doc in docs:
+            logs = [log(1 - part), log(part)]
+            for c in range(2):
+                for j, vote in enumerate(doc):
+                    logs[c] += log(table[c][j][kinds.index(vote)])
+            posterior.append(1 / (1 + exp(logs[0] - logs[1])))
+        for c in range(2):
+            prior = believed * (GOOD_SHARE if c else 1 - GOOD_SHARE)
+            for j in range(4):
+                sums = [prior * BELIEVED[c][v] for v in range(3)]
+                for doc, p in zip(docs, posterior):
+                    sums[kinds.index(doc[j])] += p if c else 1 - p
+                table[c][j] = [x / sum(sums) for x in sums]
+        part = (sum(posterior) + believed * GOOD_SHARE) / (len(docs) + believed)
+
+    by_pattern = dict(zip(docs, posterior))
+    assert np.allclose(chance, [by_pattern[p] for p in patterns], atol=1e-9)
+    assert np.allclose(chances, table, atol=1e-9) and abs(share - part) < 1e-9
