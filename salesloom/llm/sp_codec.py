@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import chain, repeat
@@ -32,8 +33,9 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 17
 SPACE = "▁"
-# Decisions that a Python worker remembers; words that walk together; characters of text in one batch.
-REMEMBERED = 1_500_000
+# Decisions that a Python worker remembers, about 30 bytes each with their words; words that walk together;
+# characters of text in one batch.
+REMEMBERED = 8_000_000
 TOGETHER = 1 << 18
 SLICE = 4_000_000
 _MASK = (1 << 64) - 1
@@ -109,15 +111,17 @@ class _Trees:
     def __init__(self):
         self.roots: dict[str, int] = {}
         self.size, self.used = 0, 0
-        # Three places of a node's candidate; of a leaf: LEAF, where its ids begin and how many they are.
-        self.places = np.full((1 << 14, 3), self.NEW, np.int32)
-        self.following = np.full((1 << 14, 2), -1, np.int32)  # if merged, if skipped
+        # Three places of a node's candidate, all below WORD + 1; a leaf has LEAF.
+        self.places = np.full((1 << 14, 3), self.NEW, np.int8)
+        # The node if merged and the one if skipped; of a leaf, where its ids begin and how many they are.
+        self.following = np.full((1 << 14, 2), -1, np.int32)
         self.ids = np.zeros(1 << 14, np.int32)
 
     def _add(self, count: int) -> np.ndarray:
         while self.size + count > len(self.places):
-            self.places = np.concatenate([self.places, np.full_like(self.places, self.NEW)])
-            self.following = np.concatenate([self.following, np.full_like(self.following, -1)])
+            more = len(self.places) // 2
+            self.places = np.concatenate([self.places, np.full((more, 3), self.NEW, np.int8)])
+            self.following = np.concatenate([self.following, np.full((more, 2), -1, np.int32)])
         self.size += count
         return np.arange(self.size - count, self.size)
 
@@ -148,9 +152,8 @@ class _Trees:
         while self.used + len(picked) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         self.ids[self.used : self.used + len(picked)] = picked
-        self.places[new] = np.stack(
-            [np.full(len(new), self.LEAF), self.used + np.cumsum(counts) - counts, counts], axis=1
-        )
+        self.places[new, 0] = self.LEAF
+        self.following[new] = np.stack([self.used + np.cumsum(counts) - counts, counts], axis=1)
         self.used += len(picked)
 
     def walk(self, nodes: np.ndarray, keys: np.ndarray, limit: int) -> np.ndarray:
@@ -291,19 +294,20 @@ class Codec:
 
     def _cut_some(self, chunks: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         trees = self.trees
-        words, number = _numbered(chunks)
-        nodes = np.fromiter(map(trees.roots.get, words, repeat(-1)), np.int64, len(words))[number]
+        nodes = np.fromiter(map(trees.roots.get, chunks, repeat(-1)), np.int64, len(chunks))
         nodes = trees.walk(nodes, keys, self.limit)
         alone: dict[int, list[int]] = {}
         new = np.flatnonzero(nodes < 0)
-        lengths = np.fromiter(map(len, words), np.int64, len(words))[number[new]]
+        words, number = _numbered([chunks[i] for i in new.tolist()])
+        lengths = np.fromiter(map(len, words), np.int64, len(words))[number]
         for n in np.unique(lengths).tolist():
-            places = new[lengths == n]
+            same = lengths == n
+            places = new[same]
             if not 0 < n <= WORD:
                 for i in places.tolist():
                     alone[i] = self._merged(chunks[i], keys[i]) if n else self._bytes(SPACE)
                 continue
-            own, which = np.unique(number[places], return_inverse=True)
+            own, which = np.unique(number[same], return_inverse=True)
             spelled = [words[j] for j in own.tolist()]
             points = np.frombuffer("".join(spelled).encode("utf-32-le", "surrogatepass"), np.uint32)
             symbols = self.char_ids[points].reshape(-1, n)
@@ -315,10 +319,10 @@ class Codec:
                 roots[plain] = trees.root([w for w, p in zip(spelled, plain.tolist()) if p])
                 some = plain[which]
                 at, which = places[some], which[some]
-                nodes[at] = self._merge(symbols[which], roots[which], keys[at])
+                nodes[at] = self._merge(symbols, which, roots[which], keys[at])
         known = nodes >= 0
-        sizes = np.where(known, trees.places[nodes, 2], 0).astype(np.int64)
-        begins = trees.places[nodes, 1].astype(np.int64)
+        begins, sizes = trees.following[nodes].astype(np.int64).T
+        sizes = np.where(known, sizes, 0)
         if not alone:
             return trees.ids[_ranges(begins, sizes)], sizes
         # Those cut alone follow the remembered ids.
@@ -347,18 +351,19 @@ class Codec:
         hit = self.pair_keys[at] == key
         return np.where(hit, self.pair_ranks[at], _NONE).astype(np.int32), self.pair_ids[at]
 
-    def _merge(self, symbols: np.ndarray, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    def _merge(self, spelled: np.ndarray, which: np.ndarray, nodes: np.ndarray, keys: np.ndarray) -> np.ndarray:
         """Merges of many words of one length at once: in each round every word's best pair.
 
-        From the roots of the words' trees to their leaves.
+        ``which``: the spelling of each word. From the roots of the words' trees to their leaves.
         """
-        count, n = symbols.shape
-        symbols, alive = symbols.copy(), np.ones((count, n), bool)
+        count, n = len(which), spelled.shape[1]
+        symbols, alive = spelled[which], np.ones((count, n), bool)
         after = np.tile(np.arange(1, n + 1), (count, 1))
         before = np.tile(np.arange(-1, n - 1), (count, 1))
         ranks, made = np.full((count, n), _NONE, np.int32), np.zeros((count, n), np.int32)
         if n > 1:
-            ranks[:, :-1], made[:, :-1] = self._pairs(symbols[:, :-1], symbols[:, 1:])
+            for held, found in zip((ranks, made), self._pairs(spelled[:, :-1], spelled[:, 1:])):
+                held[:, :-1] = found[which]
         nodes, rows = nodes.copy(), np.arange(count)
         while len(rows):
             left = ranks[rows].argmin(axis=1)
@@ -464,15 +469,13 @@ def encode(
     return map_arrow(docs, others(docs, dropped), inputs, run, made)
 
 
-#: The codec of this worker process: the decisions it remembers serve the tasks that follow, too.
+#: The codec of this worker process: the decisions it remembers serve the tasks of the same call that follow, too.
 _of_worker: dict[tuple, Codec] = {}
 
 
-def _worker_codec(vocabulary: Vocabulary, dropout: float, seed: int) -> Codec:
-    """One codec per worker. What it remembers changes no result, so a lost worker loses time only."""
-    pieces = "\0".join(f"{p} {s!r}" for p, s in vocabulary.scores.items())
-    own = xxhash.xxh3_128_hexdigest(pieces.encode("utf-8", "surrogatepass")), tuple(vocabulary.byte_ids)
-    key = (*own, dropout, seed)
+def _worker_codec(vocabulary: Vocabulary, dropout: float, seed: int, call: str) -> Codec:
+    """One codec per worker and call. What it remembers changes no result, so a lost worker loses time only."""
+    key = (call, dropout, seed)
     if key not in _of_worker:
         _of_worker.clear()
         _of_worker[key] = Codec(vocabulary, dropout, seed)
@@ -480,8 +483,11 @@ def _worker_codec(vocabulary: Vocabulary, dropout: float, seed: int) -> Codec:
 
 
 def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
+    # Another call begins with no memory, so that a measured run does not profit from one before it.
+    call = uuid.uuid4().hex
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _worker_codec(vocabulary, dropout, seed)
+        codec = _worker_codec(vocabulary, dropout, seed, call)
         for batch in batches:
             texts = batch["_text"]
             start, size, held = 0, 0, []
