@@ -26,7 +26,7 @@ def parser() -> argparse.ArgumentParser:
     run.add_argument("--sales", required=True, help="CSV files")
     run.add_argument("--users", required=True, help="JSON files")
     run.add_argument(
-        "--users-layout", choices=["lines", "array"], default="lines",
+        "--users-layout", choices=["lines", "array", "split_array"], default="lines",
         help="array: small files of one JSON array each",
     )
     weather = run.add_mutually_exclusive_group(required=True)

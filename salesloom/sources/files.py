@@ -8,6 +8,7 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from salesloom.functions.columns import q
 from salesloom.operators.ordinal import with_file_position
+from salesloom.sources.arrays import read_array
 from salesloom.sources.records import read_records
 from salesloom.sources.schemas import SALES, USER, USER_PAYLOAD
 
@@ -93,10 +94,13 @@ def read_users_json(
     """Nested customer records.
 
     ``layout="lines"`` reads one object per line and splits large files. ``layout="array"`` is for
-    small files that each hold one JSON array: one task reads a whole file.
+    small files that each hold one JSON array: one task reads a whole file. ``layout="split_array"``
+    reads such files of any size in many tasks, and lands them once for that.
     """
-    if layout not in ("array", "lines"):
-        raise ValueError(f"layout must be 'array' or 'lines', not {layout!r}")
+    if layout not in ("array", "lines", "split_array"):
+        raise ValueError(f"layout must be 'array', 'lines' or 'split_array', not {layout!r}")
+    if layout == "split_array":
+        return read_array(spark, path, schema)
     return spark.read.json(
         path, schema=schema, multiLine=layout == "array", mode="FAILFAST"
     )

@@ -1,0 +1,72 @@
+"""JSON arrays that are read in many tasks, against the same records as lines."""
+
+import json
+import random
+
+import pytest
+
+from salesloom.sources.arrays import array_records, read_array
+from salesloom.sources.files import read_users_json
+
+SCHEMA = "id long, name string, address struct<city: string, geo: struct<lat: string>>, tags array<struct<t: string>>"
+SIGNS = ['"', "\\", "{", "}", "[", "]", ",", "\n", "é", "a", " ", '\\"}', "{\\"]
+
+
+def _people(rng, count):
+    def text():
+        return "".join(rng.choice(SIGNS) for _ in range(rng.randrange(12)))
+
+    return [
+        {
+            "id": i, "name": text(), "address": {"city": text(), "geo": {"lat": text()}},
+            "tags": [{"t": text()} for _ in range(rng.randrange(3))],
+        }
+        for i in range(count)
+    ]
+
+
+def _rows(frame):
+    return sorted(frame.collect(), key=lambda r: r["id"])
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_equals_lines_in_several_tasks(spark, tmp_path, indent):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL(SCHEMA)
+    people = _people(random.Random(5), 300)
+    (tmp_path / "arrays").mkdir()
+    for k, part in enumerate((people[:260], [], people[260:])):
+        (tmp_path / "arrays" / f"{k}.json").write_text(json.dumps(part, indent=indent, ensure_ascii=False))
+    (tmp_path / "lines.json").write_text("".join(json.dumps(p) + "\n" for p in people))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        assert spark.read.text(str(tmp_path / "arrays"), lineSep="}").rdd.getNumPartitions() > 3
+        got = _rows(read_array(spark, str(tmp_path / "arrays"), schema, block=50))
+        if indent:
+            assert got == _rows(read_users_json(spark, str(tmp_path / "arrays"), "split_array", schema))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == _rows(read_users_json(spark, str(tmp_path / "lines.json"), schema=schema))
+    assert [r["id"] for r in got] == list(range(300))
+
+
+@pytest.mark.parametrize("text, count", [("", 0), ("[]", 0), (" [ ]\n", 0), ("[{}]", 1), ('[{"a": "}]"}\n, {}]\n', 2)])
+def test_small_files(spark, tmp_path, text, count):
+    (tmp_path / "a.json").write_text(text)
+    assert array_records(spark, str(tmp_path / "a.json")).count() == count
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1}', '[{"a": {"b": 1}]', '[{"a": "x}]', "[1, 2]", '{"a": 1}', '[{"a": 1},]'])
+def test_what_is_no_array_of_objects(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(ValueError, match="no array of objects"):
+        array_records(spark, str(tmp_path / "a.json"))
+
+
+@pytest.mark.parametrize("text", ['[{"a": 1} {"a": 2}]', '[1, {"a": 1}]', '[{"a": 1}, 2, {"a": 1}]', '[{"a": 1}, [{"a": 2}]'])
+def test_other_things_between_objects_stop_the_job(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
+    with pytest.raises(Exception, match="unexpected text in an array"):
+        array_records(spark, str(tmp_path / "a.json")).collect()
