@@ -305,9 +305,10 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
         "rep", "n", F.explode(F.array("rows1", "rows2")).alias("rows")
     ).where("size(rows) > 0")
     # Blocks without n-grams agree, too, but are not joined: at most the fewer of two documents' empty ones.
-    empty = F.size(F.filter("rows", lambda r: r == 0)).alias("e")
-    cells = rows.select(
-        "rep", "n", F.size("rows").alias("k"), empty, F.explode("rows").alias("row")
+    # Counted once a list, before it is exploded: Spark would count beside the explode once for each of its cells.
+    empty = (F.size("rows") - F.size(F.array_remove("rows", F.lit(0)))).alias("e")
+    cells = rows.select("rep", "n", F.size("rows").alias("k"), empty, "rows").select(
+        "rep", "n", "k", "e", F.explode("rows").alias("row")
     ).where("row <> 0")
     packed = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("k").cast("long"))
     shared = land(
@@ -409,9 +410,8 @@ def jaccard_components(
         docs.select(q(doc_id).cast("long").alias("_id"), q(text).alias("_text")),
         members.select("rep").distinct(), [("_id", "rep")],
     )
-    sets = land(
-        texts.select("rep", shingles(F.col("_text"), size).alias("grams")).where("size(grams) > 0"), "sets"
-    )
+    # Not filtered before it is landed: Spark would do that below the join and form the n-grams of every document.
+    sets = land(texts.select("rep", shingles(F.col("_text"), size).alias("grams")), "sets").where("size(grams) > 0")
     # First all of a small cluster, and the first block of a large one with all its documents.
     mine = F.pmod(F.xxhash64("rep"), F.col("_blocks")).cast("int")
     every = F.sequence(F.lit(0), F.col("_blocks") - 1)

@@ -111,3 +111,20 @@ def test_components(spark, seed):
     got = {r.member: r.root for r in components(links).collect()}
     assert got == want
     assert components(links.limit(0)).count() == 0
+
+
+def test_lists_are_counted_and_ngrams_formed_once(spark, monkeypatch):
+    """Not once for each cell of a list, nor for documents that are in no cluster."""
+    plans, land = {}, ngram_join.land
+
+    def landed(df, label, keep=False):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return land(df, label, keep)
+
+    monkeypatch.setattr(ngram_join, "land", landed)
+    check(spark, corpus(40, 3))
+    shared = plans["shared"]
+    explode = next(i for i, line in enumerate(shared) if "Generate explode(rows#" in line)
+    assert not [line for line in shared[:explode] if "size(rows#" in line or "(rows#" in line]
+    assert not [line for line in plans["sets"] if "Filter" in line and "xxhash64" in line]
+    assert [line for line in plans["sets"] if "xxhash64" in line]
