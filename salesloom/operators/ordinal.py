@@ -59,6 +59,14 @@ def with_file_position(scan: DataFrame, start: int = 0, name: str = "index") ->
     return numbered.select(q(name), *[q(c) for c in scan.columns])
 
 
+def with_block_position(landed: DataFrame, blocks: list[str], start: int = 0, name: str = "index") -> DataFrame:
+    """Append the position of landed rows: by the columns ``blocks``, which are dropped, then as they were landed.
+
+    ``landed`` reads a landed frame. The rows of a block lie in one task's files, one after the other.
+    """
+    return _number(landed, {b: q(b) for b in blocks}, start, name)
+
+
 def _part() -> Column:
     """Number of the partition that wrote a landed row."""
     return F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("long")

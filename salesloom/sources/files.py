@@ -46,8 +46,8 @@ def read_csv(
     fit its type, a row of the wrong length or a different header stops the job.
     ``with_index`` adds the 0-based row position as first column ``index``.
 
-    ``line_breaks`` reads quoted cells with line breaks, and still splits large files, for one more copy of the
-    lines in the scratch folder; without it such a cell stops the job.
+    ``line_breaks`` reads quoted cells with line breaks, and still splits large files, for a copy of the
+    lines and one of the records in the scratch folder; without it such a cell stops the job.
     """
     if line_breaks:
         return read_records(spark, path, schema, _cell, with_index)

@@ -9,6 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from salesloom.operators import ordinal
+from salesloom.sources import records
 from salesloom.sources.files import read_csv
 from salesloom.sources.records import csv_records
 
@@ -98,3 +100,35 @@ def test_only_records_of_several_lines_move(spark, tmp_path):
     records = csv_records(spark, str(tmp_path / "t.csv"))
     assert records.count() == 502
     assert records.where(F.col("_record").contains("\n")).count() == 1
+
+
+def test_lines_in_many_pieces_equal_pandas(spark, tmp_path, small_splits, monkeypatch):
+    """Tasks land several files and read them in small batches; nothing is sorted, few parts of records move."""
+    landed = {}
+
+    def spy(land):
+        def run(df, label, keep=False):
+            landed[label] = land(df, label, keep)
+            return landed[label]
+        return run
+
+    monkeypatch.setattr(records, "land", spy(records.land))
+    monkeypatch.setattr(ordinal, "land", spy(ordinal.land))
+    rng = random.Random(4)
+    cells = [(i, random_text(rng), 0.5) for i in range(1500)]
+    cells[40] = (40, "\n" * 700 + "end", 0.5)
+    write(tmp_path / "t.csv", cells)
+    want = pd.read_csv(tmp_path / "t.csv", lineterminator="\n")
+    conf = {"spark.sql.files.maxRecordsPerFile": "100", "spark.sql.execution.arrow.maxRecordsPerBatch": "7"}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        frame = read_csv(spark, str(tmp_path / "t.csv"), SCHEMA, with_index=True, line_breaks=True)
+        got = sorted(map(tuple, frame.select("index", "k", "text").collect()))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")
+    assert got == [(i, i, None if pd.isna(t) else t) for i, t in enumerate(want.text)]
+    assert "ordinal" not in landed
+    lines = landed["lines"].count()
+    assert 0 < landed["groups"].count() < lines / 10 and lines > 2000
