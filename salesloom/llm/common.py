@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import wraps
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,15 +91,48 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(name, str(BATCH_ROWS))
 
 
+#: What this Python worker remembers from one task to the next, by the call that it is for.
+_remembered: dict[str, Any] = {}
+
+
+def remembered(call: str, make: Callable[[], Any]) -> Any:
+    """What ``make`` gives, kept by this Python worker for the tasks of the same call that follow."""
+    if call not in _remembered:
+        _remembered[call] = make()
+    return _remembered[call]
+
+
+def forget_others(call: str | None) -> None:
+    """Frees what this Python worker remembers for other calls."""
+    for other in _remembered.keys() - {call}:
+        del _remembered[other]
+
+
+def own_memory(run: Callable, call: str | None = None) -> Callable:
+    """``run``, in a worker that remembers nothing of other calls.
+
+    Spark hands a Python worker on from one job to the next, with all that it holds: without this, what one call
+    remembers would lie beside the memory of the jobs that follow.
+    """
+
+    def begin(batches: Iterator) -> Iterator:
+        forget_others(call)
+        yield from run(batches)
+
+    return begin
+
+
 def map_arrow(
-    df: DataFrame, keep: Sequence[Column], inputs: Sequence[Column], run: Callable, made: StructType
+    df: DataFrame, keep: Sequence[Column], inputs: Sequence[Column], run: Callable, made: StructType,
+    call: str | None = None,
 ) -> DataFrame:
     """``keep`` and the ``made`` columns that ``run`` computes from ``inputs`` in Arrow batches.
 
     ``run`` gets batches of ``_row`` and the inputs and gives batches of ``_row`` and ``made``. What is
-    kept travels in one struct, so that its names can be anything.
+    kept travels in one struct, so that its names can be anything. ``call``: under which name ``run``
+    remembers anything in its workers.
     """
     small_batches(df.sparkSession)
     packed = df.select(F.struct(*keep, F.lit(0).alias("_pad")).alias("_row"), *inputs)
     schema = StructType([packed.schema["_row"], *made.fields])
-    return packed.mapInArrow(run, schema).select("_row.*", *made.names).drop("_pad")
+    return packed.mapInArrow(own_memory(run, call), schema).select("_row.*", *made.names).drop("_pad")

@@ -12,6 +12,7 @@ import json
 from collections.abc import Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -157,10 +158,15 @@ def mix_plan(
              max(1, SLOTS * CUT_DOCS // n), sum(sizes[s] for s in pattern),
              float(sum(targets[s] for s in pattern)))
         )
-    schema = (
-        "_of_pattern string, _base long, _more long, _width long, source_size long, target double"
+    kinds = {
+        "_of_pattern": pa.string(), "_base": pa.int64(), "_more": pa.int64(), "_width": pa.int64(),
+        "source_size": pa.int64(), "target": pa.float64(),
+    }
+    # As a local table: of rows Spark would make an RDD, with Python workers of its own on each executor.
+    columns = zip(*planned) if planned else [()] * len(kinds)
+    plan = docs.sparkSession.createDataFrame(
+        pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds.values())], names=list(kinds))
     )
-    plan = docs.sparkSession.createDataFrame(planned, schema)
     # Per pattern at most SLOTS rows are put in order, whatever the number of documents.
     before = (
         slots.join(F.broadcast(plan) if len(planned) < 10_000 else plan, F.col("_pattern") == F.col("_of_pattern"))

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import any_names, ascii_lower, small_batches, table, words
+from salesloom.llm.common import any_names, ascii_lower, own_memory, small_batches, table, words
 from salesloom.llm.components import components
 from salesloom.operators.joins import lookup_join
 from salesloom.scratch import land
@@ -354,7 +354,7 @@ def _candidates(classes: DataFrame, percent: int) -> DataFrame:
     ).select(
         "rep", "n", "rows", "_cell.role", F.xxhash64("row", "_cell.i", "_cell.j").alias("unit")
     )
-    close = _by_unit(units).mapInArrow(_agreeing(percent), "a long, b long")
+    close = _by_unit(units).mapInArrow(own_memory(_agreeing(percent)), "a long, b long")
     return pairs.select("a", "b").union(close)
 
 
@@ -364,7 +364,7 @@ def _verified(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         members.select(F.col("rep").alias("_rep"), "role", "unit"), sets, [("_rep", "rep")]
     )
     rows = joined.select("rep", "role", "unit", F.size("grams").alias("n"), "grams")
-    return _by_unit(rows).mapInArrow(_overlapping(percent), "a long, b long")
+    return _by_unit(rows).mapInArrow(own_memory(_overlapping(percent)), "a long, b long")
 
 
 @any_names
@@ -388,7 +388,8 @@ def jaccard_components(
     identified = docs.select(q(doc_id).cast("long").alias("doc_id"), shingles(q(text), size).alias("grams"))
     fields = [StructField(c, LongType()) for c in ("doc_id", "n", "key1", "key2")]
     rows = [StructField(c, ArrayType(LongType())) for c in ("rows1", "rows2")]
-    sketched = land(identified.mapInArrow(_sketch(percent), StructType(fields + rows)), "sketches")
+    sketch = own_memory(_sketch(percent))
+    sketched = land(identified.mapInArrow(sketch, StructType(fields + rows)), "sketches")
     classes = land(
         sketched.where("n > 0 AND doc_id IS NOT NULL")
         .groupBy("key1", "key2", "n")

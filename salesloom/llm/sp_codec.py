@@ -27,17 +27,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StructField, StructType
 
 from salesloom.functions.columns import q
-from salesloom.llm.common import any_names, map_arrow, others, table
+from salesloom.llm.common import any_names, map_arrow, others, remembered, table
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 17
 SPACE = "▁"
 # Decisions that a Python worker remembers, about 30 bytes each with their words; words that walk together;
-# characters of text in one batch.
-REMEMBERED = 8_000_000
+# characters of text in one batch, each of which takes some 100 bytes while it is cut.
+REMEMBERED = 2_000_000
 TOGETHER = 1 << 18
-SLICE = 4_000_000
+SLICE = 500_000
 _MASK = (1 << 64) - 1
 # Longest chunk that is merged together with others of its length, and the rank of no piece.
 WORD, _NONE = 32, 1 << 30
@@ -103,6 +103,18 @@ def _skipped(keys: np.ndarray, left, middle, stop, limit: int) -> np.ndarray:
     return x < np.uint64(min(limit, _MASK)) if limit <= _MASK else np.ones(len(x), bool)
 
 
+def _with_room(rows: np.ndarray, size: int, fill: int) -> np.ndarray:
+    """The array itself, or a copy that is longer by quarters until ``size`` rows fit."""
+    room = len(rows)
+    while room < size:
+        room += room // 4
+    if room == len(rows):
+        return rows
+    out = np.full((room, *rows.shape[1:]), fill, rows.dtype)
+    out[: len(rows)] = rows
+    return out
+
+
 class _Trees:
     """The decisions met so far: a tree for each word, its results in the leaves."""
 
@@ -118,11 +130,9 @@ class _Trees:
         self.ids = np.zeros(1 << 14, np.int32)
 
     def _add(self, count: int) -> np.ndarray:
-        while self.size + count > len(self.places):
-            more = len(self.places) // 2
-            self.places = np.concatenate([self.places, np.full((more, 3), self.NEW, np.int8)])
-            self.following = np.concatenate([self.following, np.full((more, 2), -1, np.int32)])
         self.size += count
+        self.places = _with_room(self.places, self.size, self.NEW)
+        self.following = _with_room(self.following, self.size, -1)
         return np.arange(self.size - count, self.size)
 
     def root(self, words: list[str]) -> np.ndarray:
@@ -149,8 +159,7 @@ class _Trees:
         new = nodes[self.places[nodes, 0] == self.NEW]
         counts = (ends - begins)[first]
         picked = flat[_ranges(begins[first], counts)]
-        while self.used + len(picked) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids = _with_room(self.ids, self.used + len(picked), 0)
         self.ids[self.used : self.used + len(picked)] = picked
         self.places[new, 0] = self.LEAF
         self.following[new] = np.stack([self.used + np.cumsum(counts) - counts, counts], axis=1)
@@ -325,13 +334,14 @@ class Codec:
         sizes = np.where(known, sizes, 0)
         if not alone:
             return trees.ids[_ranges(begins, sizes)], sizes
-        # Those cut alone follow the remembered ids.
+        # Those cut alone go in between.
         more = sorted(alone)
         lengths = np.array([len(alone[i]) for i in more], np.int64)
-        begins[more] = trees.used + np.cumsum(lengths) - lengths
-        sizes[more] = lengths
         extra = np.fromiter(chain.from_iterable(alone[i] for i in more), np.int32, int(lengths.sum()))
-        return np.concatenate([trees.ids[: trees.used], extra])[_ranges(begins, sizes)], sizes
+        at = np.repeat(np.cumsum(sizes)[more], lengths)
+        flat = np.insert(trees.ids[_ranges(begins, sizes)], at, extra)
+        sizes[more] = lengths
+        return flat, sizes
 
     def _cut_all(self, chunks: list[str], variant: int) -> dict[str, tuple[int, ...]]:
         keys = np.array([self._key(c, variant) for c in chunks], np.uint64)
@@ -464,30 +474,17 @@ def encode(
          StructField("lossless", BooleanType())]
     )
     inputs = [q(text).alias("_text")]
-    run = _encoder(vocabulary, dropout, seed)
-    dropped = made.names if keep_text else [*made.names, text]
-    return map_arrow(docs, others(docs, dropped), inputs, run, made)
-
-
-#: The codec of this worker process: the decisions it remembers serve the tasks of the same call that follow, too.
-_of_worker: dict[tuple, Codec] = {}
-
-
-def _worker_codec(vocabulary: Vocabulary, dropout: float, seed: int, call: str) -> Codec:
-    """One codec per worker and call. What it remembers changes no result, so a lost worker loses time only."""
-    key = (call, dropout, seed)
-    if key not in _of_worker:
-        _of_worker.clear()
-        _of_worker[key] = Codec(vocabulary, dropout, seed)
-    return _of_worker[key]
-
-
-def _encoder(vocabulary: Vocabulary, dropout: float, seed: int) -> Callable:
     # Another call begins with no memory, so that a measured run does not profit from one before it.
     call = uuid.uuid4().hex
+    run = _encoder(vocabulary, dropout, seed, call)
+    dropped = made.names if keep_text else [*made.names, text]
+    return map_arrow(docs, others(docs, dropped), inputs, run, made, call)
+
 
+def _encoder(vocabulary: Vocabulary, dropout: float, seed: int, call: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = _worker_codec(vocabulary, dropout, seed, call)
+        # One codec per worker and call. What it remembers changes no result, so a lost worker loses time only.
+        codec = remembered(call, lambda: Codec(vocabulary, dropout, seed))
         for batch in batches:
             texts = batch["_text"]
             start, size, held = 0, 0, []

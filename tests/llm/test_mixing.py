@@ -97,3 +97,15 @@ def test_edge_cases(spark):
     assert [r.copies for r in got if r.doc_id in (2, 5)] == [0, 0]
     assert len({r.copies for r in got if r.doc_id == 4}) == 1
     assert mix_sources(spark.createDataFrame([], schema)).count() == 0
+
+
+def test_the_plan_needs_no_python_workers(spark, monkeypatch):
+    """A plan of rows would be an RDD, read by more Python workers on each executor."""
+    from pyspark import RDD
+
+    made = []
+    given = RDD._to_java_object_rdd
+    docs = spark.createDataFrame(documents(50), "doc_id long, size long, sources array<string>, x string")
+    monkeypatch.setattr(RDD, "_to_java_object_rdd", lambda rdd: made.append(rdd) or given(rdd))
+    assert mix_sources(docs).count() == 50
+    assert not made

@@ -1,12 +1,17 @@
+import gc
 import os
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from salesloom.llm.sp_codec import MODEL, SPACE, Codec, Vocabulary, decode, encode
+from salesloom.llm import lang_id, ngram_join
+from salesloom.llm.common import forget_others
+from salesloom.llm.sp_codec import MODEL, SPACE, Codec, Vocabulary, _encoder, decode, encode
 
 pytestmark = pytest.mark.skipif(not os.path.exists(MODEL), reason="no vocabulary")
 TEXTS = [
@@ -124,3 +129,51 @@ def test_each_occurrence_is_drawn_anew(vocabulary):
     other = codec.encode(word[1:] + word * 4999)
     assert ids[:3000] != other[:3000]  # another text is another key
     assert ids == Codec(vocabulary).encode(word[1:] + word * 5000)
+
+
+def test_what_a_worker_remembers_goes_when_another_call_begins(spark, vocabulary, monkeypatch):
+    """Spark hands workers on to other jobs: decisions must not lie beside the memory of those."""
+    handed = []
+    kind = type(spark.range(1))
+    given = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, run, *a, **k: handed.append(run) or given(df, run, *a, **k))
+    docs = spark.createDataFrame([(1, "some words of a text")], "doc_id long, text string")
+    encode(docs, vocabulary)
+    lang_id.identify(docs, None)
+    ngram_join.jaccard_components(docs)
+    encoder, *others = handed
+    assert len(others) >= 3
+    rows = pa.StructArray.from_arrays([pa.array([1])], ["doc_id"])
+    batch = pa.record_batch([rows, pa.array(["some words of a text"])], names=["_row", "_text"])
+
+    def codecs():
+        gc.collect()
+        return {id(x) for x in gc.get_objects() if isinstance(x, Codec)}
+
+    before = codecs()
+    for other in others:
+        assert [b.num_rows for b in encoder(iter([batch]))] == [1]
+        kept = codecs() - before
+        assert len(kept) == 1
+        list(encoder(iter([batch])))
+        assert codecs() - before == kept  # a later task of the same call goes on with it
+        list(other(iter([])))
+        assert not codecs() - before
+
+
+def test_memory_of_a_batch_is_bounded(vocabulary):
+    """A batch of many texts is cut in slices: one of four times the characters takes hardly more."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("aeioulnrstdm", k=rng.randint(2, 9))) for _ in range(3000)]
+    peaks = []
+    for count in (250, 1000):
+        texts = [" ".join(rng.choices(words, k=300)) for _ in range(count)]
+        rows = pa.StructArray.from_arrays([pa.array(range(count))], ["doc_id"])
+        batch = pa.record_batch([rows, pa.array(texts)], names=["_row", "_text"])
+        run = _encoder(vocabulary, 0.1, 17, "test")
+        tracemalloc.start()
+        assert sum(out.num_rows for out in run(iter([batch]))) == count
+        peaks.append(tracemalloc.get_traced_memory()[1] / 1e6)
+        tracemalloc.stop()
+        forget_others(None)
+    assert peaks[1] < 1.5 * peaks[0]
